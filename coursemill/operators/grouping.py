@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from coursemill.functions.columns import tokens
+from coursemill.functions.columns import tokens, whole_div
 
 LIST_ITEMS = 1_000_000
 
@@ -78,7 +78,7 @@ def joined_lists(
     sized = counted.alias("c").join(sizes.alias("s"), same).select("c.*", "s._parts")
     cut = F.lit(list_items).cast("long")
     runs = (
-        sized.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / cut))))
+        sized.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), whole_div(F.col("_n") - 1, cut))))
         .withColumn("_n", F.least(cut, F.col("_n") - F.col("_run") * cut).cast("int"))
         .withColumn("part", F.pmod(F.xxhash64(item, "_run"), F.col("_parts")))
     )

@@ -62,7 +62,11 @@ def uncovered_pieces(
     previous end. ``history`` has the disjoint ``intervals`` of a key.
     """
     keys = list(keys)
-    per_start = pairs.groupBy(*keys, start).agg(F.max(end).alias("_far"))
+    # the maximum of whole rows reads every column of ``pairs``, as the other branch does: both then share one scan
+    # and one first shuffle instead of pruning themselves into two different ones
+    rest = [c for c in pairs.columns if c not in (*keys, start, end)]
+    furthest = F.max(F.struct(end, *rest))[end]
+    per_start = pairs.groupBy(*keys, start).agg(furthest.alias("_far"))
     earlier = W.partitionBy(*keys).orderBy(start).rowsBetween(W.unboundedPreceding, -1)
     reached = per_start.select(*keys, start, F.max("_far").over(earlier).alias("_reached"))
     if history is not None:

@@ -74,7 +74,10 @@ def salted_join(
         big_salted = big.withColumn("_salt", salt)
         small_salted = small.withColumn("_salt", F.explode(every))
     else:
-        hot = F.broadcast(hot_keys(big, on, hot_share).withColumn("_hot", F.lit(True)))
+        found = hot_keys(big, on, hot_share)
+        if found.isEmpty():
+            return small.join(big, on, how)
+        hot = F.broadcast(found.withColumn("_hot", F.lit(True)))
         big_salted = big.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0))
         small_salted = small.join(hot, on, "left").withColumn(
             "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))

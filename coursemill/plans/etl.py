@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coursemill.functions import columns as c
-from coursemill.plans.specs import ORDER_BUCKETS, Field, LogSpec
+from coursemill.plans.specs import Field, LogSpec
 from coursemill.plans.warehouse import Warehouse
 from coursemill.sources.lines import json_fields, read_lines
 
@@ -42,6 +42,7 @@ def load(spark: SparkSession, warehouse: Warehouse, spec: LogSpec, ods: str) ->
     """Read ``<ods>/<log>.log``, clean it and write its table."""
     rows = clean(read_lines(spark, f"{ods.rstrip('/')}/{spec.log}.log"), spec)
     if spec.mode == "bucketed":
-        warehouse.append_bucketed(rows, f"dwd.{spec.table}", "orderid", ORDER_BUCKETS, spec.partition_by)
+        warehouse.append_bucketed(rows, f"dwd.{spec.table}", "orderid", spec.partition_by)
     else:
-        warehouse.write(rows, f"dwd.{spec.table}", spec.partition_by, overwrite=spec.mode == "overwrite")
+        base = spec.mode == "overwrite"
+        warehouse.write(rows, f"dwd.{spec.table}", spec.partition_by, overwrite=base, compact=base)

@@ -37,12 +37,7 @@ def _payments(pay: DataFrame, vip: DataFrame, *, id_from_payment: bool) -> DataF
         F.col("operator").alias("vip_operator"),
         F.col("dn").alias("level_dn"),
     )
-    # one row per member and level before the join: a member's many payments do not travel further than the map side
-    paid = (
-        pay.select("uid", "dn", "vip_id", money("paymoney").alias("paymoney"))
-        .groupBy("uid", "dn", "vip_id")
-        .agg(F.sum("paymoney").alias("paymoney"))
-    )
+    paid = pay.select("uid", "dn", "vip_id", money("paymoney").alias("paymoney"))
     joined = paid.join(levels, (paid["vip_id"] == levels["level_id"]) & (paid["dn"] == levels["level_dn"]), "left")
     shown_id = F.col("vip_id") if id_from_payment else F.col("level_id")
     first = F.min(F.struct(shown_id.alias("vip_id"), "vip_max_free", "vip_min_free", "vip_operator"))

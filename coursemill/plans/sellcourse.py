@@ -77,6 +77,14 @@ def sell_detail_broadcast(course: DataFrame, cart: DataFrame, pay: DataFrame, dt
 
 
 def sell_detail_bucketed(course: DataFrame, cart: DataFrame, pay: DataFrame, dt: str) -> DataFrame:
-    """The same rows from cart and payment tables bucketed on orderid: those two join without any shuffle."""
-    paid = _cart(cart, dt).join(_pay(pay, dt), _ORDER_KEYS, "left")
+    """The same rows from cart and payment tables bucketed on orderid: those two join without any shuffle.
+
+    Only orderid may be a join key, since a join on more keys than the bucket column would shuffle again. The day is
+    fixed on both sides, and the site is compared as a range so that it stays a condition on matched orders.
+    """
+    c, p = _cart(cart, dt).alias("c"), _pay(pay, dt).alias("p")
+    same_site = (F.col("c.dn") <= F.col("p.dn")) & (F.col("c.dn") >= F.col("p.dn"))
+    paid = c.join(p, (F.col("c.orderid") == F.col("p.orderid")) & same_site, "left").select(
+        "c.*", "p.pay_discount", "p.paymoney", "p.pay_createtime"
+    )
     return broadcast_within(_course(course, dt)).join(paid, _COURSE_KEYS, "right").select(*DETAIL_COLUMNS)

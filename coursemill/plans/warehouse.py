@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from coursemill.plans.specs import ORDER_BUCKETS
 from coursemill.sinks.tables import append_bucketed, write_files
 
 
@@ -17,6 +18,9 @@ class Warehouse:
     codec: str = "zstd"
     # prefix of the catalog names of bucketed tables, whose layout only the catalog knows
     catalog_prefix: str = ""
+    # of bucketed tables: raise both with the data, so that one file of one day stays near a gigabyte
+    buckets: int = ORDER_BUCKETS
+    files_per_bucket: int = 1
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table.replace('.', '/')}"
@@ -38,18 +42,21 @@ class Warehouse:
                 df = df.withColumn(name, F.col(name).cast("string"))
         return df if dt is None else df.where(F.col("dt") == dt)
 
-    def write(self, df: DataFrame, table: str, partition_by: Sequence[str] = (), overwrite: bool = False) -> None:
-        write_files(df, self.path(table), partition_by=partition_by, overwrite=overwrite, codec=self.codec)
-
-    def append_bucketed(
-        self, df: DataFrame, table: str, bucket_by: str, buckets: int, partition_by: Sequence[str]
+    def write(
+        self, df: DataFrame, table: str, partition_by: Sequence[str] = (), overwrite: bool = False, compact: bool = False
     ) -> None:
+        write_files(
+            df, self.path(table), partition_by=partition_by, overwrite=overwrite, codec=self.codec, compact=compact
+        )
+
+    def append_bucketed(self, df: DataFrame, table: str, bucket_by: str, partition_by: Sequence[str]) -> None:
         append_bucketed(
             df,
             self.catalog_name(table),
             bucket_by=bucket_by,
-            buckets=buckets,
+            buckets=self.buckets,
             partition_by=partition_by,
+            files_per_bucket=self.files_per_bucket,
             path=self.path(table),
         )
 

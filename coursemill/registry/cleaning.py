@@ -11,7 +11,7 @@ from coursemill.plans import etl
 from coursemill.plans.specs import SPECS, Field, LogSpec
 from coursemill.plans.warehouse import Warehouse
 from coursemill.registry.book import add, query
-from coursemill.registry.views import DT, ctes, table, view
+from coursemill.registry.views import ctes, table, view
 from coursemill.session import workspace
 from coursemill.sinks.tables import replay_lines
 from coursemill.sources.lines import json_fields, read_lines, tsv_fields
@@ -97,15 +97,15 @@ for _spec in SPECS.values():
     ctes("log_dwd_member")
     + "select "
     + ", ".join(_check_field(f) for f in SPECS["dwd_member"].fields)
-    + f" from log_dwd_member where dt = '{DT}'",
+    + " from log_dwd_member",
 )
 def etl_load_member(spark, sf):
-    """Log file to partitioned table and back: one day is read, the other is pruned."""
+    """Log file to partitioned table and back."""
     spec, root = SPECS["dwd_member"], workspace(spark, "load")
     replay_lines(json_lines(view(spark, sf, "log_dwd_member")), "files", f"{root}/ods/{spec.log}.log")
     house = Warehouse(f"{root}/tables")
     etl.load(spark, house, spec, f"{root}/ods")
-    return house.read(spark, f"dwd.{spec.table}", DT, spec.schema).select(*[f.name for f in spec.fields])
+    return house.read(spark, f"dwd.{spec.table}", schema=spec.schema).select(*[f.name for f in spec.fields])
 
 
 @query(

@@ -400,7 +400,7 @@ def overwrite_partitions(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
     write_files(orders, root, partition_by=["o_orderstatus"], codec="snappy")
     changed = orders.where(F.col("o_orderstatus") == "F").withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    write_files(changed, root, partition_by=["o_orderstatus"], overwrite=True, files_per_partition=2)
+    write_files(changed, root, partition_by=["o_orderstatus"], overwrite=True, compact=True)
     return spark.read.parquet(root)
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from coursemill.operators import zipper
 from coursemill.operators.grouping import two_phase_count
 from coursemill.plans import member, qz, sellcourse
-from coursemill.plans.specs import ORDER_BUCKETS
 from coursemill.plans.warehouse import Warehouse
 from coursemill.registry.book import add, query
 from coursemill.registry.views import DT, QZ_TABLES, VIEWS, ctes, table, view
@@ -146,9 +145,9 @@ def scd2_zipper_rerun(spark, sf):
     """The same day merged twice through published versions gives the history of one merge."""
     history, today, vip, latest = _zipper_inputs(spark, sf)
     day, root = zipper.day_changes(today, vip, f"{latest}0101"), workspace(spark, "zipper")
-    publish_snapshot(history, root, "history")
-    for run in ("first", "second"):
-        publish_snapshot(zipper.merge_day(read_snapshot(spark, root), day, f"{latest}-01-01"), root, run)
+    publish_snapshot(history, root)
+    for _ in range(2):
+        publish_snapshot(zipper.merge_day(read_snapshot(spark, root), day, f"{latest}-01-01"), root)
     return read_snapshot(spark, root)
 
 
@@ -346,7 +345,7 @@ def bucketed_sales(spark, sf):
     root = workspace(spark, "sales")
     house = Warehouse(root, catalog_prefix=f"t{root.rsplit('-', 1)[1]}_")
     for name, df in (("dwd.course_shopping_cart_cluster", cart), ("dwd.course_pay_cluster", pay)):
-        house.append_bucketed(df, name, "orderid", ORDER_BUCKETS, ("dt", "dn"))
+        house.append_bucketed(df, name, "orderid", ("dt", "dn"))
     return (
         course,
         house.read_bucketed(spark, "dwd.course_shopping_cart_cluster"),

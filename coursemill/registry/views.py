@@ -48,7 +48,7 @@ def _raw(field: Field, i: int, key: str) -> str:
 def _typed(field: Field, i: int, key: str) -> str:
     """Value of a column of the cleaned layer."""
     if field.name == "dt":
-        return _dt(key)
+        return f"'{DT}'"
     if field.name == "dn":
         return "'webA'"
     if field.kind in ("*", "?"):
@@ -167,11 +167,11 @@ QZ_TABLES = tuple(_QZ)
 _MEMBER_DN = "case when {k} % 3 = 0 then 'webB' else 'webA' end"
 
 
-def _both_sites(cols: str, base: str, miss: str) -> str:
-    """A lookup table with rows for two sites, the second one incomplete."""
+def _both_sites(key: str, name: str, shift: int, cols: str, base: str) -> str:
+    """A lookup table with rows for two sites; ids of the second one are shifted, so some members find no partner."""
     return (
-        f"select {cols}, 'webA' as dn from {{{base}}} union all "
-        f"select {cols}, 'webB' as dn from {{{base}}} where {miss}"
+        f"select {key} as {name}, {cols}, 'webA' as dn from {{{base}}} union all "
+        f"select {key} + {shift} as {name}, {cols}, 'webB' as dn from {{{base}}}"
     )
 
 
@@ -188,7 +188,7 @@ select cast(c_custkey as int) as uid, c_nationkey as ad_id, substr(c_name, 1, 1)
   '130*****' || cast(1000 + c_custkey % 9000 as string) as phone, cast(c_custkey * 31 as string) as qq,
   '2018-0' || cast(1 + c_custkey % 9 as string) || '-01' as register, '2019-01-01' as regupdatetime,
   'unit-' || cast(c_nationkey as string) as unitname, '10.0.0.' || cast(c_custkey % 250 as string) as userip,
-  cast(100000 + c_custkey % 800000 as string) as zipcode, {_dt("c_custkey")} as dt,
+  cast(100000 + c_custkey % 800000 as string) as zipcode, '{DT}' as dt,
   {_MEMBER_DN.format(k="c_custkey")} as dn
 from {{customer}}"""
 VIEWS["registration"] = f"""
@@ -199,11 +199,12 @@ select cast(o_custkey as int) as uid, o_orderstatus as appkey, 'http://go-' || c
     as regsourcename,
   cast(o_orderkey % 7 as int) as websiteid, '{DT}' as dt, {_MEMBER_DN.format(k="o_custkey")} as dn
 from {{orders}}"""
-VIEWS["ad"] = _both_sites("n_nationkey as adid, 'ad ' || n_name as adname", "nation", "n_nationkey < 15")
+VIEWS["ad"] = _both_sites("n_nationkey", "adid", 10, "'ad ' || n_name as adname", "nation")
 VIEWS["website"] = _both_sites(
-    "r_regionkey as siteid, r_name as sitename, 'http://' || r_name as siteurl, r_regionkey % 2 as site_delete, "
+    "r_regionkey", "siteid", 3,
+    "r_name as sitename, 'http://' || r_name as siteurl, r_regionkey % 2 as site_delete, "
     "'2017-01-0' || cast(r_regionkey + 1 as string) as createtime, 'admin' as creator",
-    "region", "r_regionkey < 3",
+    "region",
 )
 VIEWS["pay"] = f"""
 select cast(o_custkey as int) as uid, cast(cast(o_totalprice as decimal(10,2)) as string) as paymoney,
@@ -211,13 +212,14 @@ select cast(o_custkey as int) as uid, cast(cast(o_totalprice as decimal(10,2)) a
   replace(cast(cast(o_orderdate as date) as string), '-', '') as dt, {_MEMBER_DN.format(k="o_custkey")} as dn
 from {{orders}}"""
 VIEWS["vip"] = _both_sites(
-    "n_nationkey as vip_id, 'level ' || cast(n_nationkey % 8 as string) as vip_level, "
+    "n_nationkey", "vip_id", 8,
+    "'level ' || cast(n_nationkey % 8 as string) as vip_level, "
     "'2018-0' || cast(1 + n_nationkey % 9 as string) || '-01' as start_time, "
     "'2020-0' || cast(1 + n_nationkey % 9 as string) || '-01' as end_time, "
     "'2019-0' || cast(1 + n_nationkey % 9 as string) || '-01' as last_modify_time, "
     "cast(n_nationkey * 10 as string) as max_free, cast(n_nationkey as string) as min_free, "
     "'level ' || cast(n_nationkey % 8 + 1 as string) as next_level, 'op ' || n_name as operator",
-    "nation", "n_nationkey < 20",
+    "nation",
 )
 VIEWS["dws_member"] = f"""
 select cast(o_orderkey as int) as uid, cast(o_custkey % 25 as int) as ad_id, o_orderpriority as memberlevel,
@@ -226,7 +228,7 @@ select cast(o_orderkey as int) as uid, cast(o_custkey % 25 as int) as ad_id, o_o
   case when o_custkey % 13 = 0 then null else 'ad_' || cast(o_custkey % 25 as string) end as adname,
   cast(o_custkey % 5 as string) as siteid, case when o_custkey % 17 = 0 then null else 'site ' || cast(o_custkey % 5 as string) end as sitename,
   'vip' || cast(o_orderkey % 7 as string) as vip_level, cast(o_totalprice as decimal(10,4)) as paymoney,
-  {_dt("o_orderkey")} as dt, {_MEMBER_DN.format(k="o_orderkey")} as dn
+  '{DT}' as dt, {_MEMBER_DN.format(k="o_orderkey")} as dn
 from {{orders}}"""
 VIEWS["paper_detail"] = f"""
 select cast(l_orderkey as int) as userid, cast(l_partkey as int) as paperviewid,
@@ -237,7 +239,7 @@ select cast(l_orderkey as int) as userid, cast(l_partkey as int) as paperviewid,
   cast(cast(l_quantity as decimal(4,1)) * 2 + cast(l_linenumber as decimal(4,1)) / 2 as decimal(4,1)) as score,
   cast(floor(l_extendedprice) as int) as spendtime, cast(l_suppkey as int) as questionid,
   case l_returnflag when 'A' then '0' when 'R' then '1' else null end as user_question_answer,
-  {_dt("l_orderkey")} as dt, 'webA' as dn
+  '{DT}' as dt, 'webA' as dn
 from {{lineitem}}"""
 VIEWS["sale_course"] = f"""
 select cast(p_partkey as int) as courseid, p_name as coursename, p_brand as status, p_size as pointlistid,
@@ -249,7 +251,7 @@ from {{part}}"""
 VIEWS["cart"] = f"""
 select cast(l_partkey as int) as courseid, cast(l_orderkey as string) as orderid, 'name' as coursename,
   cast(l_discount as decimal(10,4)) as discount, cast(l_extendedprice as decimal(10,4)) as sellmoney,
-  cast(cast(l_shipdate as date) as string) as createtime, {_dt("l_orderkey")} as dt, 'webA' as dn
+  cast(cast(l_shipdate as date) as string) as createtime, '{DT}' as dt, 'webA' as dn
 from {{lineitem}}"""
 VIEWS["course_pay"] = f"""
 select cast(o_orderkey as string) as orderid, cast(o_custkey % 10 as decimal(10,4)) as discount,

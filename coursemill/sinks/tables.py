@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,18 +35,17 @@ def write_files(
     partition_by: Sequence[str] = (),
     overwrite: bool = False,
     codec: str = "zstd",
-    files_per_partition: int = 0,
+    compact: bool = False,
 ) -> None:
     """Parquet append, or overwrite of only the partitions present in ``df``.
 
-    ``files_per_partition`` bounds the file count of every partition value by shuffling on the partition columns plus
-    a salt of that many values, so one large partition is written by that many tasks and never by a single one.
+    ``compact`` rebalances rows by partition value before the write: adaptive execution then merges small pieces into
+    one file and splits a value that holds much of the data over several tasks, instead of serialising the write.
     """
     if codec not in CODECS:
         raise ValueError(f"unknown codec: {codec}")
-    if files_per_partition:
-        salt = (F.rand(17) * files_per_partition).cast("int")
-        df = df.withColumn("_salt", salt).repartition(*partition_by, "_salt").drop("_salt")
+    if compact:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.option("compression", codec).mode("overwrite" if overwrite else "append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -60,14 +61,17 @@ def append_bucketed(
     bucket_by: str,
     buckets: int,
     partition_by: Sequence[str],
+    files_per_bucket: int = 1,
     path: str | None = None,
 ) -> None:
     """Append to a partitioned table bucketed and sorted on ``bucket_by``; joins on that column then need no shuffle.
 
-    Rows are shuffled to their bucket first, so each bucket of a partition is one file instead of one per task.
+    Rows are shuffled by the same hash that buckets them, into a multiple of the bucket count. So each task holds rows
+    of one bucket only, a bucket gets ``files_per_bucket`` files per partition value, and
+    ``buckets * files_per_bucket`` tasks write at once.
     """
     writer = (
-        df.repartition(buckets, bucket_by)
+        df.repartition(buckets * files_per_bucket, bucket_by)
         .write.mode("append")
         .partitionBy(*partition_by)
         .bucketBy(buckets, bucket_by)
@@ -78,34 +82,59 @@ def append_bucketed(
     writer.saveAsTable(table)
 
 
-def publish_snapshot(df: DataFrame, root: str, version: str | int) -> None:
+def publish_snapshot(df: DataFrame, root: str, version: str | None = None, partition_by: Sequence[str] = ()) -> None:
     """Write a whole new version next to the old ones, then announce it.
 
-    ``df`` may read the current version of the same root. Announcing after the write means that a reader, or a job
-    that lost its executors half-way, never sees an unfinished version; publishing a version again is harmless.
+    ``df`` may read the current version of the same root, as the new one has a folder of its own. Announcing after the
+    write means that a reader, or a job that lost its executors half-way, never sees an unfinished version.
     """
-    df.write.mode("overwrite").parquet(f"{root}/version={version}")
+    version = version or uuid.uuid4().hex
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root}/version={version}")
     spark = df.sparkSession
     announced = spark.range(1).select(
-        F.lit(str(version)).alias("version"), F.current_timestamp().cast("double").alias("at")
+        F.lit(version).alias("version"), F.current_timestamp().cast("double").alias("at")
     )
     announced.write.mode("append").parquet(f"{root}/published")
 
 
-def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """The version announced last."""
-    latest = spark.read.parquet(f"{root}/published").agg(F.max_by("version", "at").alias("version")).first()
-    return spark.read.parquet(f"{root}/version={latest['version']}")
+def latest_version(spark: SparkSession, root: str) -> str | None:
+    """Name of the version announced last, if any was."""
+    try:
+        published = spark.read.parquet(f"{root}/published")
+    except AnalysisException:
+        return None
+    return published.agg(F.max_by("version", "at").alias("version")).first()["version"]
+
+
+def read_snapshot(spark: SparkSession, root: str, schema: str | None = None) -> DataFrame:
+    """The version announced last; with a ``schema``, an empty frame where none was announced yet."""
+    version = latest_version(spark, root)
+    if version is None:
+        if schema is None:
+            raise ValueError(f"nothing published below {root}")
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{root}/version={version}")
 
 
 def publish_changes(df: DataFrame, root: str, batch_id: int) -> None:
     """Record the changed rows of one batch under its id; a replayed batch overwrites its own folder."""
-    df.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+    df.write.mode("overwrite").parquet(f"{root}/changes/batch={batch_id}")
+
+
+def _recorded(spark: SparkSession, root: str) -> DataFrame:
+    """All change rows with their ``batch``: the folded base, if there is one, and what came after it."""
+    changes = spark.read.option("basePath", f"{root}/changes").parquet(f"{root}/changes")
+    folded = latest_version(spark, f"{root}/base")
+    if folded is None:
+        return changes
+    base = read_snapshot(spark, f"{root}/base").withColumn("batch", F.lit(int(folded)))
+    return changes.where(F.col("batch") > int(folded)).unionByName(base)
 
 
 def latest_rows(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
     """Last value per key over all recorded batches (partial aggregation, so a hot key shrinks before the shuffle)."""
-    changes = spark.read.option("basePath", root).parquet(root)
+    changes = _recorded(spark, root)
     values = [c for c in changes.columns if c not in {*keys, "batch"}]
     picked = changes.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("r"))
     return picked.select(*keys, *[F.col(f"r.{v}").alias(v) for v in values])
@@ -113,11 +142,21 @@ def latest_rows(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFram
 
 def additive_totals(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
     """Sum of the recorded per-batch amounts per key: ``total = total + ?`` without any read-modify-write."""
-    changes = spark.read.option("basePath", root).parquet(root)
+    changes = _recorded(spark, root)
     values = [c for c in changes.columns if c not in {*keys, "batch"}]
     return changes.groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values])
 
 
+def fold_changes(spark: SparkSession, root: str, keys: Sequence[str], additive: bool = False) -> None:
+    """Fold the batches recorded so far into one base, so that readers open only the base and later batches.
+
+    Run now and then. The base is announced when it is complete; until then readers use what they used before.
+    """
+    upto = spark.read.parquet(f"{root}/changes").agg(F.max("batch").alias("b")).first()["b"]
+    rows = additive_totals(spark, root, keys) if additive else latest_rows(spark, root, keys)
+    publish_snapshot(rows, f"{root}/base", str(upto))
+
+
 def replace_table(df: DataFrame, path: str) -> None:
     """Truncate and reload a small result."""
     df.write.mode("overwrite").parquet(path)

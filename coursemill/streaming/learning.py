@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,51 +62,56 @@ _STATE = "totaltime long, effecttime long, completetime long, starts array<int>,
 _OUTPUT = "userid int, cwareid int, videoid int, play_interval string, totaltime long, effecttime long, completetime long"
 
 
-def _uncovered(starts: list[int], ends: list[int], lo: int, hi: int) -> int:
-    inside = sum(max(0, min(e, hi) - max(s, lo)) for s, e in zip(starts, ends))
-    return max(0, hi - lo) - inside
+def _covered_before(starts: np.ndarray, ends: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Seconds before each ``x`` inside sorted disjoint intervals."""
+    if not len(starts):
+        return np.zeros_like(x)
+    lengths = np.concatenate([[0], np.cumsum(ends - starts)])
+    i = np.searchsorted(starts, x, side="right")
+    over = np.maximum(0, ends[np.maximum(i - 1, 0)] - x)
+    return lengths[i] - np.where(i > 0, over, 0)
 
 
-def _whole_div(a: int, b: int) -> int:
-    return abs(a) // abs(b) * (1 if (a < 0) == (b < 0) else -1)
+def _merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Union of intervals, touching ones joined."""
+    order = np.lexsort((ends, starts))
+    starts, reach = starts[order], np.maximum.accumulate(ends[order])
+    first = np.concatenate([[True], reach[:-1] < starts[1:]])
+    last = np.concatenate([first[1:], [True]])
+    return starts[first], reach[last]
 
 
-def _absorb(starts: list[int], ends: list[int], lo: int, hi: int) -> tuple[list[int], list[int]]:
-    out_s, out_e = [], []
-    for s, e in zip(starts, ends):
-        if e < lo or s > hi:
-            out_s.append(s)
-            out_e.append(e)
-        else:
-            lo, hi = min(lo, s), max(hi, e)
-    merged = sorted([*zip(out_s, out_e), (lo, hi)])
-    return [s for s, _ in merged], [e for _, e in merged]
+def _reduced(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """One row per (ps, pe) in that order: the first row in (ts, te) order and the sum of seconds."""
+    ps, pe, ts, te, first, secs = columns
+    order = np.lexsort((te, ts, pe, ps))
+    ps, pe, ts, te, first, secs = (c[order] for c in (ps, pe, ts, te, first, secs))
+    heads = np.flatnonzero(np.concatenate([[True], (ps[1:] != ps[:-1]) | (pe[1:] != pe[:-1])]))
+    return [ps[heads], pe[heads], ts[heads], te[heads], first[heads], np.add.reduceat(secs, heads)]
 
 
 def _update_video(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     total, effective, complete, starts, ends = state.get if state.exists else (0, 0, 0, [], [])
-    starts, ends = list(starts), list(ends)
-    pairs = None
+    starts, ends = np.array(starts, dtype=np.int64), np.array(ends, dtype=np.int64)
+    kept = None
     for chunk in chunks:
-        # keep one row per (ps, pe): its seconds, and the first row's seconds in (ts, te) order
-        parts = [chunk] if pairs is None else [pairs, chunk]
-        rows = pd.concat(parts, ignore_index=True).sort_values(["ps", "pe", "ts", "te"])
-        grouped = rows.groupby(["ps", "pe"], sort=True)
-        pairs = grouped.agg(ts=("ts", "first"), te=("te", "first"), first=("first", "first"), secs=("secs", "sum"))
-        pairs = pairs.reset_index()
-    for row in pairs.itertuples(index=False):
-        ps, pe, first, secs = int(row.ps), int(row.pe), int(row.first), int(row.secs)
-        new = _uncovered(starts, ends, ps, pe)
-        if not starts:
-            effective += first
-        elif pe != ps:
-            effective += _whole_div(first * new, pe - ps)
-        total += secs
-        complete += new
-        if pe >= ps:
-            starts, ends = _absorb(starts, ends, ps, pe)
-    state.update((total, effective, complete, starts, ends))
-    text = ",".join(f"{s}-{e}" for s, e in zip(starts, ends))
+        new_rows = [chunk[c].to_numpy(dtype=np.int64) for c in ("ps", "pe", "ts", "te", "first", "secs")]
+        kept = _reduced(new_rows if kept is None else [np.concatenate(two) for two in zip(kept, new_rows)])
+    ps, pe, _, _, first, secs = kept
+    reached = np.concatenate([ps[:1], np.maximum.accumulate(pe)[:-1]])
+    lo = np.maximum(ps, reached)
+    known = _covered_before(starts, ends, pe) - _covered_before(starts, ends, lo)
+    new = np.where(lo < pe, pe - lo - known, 0)
+    length = np.where(pe == ps, 1, np.abs(pe - ps))
+    share = np.sign(first) * (np.abs(first) * new // length)
+    if not len(starts):
+        share[0] = first[0]
+    whole = pe >= ps
+    if whole.any():
+        starts, ends = _merged(np.concatenate([starts, ps[whole]]), np.concatenate([ends, pe[whole]]))
+    total, effective, complete = total + int(secs.sum()), effective + int(share.sum()), complete + int(new.sum())
+    state.update((total, effective, complete, starts.tolist(), ends.tolist()))
+    text = ",".join(f"{s}-{e}" for s, e in zip(starts.tolist(), ends.tolist()))
     user, cware, video = key
     yield pd.DataFrame(
         {
