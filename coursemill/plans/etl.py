@@ -26,6 +26,10 @@ def _typed(field: Field) -> Column:
         out = c.int_or_zero(raw)
     elif field.kind == "^":
         out = c.score_1dp(raw)
+    elif field.kind == "?":
+        out = c.whole_number(raw)
+    elif field.kind == "$":
+        out = c.decimal_number(raw, 10, 4)
     elif field.kind:
         out = raw.try_cast(field.type)
     else:

@@ -121,7 +121,7 @@ def member_counts(wide: DataFrame, dt: str, attribute: str) -> DataFrame:
 
 def top_payers(wide: DataFrame, dt: str, k: int = 3) -> DataFrame:
     """The ``k`` best paying members per site and level, equal amounts ordered by uid."""
-    day = wide.where(F.col("dt") == dt).withColumn("paymoney", money("paymoney"))
+    day = wide.where(F.col("dt") == dt).withColumn("paymoney", F.col("paymoney").try_cast("decimal(10,4)"))
     best = top_rows(day, ["dn", "memberlevel"], [F.col("paymoney").desc(), F.col("uid").asc()], k)
     return best.select(
         "uid", "memberlevel", "register", "appregurl", "regsourcename", "adname", "sitename", "vip_level", "paymoney",

@@ -267,9 +267,13 @@ _ISLANDS = _LEARN + """,
   i as (select userid, cwareid, videoid, island, min(ps) as ps, max(pe) as pe from n group by all)"""
 
 
+def _viewings(spark, sf):
+    return view(spark, sf, "learn_fields").withColumnRenamed("sourcetype", "sourceType")
+
+
 @query("interval_islands", _ISLANDS + "select userid, cwareid, videoid, ps, pe from i")
 def interval_islands(spark, sf):
-    return islands(_learn_events(spark, sf), learning.VIDEO_KEYS)
+    return islands(_viewings(spark, sf), learning.VIDEO_KEYS)
 
 
 @query(
@@ -279,7 +283,7 @@ def interval_islands(spark, sf):
       from i group by userid, cwareid, videoid""",
 )
 def play_intervals(spark, sf):
-    return learning.play_intervals(_learn_events(spark, sf))
+    return learning.play_intervals(_viewings(spark, sf))
 
 
 @query(
@@ -296,7 +300,7 @@ def play_intervals(spark, sf):
 )
 def uncovered_seconds(spark, sf):
     """Seconds that one part of the viewings adds to what the other part had covered."""
-    rows, keys = _learn_events(spark, sf), learning.VIDEO_KEYS
+    rows, keys = _viewings(spark, sf), learning.VIDEO_KEYS
     history = interval_sets(islands(rows.where(F.col("sourceType") == "N"), keys), keys)
     pairs = rows.where(F.col("sourceType") != "N").select(*keys, "ps", "pe").distinct()
     pieces = uncovered_pieces(pairs, keys, history)
@@ -316,7 +320,7 @@ _WATCH_SQL = _LEARN + f""",
 
 @query("watch_time", _WATCH_SQL)
 def watch_time(spark, sf):
-    return learning.watch_time(_learn_events(spark, sf))
+    return learning.watch_time(_viewings(spark, sf))
 
 
 @query("stream_watch_time", _WATCH_SQL)
