@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from coursemill.functions.columns import ipv4_number, region_province
@@ -16,28 +16,30 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 def broadcast_within(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast if it was measured to be small enough; else hand it back for a shuffle join.
 
-    The measurement stops after ``max_rows + 1`` rows. JSON text length stands in for the width of a row.
+    Rows are counted first, which needs no column; only few enough rows are then weighed, by the length of their JSON.
     """
-    size = (
-        df.limit(max_rows + 1)
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
-        )
-        .first()
-    )
-    small = size["rows"] <= max_rows and size["bytes"] <= max_bytes
-    return F.broadcast(df) if small else df
+    if df.count() > max_rows:
+        return df
+    weight = df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("b")).first()["b"]
+    return F.broadcast(df) if weight <= max_bytes else df
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
     """Keys that hold more than ``share`` of all rows, as a local frame of fewer than ``1 / share`` rows.
 
-    One pass over the key columns only, counted with partial aggregation; the bound on the result holds for any data.
+    One pass over the key columns: counts are combined before the shuffle, the total is observed on the way, and only
+    the ``1 / share`` largest counts come back. No more keys than that can hold such a share, whatever the data.
     """
-    counts = df.where(_all_set(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    total = df.count()
-    found = counts.where(F.col("n") > F.lit(share * total)).select(*keys).collect()
+    total = Observation()
+    counts = (
+        df.select(*keys)
+        .observe(total, F.count(F.lit(1)).alias("rows"))
+        .where(_all_set(keys))
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    largest = counts.orderBy(F.col("n").desc()).limit(int(1 / share) + 1).collect()
+    found = [tuple(r[k] for k in keys) for r in largest if r["n"] > share * total.get["rows"]]
     return df.sparkSession.createDataFrame(found, counts.select(*keys).schema)
 
 

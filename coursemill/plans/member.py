@@ -126,4 +126,4 @@ def top_payers(wide: DataFrame, dt: str, k: int = 3) -> DataFrame:
     return best.select(
         "uid", "memberlevel", "register", "appregurl", "regsourcename", "adname", "sitename", "vip_level", "paymoney",
         "rownum", "dt", "dn",
-    ).orderBy("memberlevel", "rownum")
+    ).orderBy("memberlevel", "rownum", "dn")

@@ -223,7 +223,7 @@ def paper_averages(fact: DataFrame, dt: str) -> DataFrame:
             F.avg("spendtime").cast("decimal(10,2)").alias("avgspendtime"),
         )
         .select("paperviewid", "paperviewname", "avgscore", "avgspendtime", "dt", "dn")
-        .orderBy(F.col("avgscore").desc(), F.col("avgspendtime").desc())
+        .orderBy(F.col("avgscore").desc(), F.col("avgspendtime").desc(), "paperviewid")
     )
 
 
@@ -289,5 +289,5 @@ def question_error_rates(fact: DataFrame, dt: str) -> DataFrame:
         .where((F.col("errcount") > 0) & (F.col("rightcount") > 0))
         .withColumn("rate", ratio("errcount", F.col("errcount") + F.col("rightcount")))
         .select("questionid", "errcount", "rightcount", "rate", "dt", "dn")
-        .orderBy(F.col("errcount").desc())
+        .orderBy(F.col("errcount").desc(), "questionid")
     )

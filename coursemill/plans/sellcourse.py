@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursemill.operators.joins import broadcast_within, salted_join
+from coursemill.operators.joins import broadcast_within, hot_keys, salted_join
 
 # Columns of the detail table, in its order.
 DETAIL_COLUMNS = (
@@ -76,15 +76,30 @@ def sell_detail_broadcast(course: DataFrame, cart: DataFrame, pay: DataFrame, dt
     )
 
 
-def sell_detail_bucketed(course: DataFrame, cart: DataFrame, pay: DataFrame, dt: str) -> DataFrame:
+def sell_detail_bucketed(
+    course: DataFrame, cart: DataFrame, pay: DataFrame, dt: str, *, hot_share: float = 0.01
+) -> DataFrame:
     """The same rows from cart and payment tables bucketed on orderid: those two join without any shuffle.
 
     Only orderid may be a join key, since a join on more keys than the bucket column would shuffle again. The day is
-    fixed on both sides, and the site is compared as a range so that it stays a condition on matched orders.
+    fixed on both sides, and the site is compared as a range so that it stays a condition on matched orders. A bucket
+    cannot be split at run time, so orders with more than ``hot_share`` of the cart are taken out and joined apart.
     """
-    c, p = _cart(cart, dt).alias("c"), _pay(pay, dt).alias("p")
+    cart, pay = _cart(cart, dt), _pay(pay, dt)
+    hot = hot_keys(cart, ["orderid"], hot_share)
+    if hot.isEmpty():
+        paid = _order_join(cart, pay)
+    else:
+        hot = F.broadcast(hot)
+        hot_pay = broadcast_within(pay.join(hot, "orderid", "left_semi"))
+        hot_paid = cart.join(hot, "orderid", "left_semi").join(hot_pay, _ORDER_KEYS, "left")
+        paid = _order_join(cart.join(hot, "orderid", "left_anti"), pay).unionByName(hot_paid)
+    return broadcast_within(_course(course, dt)).join(paid, _COURSE_KEYS, "right").select(*DETAIL_COLUMNS)
+
+
+def _order_join(cart: DataFrame, pay: DataFrame) -> DataFrame:
+    c, p = cart.alias("c"), pay.alias("p")
     same_site = (F.col("c.dn") <= F.col("p.dn")) & (F.col("c.dn") >= F.col("p.dn"))
-    paid = c.join(p, (F.col("c.orderid") == F.col("p.orderid")) & same_site, "left").select(
+    return c.join(p, (F.col("c.orderid") == F.col("p.orderid")) & same_site, "left").select(
         "c.*", "p.pay_discount", "p.paymoney", "p.pay_createtime"
     )
-    return broadcast_within(_course(course, dt)).join(paid, _COURSE_KEYS, "right").select(*DETAIL_COLUMNS)

@@ -18,9 +18,8 @@ class Warehouse:
     codec: str = "zstd"
     # prefix of the catalog names of bucketed tables, whose layout only the catalog knows
     catalog_prefix: str = ""
-    # of bucketed tables: raise both with the data, so that one file of one day stays near a gigabyte
+    # of bucketed tables; raise it with the data, as it is also the number of tasks that join them
     buckets: int = ORDER_BUCKETS
-    files_per_bucket: int = 1
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table.replace('.', '/')}"
@@ -56,7 +55,6 @@ class Warehouse:
             bucket_by=bucket_by,
             buckets=self.buckets,
             partition_by=partition_by,
-            files_per_bucket=self.files_per_bucket,
             path=self.path(table),
         )
 

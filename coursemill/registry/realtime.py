@@ -217,7 +217,7 @@ def stream_mastery(spark, sf):
 @query(
     "question_history",
     ctes("answer_fields")
-    + """select userid, courseid, pointid, string_agg(distinct questionid, ',' order by questionid) as questionids,
+    + """select userid, courseid, pointid, cast(0 as bigint) as part, string_agg(distinct questionid, ',' order by questionid) as questionids,
       min(createtime) as createtime from answer_fields group by userid, courseid, pointid""",
 )
 def question_history(spark, sf):

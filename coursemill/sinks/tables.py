@@ -61,17 +61,18 @@ def append_bucketed(
     bucket_by: str,
     buckets: int,
     partition_by: Sequence[str],
-    files_per_bucket: int = 1,
     path: str | None = None,
 ) -> None:
     """Append to a partitioned table bucketed and sorted on ``bucket_by``; joins on that column then need no shuffle.
 
-    Rows are shuffled by the same hash that buckets them, into a multiple of the bucket count. So each task holds rows
-    of one bucket only, a bucket gets ``files_per_bucket`` files per partition value, and
-    ``buckets * files_per_bucket`` tasks write at once.
+    Rows are first rebalanced by their bucket (the same hash as the writer's). A task then writes few buckets, not all
+    of them, and adaptive execution splits a large bucket over several tasks: a hot order is never written by one task.
     """
+    bucket = F.pmod(F.hash(bucket_by), F.lit(buckets))
     writer = (
-        df.repartition(buckets * files_per_bucket, bucket_by)
+        df.withColumn("_bucket", bucket)
+        .hint("rebalance", "_bucket")
+        .drop("_bucket")
         .write.mode("append")
         .partitionBy(*partition_by)
         .bucketBy(buckets, bucket_by)

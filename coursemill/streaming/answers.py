@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coursemill.functions.columns import now_text, ratio
+from coursemill.operators.grouping import joined_lists
 from coursemill.sinks.tables import latest_rows, publish_changes
 from coursemill.sources.lines import tsv_fields
 
@@ -54,9 +55,13 @@ def with_update_time(points: DataFrame) -> DataFrame:
 
 
 def question_history(questions: DataFrame) -> DataFrame:
-    """Comma list of the distinct questions per point, as the history table stores it."""
-    ids = F.array_join(F.sort_array(F.collect_set("questionid")), ",")
-    return questions.groupBy(*POINT_KEYS).agg(ids.alias("questionids"), F.min("createtime").alias("createtime"))
+    """Comma list of the distinct questions per point, as the history table stores it, with the first time.
+
+    A point is taken to have ten questions; should one have very many, its list comes in parts (``joined_lists``).
+    """
+    lists = joined_lists(questions, POINT_KEYS, "questionid", "questionids")
+    first = questions.groupBy(*POINT_KEYS).agg(F.min("createtime").alias("createtime"))
+    return lists.join(first, POINT_KEYS)
 
 
 def publish_questions(root: str):

@@ -57,7 +57,7 @@ def test_all_sales_forms_give_the_same_rows(spark, rows, sales, tmp_path):
 
 def test_bucketed_tables_join_without_shuffle(spark, sales, tmp_path):
     course, cart, pay = sales
-    house = Warehouse(str(tmp_path), catalog_prefix="noshuffle_", files_per_bucket=2)
+    house = Warehouse(str(tmp_path), catalog_prefix="noshuffle_", buckets=6)
     for name, df in (("cart", cart), ("pay", pay)):
         house.append_bucketed(df, name, "orderid", ("dt", "dn"))
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -125,3 +125,14 @@ def test_full_outer_totals(spark, rows):
     h = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n long")
     b = spark.createDataFrame([("b", 5), ("c", 7)], "k string, n long")
     assert rows(add_full_outer(h, b, ["k"], "n")) == [("a", 1), ("b", 7), ("c", 7)]
+
+
+def test_a_hot_order_is_joined_apart(spark, rows, sales, tmp_path):
+    course, cart, pay = sales
+    hot_cart = cart.unionByName(cart.withColumn("orderid", F.lit("o2")))
+    want = rows(sellcourse.sell_detail(course, hot_cart, pay, "d1"))
+    house = Warehouse(str(tmp_path), catalog_prefix="hot_")
+    for name, df in (("cart", hot_cart), ("pay", pay)):
+        house.append_bucketed(df, name, "orderid", ("dt", "dn"))
+    stored = [house.read_bucketed(spark, name) for name in ("cart", "pay")]
+    assert rows(sellcourse.sell_detail_bucketed(course, *stored, "d1", hot_share=0.2)) == want
