@@ -136,8 +136,10 @@ def clean_text(text: Column | str) -> Column:
 
 
 def tokens(text: Column | str) -> Column:
-    """Tokens between single spaces; trailing empty tokens are dropped, inner ones kept."""
-    return F.split(F.regexp_replace(_col(text), " +$", ""), " ")
+    """Tokens between single spaces; trailing empty tokens are dropped, inner ones kept; spaces alone give none."""
+    text = _col(text)
+    cut = F.split(F.regexp_replace(text, " +$", ""), " ")
+    return F.when(text.rlike("^ +$"), F.array().cast("array<string>")).otherwise(cut)
 
 
 def ipv4_number(ip: Column | str) -> Column:

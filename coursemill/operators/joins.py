@@ -24,7 +24,7 @@ def broadcast_within(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: i
     return F.broadcast(df) if weight <= max_bytes else df
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.001) -> DataFrame:
     """Keys that hold more than ``share`` of all rows, as a local frame of fewer than ``1 / share`` rows.
 
     One pass over the key columns: counts are combined before the shuffle, the total is observed on the way, and only
@@ -58,7 +58,7 @@ def salted_join(
     *,
     spread_by: Sequence[str],
     salts: int = 100,
-    hot_share: float | None = 0.01,
+    hot_share: float | None = 0.001,
 ) -> DataFrame:
     """``small.join(big, on, how)`` for a big side with hot keys; ``how`` is ``inner`` or ``right``.
 

@@ -31,29 +31,35 @@ def undo_day(history: DataFrame, day: str) -> DataFrame:
     return history.where(F.col("start_time") != day).withColumn("end_time", reopened)
 
 
-def merge_day(history: DataFrame, day_rows: DataFrame, day: str) -> DataFrame:
-    """History after one day: the open row of each paying member closes at the new row's start, which adds its money.
+def merge_open(open_rows: DataFrame, day_rows: DataFrame) -> DataFrame:
+    """Open rows and a day's rows as they stand after the day: at most one row per member closes.
 
-    Closed rows cannot change, so they pass straight through: only open rows (about one per member) and the day's rows
-    are shuffled, however long the history grows. The day's rows are already one per member and site, so no member can
-    form a large group. Days are merged in order; merging the latest day again gives the same history.
+    The second last row of a member closes at the start of the last one, which adds its money. Both inputs have about
+    one row per member and site, so no member can form a large group.
     """
-    before = undo_day(history.select(*COLUMNS), day)
-    closed = before.where(F.col("end_time") != OPEN_END)
-    still_open = before.where(F.col("end_time") == OPEN_END).unionByName(day_rows.select(*COLUMNS))
     by_start = W.partitionBy("uid", "dn").orderBy("start_time")
     is_last = F.col("_next").isNull()
     is_second_last = F.col("_next").isNotNull() & F.col("_after_next").isNull()
     zero = F.lit(0).cast("decimal(20,4)")
     added = F.coalesce("paymoney", zero) + F.coalesce("_prev_money", zero)
     merged = (
-        still_open.withColumn("_next", F.lead("start_time").over(by_start))
+        open_rows.select(*COLUMNS)
+        .unionByName(day_rows.select(*COLUMNS))
+        .withColumn("_next", F.lead("start_time").over(by_start))
         .withColumn("_after_next", F.lead("start_time", 2).over(by_start))
         .withColumn("_prev", F.lag("start_time").over(by_start))
         .withColumn("_prev_money", F.lag("paymoney").over(by_start))
         .withColumn("end_time", F.when(is_second_last, F.col("_next")).otherwise(F.col("end_time")))
         .withColumn("paymoney", F.when(is_last & F.col("_prev").isNotNull(), added).otherwise(F.col("paymoney")))
     )
-    out = merged.select(*COLUMNS)
-    money_type = F.col("paymoney").cast("decimal(20,4)")
-    return closed.withColumn("paymoney", money_type).unionByName(out.withColumn("paymoney", money_type))
+    return merged.withColumn("paymoney", F.col("paymoney").cast("decimal(20,4)")).select(*COLUMNS)
+
+
+def merge_day(history: DataFrame, day_rows: DataFrame, day: str) -> DataFrame:
+    """Whole history after one day. Closed rows cannot change, so they pass straight through and only open rows and
+    the day's rows are shuffled. Days are merged in order; merging the latest day again gives the same history.
+    """
+    before = undo_day(history.select(*COLUMNS), day)
+    closed = before.where(F.col("end_time") != OPEN_END)
+    closed = closed.withColumn("paymoney", F.col("paymoney").cast("decimal(20,4)"))
+    return closed.unionByName(merge_open(before.where(F.col("end_time") == OPEN_END), day_rows))

@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from coursemill.functions.columns import dashed_date
 from coursemill.operators import zipper
-from coursemill.plans import member, qz, sellcourse
+from coursemill.plans import history, member, qz, sellcourse
 from coursemill.plans.etl import load
 from coursemill.plans.specs import SPECS
 from coursemill.plans.warehouse import Warehouse
-from coursemill.sinks.tables import publish_snapshot, read_snapshot
 
 # Load order of the cleaned tables per subject area.
 MEMBER_TABLES = (
@@ -26,8 +23,6 @@ SELL_TABLES = "dwd_course_pay dwd_course_shopping_cart dwd_sale_course".split()
 SELL_BUCKETED_TABLES = "dwd_course_pay_cluster dwd_course_shopping_cart_cluster".split()
 
 _DAY_SITE = ("dt", "dn")
-_ZIPPER = "dws.dws_member_zipper"
-_ZIPPER_SCHEMA = "uid int, paymoney decimal(20,4), vip_level string, start_time string, end_time string, dn string"
 
 
 def load_tables(spark: SparkSession, house: Warehouse, ods: str, tables: list[str]) -> None:
@@ -49,15 +44,13 @@ def member_wide(spark: SparkSession, house: Warehouse, dt: str) -> None:
     names = "dwd_member dwd_member_regtype dwd_base_ad dwd_base_website dwd_pcentermempaymoney dwd_vip_level".split()
     tables = [_dwd(spark, house, name) for name in names]
     _replace_day(house, member.wide_member(*tables, dt), "dws.dws_member")
-    history = zipper_history(spark, house)
     day = zipper.day_changes(tables[4], tables[5], dt)
-    dashed = spark.range(1).select(dashed_date(F.lit(dt)).alias("d")).first()["d"]
-    merged = zipper.merge_day(history, day, dashed)
-    publish_snapshot(merged, house.path(_ZIPPER), partition_by=["dn"])
+    root = house.path("dws.dws_member_zipper")
+    history.publish_day(zipper.merge_open(history.open_before(spark, root, dt), day), root, dt)
 
 
 def zipper_history(spark: SparkSession, house: Warehouse) -> DataFrame:
-    return read_snapshot(spark, house.path(_ZIPPER), _ZIPPER_SCHEMA)
+    return history.read_all(spark, house.path("dws.dws_member_zipper"))
 
 
 def member_reports(spark: SparkSession, house: Warehouse, dt: str) -> None:

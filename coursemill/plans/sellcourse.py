@@ -56,7 +56,7 @@ def sell_detail_salted(
     dt: str,
     *,
     salts: int = 100,
-    hot_share: float | None = 0.01,
+    hot_share: float | None = 0.001,
 ) -> DataFrame:
     """The same rows with hot courses spread over ``salts`` reducers."""
     joined = salted_join(
@@ -77,7 +77,7 @@ def sell_detail_broadcast(course: DataFrame, cart: DataFrame, pay: DataFrame, dt
 
 
 def sell_detail_bucketed(
-    course: DataFrame, cart: DataFrame, pay: DataFrame, dt: str, *, hot_share: float = 0.01
+    course: DataFrame, cart: DataFrame, pay: DataFrame, dt: str, *, hot_share: float = 0.001
 ) -> DataFrame:
     """The same rows from cart and payment tables bucketed on orderid: those two join without any shuffle.
 

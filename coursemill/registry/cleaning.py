@@ -180,6 +180,7 @@ def clean_string(spark, sf):
     "word_count",
     """select word, count(*) as n from (
          select unnest(string_split(regexp_replace(text, ' +$', ''), ' ')) as word from documents
+         where not regexp_full_match(text, ' +')
        ) group by word""",
 )
 def words(spark, sf):

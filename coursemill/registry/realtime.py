@@ -83,6 +83,19 @@ def sliding_window_direct(spark, sf):
     return _window_text(register.sliding_counts(_timed_sign_ups(spark, sf), "ts"))
 
 
+@query("stream_sliding_window", _SLIDING_SQL)
+def stream_sliding_window(spark, sf):
+    """Windows by event time over a stream of timed lines; each micro-batch records the windows it changed."""
+    root = workspace(spark, "sliding")
+    lines = register_lines(spark, sf).repartition(6)
+    lines.write.parquet(f"{root}/log")
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 3).parquet(f"{root}/log")
+    counts = register.sliding_counts(register.register_events(stream, ("ts",)), "ts")
+    publish = lambda rows, batch: publish_changes(rows, f"{root}/out", batch)
+    start(counts, publish, checkpoint=f"{root}/checkpoint").awaitTermination()
+    return _window_text(latest_rows(spark, f"{root}/out", ["window_start", "window_end", "app_name"]))
+
+
 # ---------------------------------------------------------------- pages
 
 _PAGES = ctes("page_fields") + """, p as (select * from page_fields

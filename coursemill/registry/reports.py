@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 
 from coursemill.operators import zipper
 from coursemill.operators.grouping import two_phase_count
-from coursemill.plans import member, qz, sellcourse
+from coursemill.plans import history, member, qz, sellcourse
 from coursemill.plans.warehouse import Warehouse
 from coursemill.registry.book import add, query
 from coursemill.registry.views import DT, QZ_TABLES, VIEWS, ctes, table, view
 from coursemill.session import workspace
-from coursemill.sinks.tables import publish_snapshot, read_snapshot
 
 # ---------------------------------------------------------------- member
 
@@ -106,7 +105,7 @@ def _zipper_inputs(spark, sf):
     old = years.where(F.col("year") < latest)
     chain = W.partitionBy("uid", "dn").orderBy("year")
     start = F.concat("year", F.lit("-01-01"))
-    history = old.select(
+    before = old.select(
         "uid",
         F.sum("m").over(chain).cast("decimal(20,4)").alias("paymoney"),
         F.concat(F.lit("level "), (F.col("v") % 8).cast("string")).alias("vip_level"),
@@ -115,7 +114,7 @@ def _zipper_inputs(spark, sf):
         "dn",
     )
     today = pay.where(F.col("year") == latest).withColumn("dt", F.lit(f"{latest}0101"))
-    return history, today, vip, latest
+    return before, today, vip, latest
 
 
 _ZIPPER_CHECK = ctes("yearly_pay", "vip") + """,
@@ -135,20 +134,21 @@ from u window w as (partition by uid, dn order by start_time)"""
 
 @query("scd2_zipper", _ZIPPER_CHECK)
 def scd2_zipper(spark, sf):
-    history, today, vip, latest = _zipper_inputs(spark, sf)
+    before, today, vip, latest = _zipper_inputs(spark, sf)
     day = zipper.day_changes(today, vip, f"{latest}0101")
-    return zipper.merge_day(history, day, f"{latest}-01-01")
+    return zipper.merge_day(before, day, f"{latest}-01-01")
 
 
 @query("scd2_zipper_rerun", _ZIPPER_CHECK)
 def scd2_zipper_rerun(spark, sf):
-    """The same day merged twice through published versions gives the history of one merge."""
-    history, today, vip, latest = _zipper_inputs(spark, sf)
+    """The stored form: older years as one run, then the last year merged twice, which must count once."""
+    before, today, vip, latest = _zipper_inputs(spark, sf)
     day, root = zipper.day_changes(today, vip, f"{latest}0101"), workspace(spark, "zipper")
-    publish_snapshot(history, root)
+    history.publish_day(before, root, "00000000")
     for _ in range(2):
-        publish_snapshot(zipper.merge_day(read_snapshot(spark, root), day, f"{latest}-01-01"), root)
-    return read_snapshot(spark, root)
+        open_rows = history.open_before(spark, root, f"{latest}0101")
+        history.publish_day(zipper.merge_open(open_rows, day), root, f"{latest}0101")
+    return history.read_all(spark, root)
 
 
 # ---------------------------------------------------------------- question bank

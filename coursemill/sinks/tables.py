@@ -118,8 +118,13 @@ def read_snapshot(spark: SparkSession, root: str, schema: str | None = None) ->
     return reader.parquet(f"{root}/version={version}")
 
 
-def publish_changes(df: DataFrame, root: str, batch_id: int) -> None:
-    """Record the changed rows of one batch under its id; a replayed batch overwrites its own folder."""
+def publish_changes(df: DataFrame, root: str, batch_id: int, compact: bool = False) -> None:
+    """Record the changed rows of one batch under its id; a replayed batch overwrites its own folder.
+
+    ``compact`` merges the small outputs of a micro-batch's many state partitions into few files.
+    """
+    if compact:
+        df = df.hint("rebalance")
     df.write.mode("overwrite").parquet(f"{root}/changes/batch={batch_id}")
 
 

@@ -67,7 +67,7 @@ def question_history(questions: DataFrame) -> DataFrame:
 def publish_questions(root: str):
     """Publisher for update-mode question totals: each batch records only the questions it changed."""
     def publish(rows: DataFrame, batch: int) -> None:
-        publish_changes(rows, root, batch)
+        publish_changes(rows, root, batch, compact=True)
 
     return publish
 

@@ -18,7 +18,7 @@ def _replace(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def _changes(path: str) -> Callable[[DataFrame, int], None]:
-    return lambda rows, batch: publish_changes(rows, path, batch)
+    return lambda rows, batch: publish_changes(rows, path, batch, compact=True)
 
 
 def _run(job: str, name: str, df: DataFrame, publish, out: str, mode: str, once: bool) -> StreamingQuery:

@@ -138,6 +138,6 @@ def watch_time_stream(events: DataFrame) -> DataFrame:
 def publish_videos(root: str):
     """Publisher for changed videos: last value per key wins (``latest_rows``)."""
     def publish(rows: DataFrame, batch: int) -> None:
-        publish_changes(rows, root, batch)
+        publish_changes(rows, root, batch, compact=True)
 
     return publish

@@ -72,6 +72,7 @@ def test_watch_seconds_cut_towards_zero(spark):
 def test_text_rules(spark):
     assert one(spark, "12.3abc..d4", c.clean_text) == "3abcd4"
     assert one(spark, "a  b  ", c.tokens) == ["a", "", "b"]
+    assert [one(spark, v, c.tokens) for v in ("  ", "", " a")] == [[], [""], ["", "a"]]
     assert one(spark, "country|0|Shanghai|city|isp", c.region_province) == "Shanghai"
     assert one(spark, "country", c.region_province) is None
 

@@ -1,6 +1,7 @@
 from decimal import Decimal
 
 from coursemill.operators import zipper
+from coursemill.plans import history
 
 SCHEMA = "uid int, paymoney decimal(20,4), vip_level string, start_time string, end_time string, dn string"
 OPEN = "9999-12-31"
@@ -52,3 +53,31 @@ def test_day_changes_need_a_known_level(spark):
     vip = spark.createDataFrame([(1, "gold", "a"), (2, "silver", "a")], "vip_id int, vip_level string, dn string")
     got = [tuple(r) for r in zipper.day_changes(pay, vip, "20190102").collect()]
     assert got == [(1, Decimal("12.5000"), "silver", "2019-01-02", OPEN, "a")]
+
+
+def test_stored_history_rewrites_only_open_rows(spark, tmp_path):
+    root = str(tmp_path / "h")
+    assert state(history.read_all(spark, root)) == []
+
+    def day(dt, *payers):
+        dashed = f"{dt[:4]}-{dt[4:6]}-{dt[6:]}"
+        rows = frame(spark, *[(u, m, dashed, OPEN) for u, m in payers])
+        history.publish_day(zipper.merge_open(history.open_before(spark, root, dt), rows), root, dt)
+
+    day("20190101", (1, 100), (2, 5))
+    day("20190102", (1, 100))
+    day("20190103", (1, 50), (3, 9))
+    want = [
+        (1, 100, "2019-01-01", "2019-01-02"), (1, 200, "2019-01-02", "2019-01-03"), (1, 250, "2019-01-03", OPEN),
+        (2, 5, "2019-01-01", OPEN), (3, 9, "2019-01-03", OPEN),
+    ]
+    assert state(history.read_all(spark, root)) == want
+    day("20190103", (1, 50), (3, 9))
+    assert state(history.read_all(spark, root)) == want
+    day("20190103", (2, 1))  # corrected
+    assert state(history.read_all(spark, root)) == [
+        (1, 100, "2019-01-01", "2019-01-02"), (1, 200, "2019-01-02", OPEN), (2, 5, "2019-01-01", "2019-01-03"),
+        (2, 6, "2019-01-03", OPEN),
+    ]
+    stored = list((tmp_path / "h").glob("run=*/state=closed"))
+    assert len(stored) == 4 and len(list((tmp_path / "h").glob("run=*"))) == 5
