@@ -60,7 +60,7 @@ def stream_running_counts(spark, sf):
 _SLIDING_SQL = f"""
   select strftime(s, '%Y-%m-%d %H:%M:%S') as window_start, strftime(s + interval 60 second, '%Y-%m-%d %H:%M:%S') as window_end,
     app_name, count(*) as num
-  from (select {_APP} as app_name, to_timestamp((epoch_ms(ts) // 6000) * 6 - 6 * b)::timestamp as s
+  from (select {_APP} as app_name, make_timestamp(((epoch_ms(ts) // 6000) * 6 - 6 * b) * 1000000) as s
         from events, (select unnest(generate_series(0, 9)) as b) where {_VALID})
   group by s, app_name"""
 
