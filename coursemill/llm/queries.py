@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from coursemill.llm.common import table
+from coursemill.llm.simhash import simhash
 from coursemill.llm.substring import substring_dedup
 from coursemill.registry.book import Query
 
@@ -35,3 +36,8 @@ k AS (SELECT o.doc_id, string_agg(o.x, ' ' ORDER BY o.i) AS t FROM o LEFT JOIN g
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gl.gone), 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN gl USING (doc_id) LEFT JOIN k USING (doc_id)
 """
+
+
+@_query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash(table(spark, sf_dir, "documents"), radius=2)
