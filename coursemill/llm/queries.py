@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from coursemill.llm.common import table
 from coursemill.llm.simhash import simhash
 from coursemill.llm.substring import substring_dedup
+from coursemill.llm.warc import archive_pages
 from coursemill.registry.book import Query
 
 QUERIES: dict[str, Query] = {}
@@ -41,3 +42,8 @@ FROM d LEFT JOIN gl USING (doc_id) LEFT JOIN k USING (doc_id)
 @_query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash(table(spark, sf_dir, "documents"), radius=2)
+
+
+@_query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(table(spark, sf_dir, "pages"), least_bytes=0)
