@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from coursemill.llm.common import table
+from coursemill.llm.rules import quality_rules
 from coursemill.llm.simhash import simhash
 from coursemill.llm.substring import substring_dedup
 from coursemill.llm.warc import archive_pages
@@ -47,3 +48,9 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages"), least_bytes=0)
+
+
+@_query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0")
+    return quality_rules(table(spark, sf_dir, "documents"), trusted)
