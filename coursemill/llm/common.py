@@ -102,7 +102,7 @@ def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: int
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     eight = np.ndarray((len(data) + 1,), "<u8", padded.tobytes(), strides=(1,))
     left = end - begin
-    h = mix(left.astype(np.uint64) + np.uint64(seed) * np.uint64(0x9E3779B97F4A7C15))
+    h = mix(left.astype(np.uint64) + np.uint64(seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
     live, at = np.arange(len(begin)), begin.copy()
     while len(live):
         v = eight[at]

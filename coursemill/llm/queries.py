@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from coursemill.llm.classifier import quality_scores
 from coursemill.llm.common import table
 from coursemill.llm.rules import quality_rules
 from coursemill.llm.simhash import simhash
@@ -54,3 +56,17 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0")
     return quality_rules(table(spark, sf_dir, "documents"), trusted)
+
+
+THRESHOLD = 0.3
+
+
+def _held_out() -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+
+
+@_query
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").filter(~_held_out()).select("doc_id", F.col("quality").alias("y"))
+    out = quality_scores(table(spark, sf_dir, "documents"), labels)
+    return out.select("doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
