@@ -25,9 +25,10 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         k += 1
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = scratch.keep(least, f"least-{k}-large")  # written, so that the join can split a hot node
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = scratch.keep(large, f"stars-{k}-large")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = scratch.keep(large.groupBy("a").agg(F.min("b").alias("m")), f"least-{k}")
         small = large.join(least, "a").filter("b <> m").select("b", "m").unionByName(least.select(F.col("a").alias("b"), "m"))
         now = scratch.keep(small.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), f"stars-{k}")
         after = _mark(now)

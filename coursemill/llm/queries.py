@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from coursemill.llm.chat import conversation_digests, format_conversations
 from coursemill.llm.classifier import quality_scores
 from coursemill.llm.common import table
+from coursemill.llm.neighbours import nearest
 from coursemill.llm.rules import quality_rules
 from coursemill.llm.simhash import simhash
 from coursemill.llm.substring import substring_dedup
@@ -92,3 +93,9 @@ sha256(coalesce(string_agg(text, '' ORDER BY turn, role) FILTER (WHERE role = 'a
 CAST(sum(24 + length(regexp_replace(replace(replace(role, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n'), '<(\\*)\|', '<\1\\|', 'g')) + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g'))) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id
 """
+
+
+@_query
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)

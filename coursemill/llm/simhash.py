@@ -178,7 +178,7 @@ def _compare(radius: int):
     return rows
 
 
-def near_fingerprints(fps: DataFrame, radius: int = RADIUS, split: int = SPLIT) -> DataFrame:
+def near_fingerprints(fps: DataFrame, scratch: Scratch, radius: int = RADIUS, split: int = SPLIT) -> DataFrame:
     """Edges ``a, b`` that tie all distinct fingerprints ``fp`` with at most ``radius`` (two or fewer) differing bits."""
     if radius > 2:
         raise ValueError("the filing by two of four blocks holds for two differing bits at most")
@@ -189,6 +189,7 @@ def near_fingerprints(fps: DataFrame, radius: int = RADIUS, split: int = SPLIT)
     ])
     filed = fps.select("fp", F.explode(combos).alias("c")).select("fp", "c.combo", "c.key")
     counts = filed.groupBy("combo", "key").agg(F.count("*").alias("n")).filter("n > 1")
+    counts = scratch.keep(counts, "files")  # a written side leaves the join plain, so adaptive execution can split hot files
     filed = filed.join(counts, ["combo", "key"])
     # the other two 16-bit blocks, as four of 8 bits, by combo
     others = [[b for b in range(4) if b not in pair] for pair in _PAIRS]
@@ -211,12 +212,12 @@ def simhash(docs: DataFrame, radius: int = RADIUS, split: int = SPLIT) -> DataFr
     scratch = Scratch(docs.sparkSession, "simhash")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     prints = scratch.keep(texts.mapInArrow(_prints, "doc_id long, fp long"), "prints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    edges = scratch.keep(near_fingerprints(distinct.select("fp"), radius, split), "edges")
+    distinct = scratch.keep(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    edges = scratch.keep(near_fingerprints(distinct.select("fp"), scratch, radius, split), "edges")
     roots = components(edges, scratch).withColumnRenamed("node", "fp")
     rooted = distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = scratch.keep(rooted, "roots")
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = rooted.join(ids, "root").select("fp", "component_id")
+    ids = scratch.keep(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
+    found = scratch.keep(rooted.join(ids, "root").select("fp", "component_id"), "found")
     out = prints.join(found, "fp")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

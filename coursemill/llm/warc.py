@@ -214,7 +214,7 @@ def archive_pages(pages: DataFrame, least_bytes: int = 0, records_per_file: int
     write_archives(pages, path, scratch, least_bytes, records_per_file=records_per_file)
     records = scratch.keep(read_archives(spark, path, scratch), "records")
     full = records.filter("kind = 'response'").select(F.col("page").alias("refers"), F.col("bytes").alias("full"), F.col("digest").alias("sum"))
-    full = full.dropDuplicates(["refers"])
+    full = scratch.keep(full.dropDuplicates(["refers"]), "responses")  # written, so that the join can split a hot response
     out = records.join(full, "refers", "left")
     return out.select(
         F.col("page").alias("page_id"),
