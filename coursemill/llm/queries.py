@@ -9,6 +9,7 @@ from coursemill.llm.chat import conversation_digests, format_conversations
 from coursemill.llm.classifier import quality_scores
 from coursemill.llm.common import table
 from coursemill.llm.neighbours import nearest
+from coursemill.llm.pieces import encode
 from coursemill.llm.rules import quality_rules
 from coursemill.llm.simhash import simhash
 from coursemill.llm.substring import substring_dedup
@@ -99,3 +100,8 @@ FROM t GROUP BY conv_id
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
+@_query
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(table(spark, sf_dir, "documents"), ["doc_id"])
