@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from coursemill.llm.chat import conversation_digests, format_conversations
 from coursemill.llm.classifier import quality_scores
 from coursemill.llm.common import table
+from coursemill.llm.likelihood import pseudo_likelihood
 from coursemill.llm.neighbours import nearest
 from coursemill.llm.pieces import encode
 from coursemill.llm.rules import quality_rules
@@ -105,3 +106,8 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+@_query
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood(table(spark, sf_dir, "documents"))
