@@ -9,6 +9,7 @@ from coursemill.llm.chat import conversation_digests, format_conversations
 from coursemill.llm.classifier import quality_scores
 from coursemill.llm.common import table
 from coursemill.llm.likelihood import pseudo_likelihood
+from coursemill.llm.mixing import DOMAINS, mix
 from coursemill.llm.neighbours import nearest
 from coursemill.llm.pieces import encode
 from coursemill.llm.rules import quality_rules
@@ -111,3 +112,12 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
+TARGET_WEIGHTS = {"clean": 0.92, "low": 0.05, "toxic": 0.03}
+
+
+@_query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), weights=TARGET_WEIGHTS)
+    return out.select("doc_id", "source", "n_words", *(F.get("p", F.lit(k)).alias(f"p_{d}") for k, d in enumerate(DOMAINS)), "rate")
