@@ -201,8 +201,8 @@ def _rated(rates: Rates):
 MEMBER = "doc_id long, source string, n_words long, p array<double>"
 
 
-def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, factors: dict[str, float] | None = None) -> DataFrame:
-    """``doc_id, source, n_words, p, rate`` of every row of ``docs`` (``doc_id, text, source``).
+def fit_mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, factors: dict[str, float] | None = None) -> tuple[Membership, Rates, DataFrame]:
+    """The classifier, the rates and the members (``MEMBER``) of ``docs`` (``doc_id, text, source``).
 
     Targets are ``weights`` as shares of all words, or the present totals times ``factors``.
     """
@@ -216,4 +216,28 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = N
         targets = share / share.sum() * now.sum()
     else:
         targets = now * np.array([(factors or {}).get(d, 1.0) for d in DOMAINS])
-    return members.mapInArrow(_rated(fit_rates(members, targets, now)), f"{MEMBER}, rate double")
+    return model, fit_rates(members, targets, now), members
+
+
+def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, factors: dict[str, float] | None = None) -> DataFrame:
+    """``doc_id, source, n_words, p, rate`` of every row of ``docs``."""
+    _, rates, members = fit_mix(docs, labels, weights, factors)
+    return members.mapInArrow(_rated(rates), f"{MEMBER}, rate double")
+
+
+def select_by_rate(docs: DataFrame, model: Membership, rates: Rates, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, whose rate comes to one copy at least when rounded (``least`` 0.5)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            row, h, _ = _lowered(batch)
+            yield batch.filter(pa.array(rates.replay(model.posterior(row, signed(h), statistics(batch))) >= least))
+
+    return docs.mapInArrow(rows, docs.schema)
+
+
+def source_weights(mixed: DataFrame) -> DataFrame:
+    """What share of the mixture's words each source gives."""
+    words = mixed.groupBy("source").agg(F.sum("n_words").alias("n_words"), F.sum(F.col("n_words") * F.col("rate")).alias("mixed_words"))
+    whole = words.agg(F.sum("mixed_words")).first()[0] or 1.0
+    return words.withColumn("weight", F.col("mixed_words") / whole)

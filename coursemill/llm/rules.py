@@ -2,7 +2,8 @@
 
 An n-gram here is two neighbouring words' endings (their last ``ENDING`` characters), hashed into ``BUCKETS`` buckets: endings are
 few enough to be counted well in any corpus, and they show capitals, symbol runs, tables and repetition alike. Two multinomials are
-estimated with add-one smoothing: one over trusted documents, one over all documents. A document's score is the mean of
+estimated: one over trusted documents, one over all documents, each bucket with ``PRIOR`` n-grams added in the share of the whole, so that a
+rarely seen n-gram says nothing either way. A document's score is the mean of
 ``log(trusted / raw)`` over its n-grams; it is kept if the score reaches ``THRESHOLD``. No sampling takes part: every document is judged by
 the same fixed threshold. The ratio table has ``BUCKETS`` entries whatever the corpus, so it can go to every task.
 
@@ -13,8 +14,6 @@ judged alike and counted as often as it occurs; null ids are judged like any oth
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +21,7 @@ from coursemill.llm.common import Scratch, words
 
 BUCKETS = 1 << 16
 ENDING = 3
+PRIOR = 30
 THRESHOLD = -0.2
 LEAST_WORDS = 50
 REPEATED_PERCENT = 50
@@ -75,9 +75,10 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, scratch: Scratch) -> DataFra
     grams = flagged.select("_t", words(F.col("text")).alias("_w")).select("_t", F.explode(_grams(F.col("_w"))).alias("bucket"))
     seen = scratch.keep(grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("_t").alias("good")), "buckets")
     raw, good = seen.agg(F.sum("raw"), F.sum("good")).first()
-    ratio = F.log((F.coalesce("good", F.lit(0)) + 1) / (F.coalesce("raw", F.lit(0)) + 1)) + math.log(((raw or 0) + BUCKETS) / ((good or 0) + BUCKETS))
+    part = (good or 0) / (raw or 1)
+    ratio = F.log((F.coalesce("good", F.lit(0)) + PRIOR * part) / (F.coalesce("raw", F.lit(0)) + PRIOR) / part) if part else F.lit(0.0)
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(seen, "bucket", "left")
-    pairs = every.select(F.struct("bucket", (ratio if good else F.lit(0.0)).alias("r")).alias("x"))
+    pairs = every.select(F.struct("bucket", ratio.alias("r")).alias("x"))
     return pairs.agg(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["r"]).alias("ratios"))
 
 
@@ -97,4 +98,6 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESH
     step = step.withColumn("score", F.when(F.size("_g") > 0, total / F.size("_g")).otherwise(F.lit(0.0)))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words"))
     step = step.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
-    return step.select(*carry, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score", "base_failed", "kept")
+    out = [*carry, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score", "base_failed", "kept"]
+    # a filter on the verdict must not pull copies of the whole computation below: it cannot pass a generated row
+    return step.select(F.explode(F.array(F.struct(*out))).alias("r")).select("r.*")

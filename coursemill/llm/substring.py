@@ -184,10 +184,10 @@ def _cut(window: int):
                 texts.append(text.decode())
                 digests.append(hashlib.sha256(b" ".join(text.split())).hexdigest())
             spans = _spans(w, gone)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(removed), pa.array(texts, pa.string()), pa.array(digests, pa.string()), spans],
-                names=["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256", "removed_spans"],
-            )
+            found = [pa.array(n.astype(np.int64)), pa.array(removed), pa.array(texts, pa.string()), pa.array(digests, pa.string()), spans]
+            names = ["n_words", "n_removed", "kept_text", "kept_sha256", "removed_spans"]
+            own = [c for c in ("doc_id", "carried") if c in batch.schema.names]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), *found], names=[*own, *names])
 
     return rows
 
@@ -202,13 +202,18 @@ def _spans(w: _Words, gone: np.ndarray) -> pa.Array:
     return lists(values.astype(np.int32), 2 * np.bincount(doc, minlength=len(w.first) - 1), pa.int32())
 
 
-CUT = "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string, removed_spans array<int>"
+CUT = "n_words long, n_removed long, kept_text string, kept_sha256 string, removed_spans array<int>"
 
 
-def substring_dedup(docs: DataFrame, window: int = 13) -> DataFrame:
-    """Per document: its words, how many were removed, the text that is left, its digest (kept words joined by a space) and the removed spans."""
+def substring_dedup(docs: DataFrame, window: int = 13, carry: list[str] | None = None) -> DataFrame:
+    """Per document: its words, how many were removed, the text that is left, its digest (kept words joined by a space) and the removed spans.
+
+    Columns named in ``carry`` come along in a struct ``carried``.
+    """
     scratch = Scratch(docs.sparkSession, "substring")
     marks = repeated_windows(docs, window, scratch)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    carried = [F.struct(*carry).alias("carried")] if carry else []
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *carried, "text")
     joined = texts.join(marks, "doc_id", "left").withColumn("positions", F.coalesce("positions", F.array().cast("array<int>")))
-    return joined.mapInArrow(_cut(window), CUT)
+    kinds = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in joined.schema if f.name in ("doc_id", "carried"))
+    return joined.mapInArrow(_cut(window), kinds + CUT)
