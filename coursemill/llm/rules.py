@@ -70,7 +70,7 @@ def _grams(w: Column) -> Column:
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, scratch: Scratch) -> DataFrame:
     """``ratios``: one row with ``BUCKETS`` values of log(trusted / raw)."""
-    sure = trusted.select(F.col("doc_id").alias("_id")).filter("_id is not null").distinct().withColumn("_t", F.lit(1))
+    sure = trusted.select(F.col("doc_id").alias("_id")).filter("_id is not null").distinct().withColumn("_t", F.lit(1)).hint("merge")  # ids grow with the corpus: the same plan at every size
     flagged = docs.select("doc_id", "text").join(sure, F.col("doc_id") == F.col("_id"), "left")
     grams = flagged.select("_t", words(F.col("text")).alias("_w")).select("_t", F.explode(_grams(F.col("_w"))).alias("bucket"))
     seen = scratch.keep(grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("_t").alias("good")), "buckets")
