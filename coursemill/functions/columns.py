@@ -44,8 +44,12 @@ def mask_phone(phone: Column | str) -> Column:
 
 # A failed cast raises and catches an exception inside Spark, some fifty times the price of a regex that fails. Log
 # fields are therefore looked at before they are cast.
-_WHOLE = r"^\s*[-+]?[0-9]{1,10}\s*$"
-_DECIMAL = r"^\s*[-+]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][-+]?[0-9]{1,2})?\s*$"
+_WHOLE = r"^\s*[-+]?[0-9]+\s*$"
+# three significant digits of exponent are past every decimal type: such a number is told apart before the cast, which
+# would else write it out digit by digit
+_MANTISSA = r"^\s*[-+]?([0-9]+[.]?[0-9]*|[.][0-9]+)"
+_DECIMAL = _MANTISSA + r"([eE][-+]?0*[0-9]{1,2})?\s*$"
+_VANISHING = _MANTISSA + r"[eE]-0*[1-9][0-9]{2,}\s*$"
 
 
 def whole_number(text: Column | str) -> Column:
@@ -56,8 +60,8 @@ def whole_number(text: Column | str) -> Column:
 
 def decimal_number(text: Column | str, precision: int, scale: int) -> Column:
     """Decimal text rounded half up to ``scale``, anything else (and what does not fit) null."""
-    text = _col(text)
-    return F.when(text.rlike(_DECIMAL), text.try_cast(f"decimal({precision},{scale})"))
+    text, kind = _col(text), f"decimal({precision},{scale})"
+    return F.when(text.rlike(_DECIMAL), text.try_cast(kind)).when(text.rlike(_VANISHING), F.lit(0).cast(kind))
 
 
 def int_or_zero(text: Column | str) -> Column:

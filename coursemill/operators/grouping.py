@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from coursemill.functions.columns import tokens, whole_div
-
-LIST_ITEMS = 1_000_000
+from coursemill.functions.columns import tokens
 
 
 def count_by(df: DataFrame, keys: Sequence[str], counted: str, name: str) -> DataFrame:
@@ -60,31 +58,23 @@ def dense_top(
     return left.join(right, same).select(*[F.col(f"l.{c}") for c in df.columns], F.col(f"r.{name}"))
 
 
-def joined_lists(
-    df: DataFrame, keys: Sequence[str], item: str, name: str, *, list_items: int = LIST_ITEMS
-) -> DataFrame:
-    """Sorted comma list of ``item`` per group, duplicates kept, nulls left out, one row per group with ``part = 0``.
+def joined_lists(df: DataFrame, keys: Sequence[str], item: str, name: str, *, parts: int = 1) -> DataFrame:
+    """Sorted comma list of ``item`` per group, duplicates kept, nulls left out, in ``parts`` slices of like length.
 
-    A group of more than ``list_items`` items is cut into parts of about that size, numbered in ``part``: all items
-    are there, but no task has to hold a whole hot group as one string. Equal items are counted before the shuffle,
-    and an item repeated more often than ``list_items`` is itself cut into runs that go to different parts.
+    Slices follow each other in the order of the items and are numbered from 0 in ``part``; a group with fewer items than
+    slices has fewer. The shape depends on ``parts`` alone, never on the size of a group: declare more slices where one
+    list would be too long a value. Window and grouping share one shuffle.
     """
     keys = list(keys)
-    counted = df.groupBy(*keys, item).agg(F.count(F.lit(1)).alias("_n"))
-    sizes = counted.groupBy(*keys).agg(F.ceil(F.sum("_n") / list_items).cast("long").alias("_parts"))
-    same = F.lit(True)
-    for key in keys:
-        same = same & F.col(f"c.{key}").eqNullSafe(F.col(f"s.{key}"))
-    sized = counted.alias("c").join(sizes.alias("s"), same).select("c.*", "s._parts")
-    cut = F.lit(list_items).cast("long")
-    runs = (
-        sized.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), whole_div(F.col("_n") - 1, cut))))
-        .withColumn("_n", F.least(cut, F.col("_n") - F.col("_run") * cut).cast("int"))
-        .withColumn("part", F.pmod(F.xxhash64(item, "_run"), F.col("_parts")))
-    )
-    items = F.sort_array(F.collect_list(F.struct(item, "_n")))
-    repeated = F.flatten(F.transform(items, lambda s: F.array_repeat(s[item].cast("string"), s["_n"])))
-    return runs.groupBy(*keys, "part").agg(F.array_join(repeated, ",").alias(name))
+    if parts == 1:
+        rows = df.select(*keys, item, F.lit(0).cast("long").alias("part"))
+    else:
+        group = W.partitionBy(*keys)
+        before, total = F.row_number().over(group.orderBy(F.col(item).asc_nulls_last())) - 1, F.count(item).over(group)
+        part = F.when(F.col(item).isNull(), 0).otherwise(F.floor(before * parts / total)).cast("long")
+        rows = df.select(*keys, item, part.alias("part"))
+    items = F.transform(F.sort_array(F.collect_list(item)), lambda x: x.cast("string"))
+    return rows.groupBy(*keys, "part").agg(F.array_join(items, ",").alias(name))
 
 
 def word_count(lines: DataFrame, text: str = "value") -> DataFrame:

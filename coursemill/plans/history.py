@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coursemill.functions.columns import OPEN_END
+from coursemill.sinks.tables import exists
 
 _ROWS = "uid int, paymoney decimal(20,4), vip_level string, start_time string, end_time string"
 _STORED = f"{_ROWS}, run string, state string, dn string"
@@ -32,11 +32,10 @@ def publish_day(rows: DataFrame, root: str, dt: str) -> None:
 
 
 def _runs(spark: SparkSession, root: str) -> dict[str, str]:
-    """Latest run of each day: as many entries as there are days."""
-    try:
-        notes = spark.read.parquet(f"{root}/published")
-    except AnalysisException:
+    """Latest run of each day: as many entries as there are days. A log that cannot be read is not an empty history."""
+    if not exists(spark, f"{root}/published"):
         return {}
+    notes = spark.read.parquet(f"{root}/published")
     return {r["dt"]: r["run"] for r in notes.groupBy("dt").agg(F.max_by("run", "at").alias("run")).collect()}
 
 

@@ -245,11 +245,11 @@ def paper_top_users(fact: DataFrame, dt: str, k: int = 3, *, descending: bool =
     return ranked.select(*[c for c in _RANKED if c not in ("dt", "dn")], "rk", "dt", "dn")
 
 
-def paper_score_bands(fact: DataFrame, dt: str) -> DataFrame:
+def paper_score_bands(fact: DataFrame, dt: str, parts: int = 1) -> DataFrame:
     """User ids per paper and score band as a comma list (see ``joined_lists`` for what ``part`` means)."""
     rows = _fact_day(fact, dt).select(*_PAPER_KEYS, "userid", score_band("score").alias("score_segment"))
     keys = ["paperviewid", "paperviewname", "score_segment", "dt", "dn"]
-    lists = joined_lists(rows, keys, "userid", "userids")
+    lists = joined_lists(rows, keys, "userid", "userids", parts=parts)
     return lists.select(
         "paperviewid", "paperviewname", "score_segment", "part", "userids", "dt", "dn"
     ).orderBy("paperviewid", "score_segment", "part")

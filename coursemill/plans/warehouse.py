@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from coursemill.plans.specs import ORDER_BUCKETS
 from coursemill.sinks.tables import append_bucketed, write_files
@@ -30,15 +31,13 @@ class Warehouse:
     def read(self, spark: SparkSession, table: str, dt: str | None = None, schema: str | None = None) -> DataFrame:
         """A table, or one ``dt`` of it: the filter prunes partitions before any file is opened.
 
-        ``dt`` and ``dn`` are always text; left to inference, ``dt=20190722`` would come back as a number.
+        ``dt`` and ``dn`` are always text: they are read as such, as a value that has been a number once (site ``01``) is lost.
         """
-        reader = spark.read
-        if schema:
-            reader = reader.schema(schema)
-        df = reader.option("basePath", self.path(table)).parquet(self.path(table))
-        for name in ("dt", "dn"):
-            if name in df.columns and dict(df.dtypes)[name] != "string":
-                df = df.withColumn(name, F.col(name).cast("string"))
+        reader = spark.read.option("basePath", self.path(table))
+        if not schema:
+            found = reader.parquet(self.path(table)).schema
+            schema = StructType([StructField(f.name, StringType() if f.name in ("dt", "dn") else f.dataType) for f in found])
+        df = reader.schema(schema).parquet(self.path(table))
         return df if dt is None else df.where(F.col("dt") == dt)
 
     def write(

@@ -23,12 +23,16 @@ def json_lines(rows: DataFrame, with_broken: bool = True) -> DataFrame:
     good = rows.select(text.alias("value"))
     if not with_broken:
         return good
-    kind = F.pmod(F.xxhash64("value"), F.lit(5))
+    kind = F.pmod(F.xxhash64("value"), F.lit(9))
     broken = (
         F.when(kind == 0, F.expr("left(value, length(value) - 1)"))
         .when(kind == 1, F.concat(F.lit("["), "value", F.lit("]")))
         .when(kind == 2, F.lit("null"))
         .when(kind == 3, F.lit(""))
+        .when(kind == 4, F.concat("value", F.lit(" xyz")))
+        .when(kind == 5, F.concat("value", F.lit("]")))
+        .when(kind == 6, F.concat("value", "value"))
+        .when(kind == 7, F.concat("value", F.lit(',"more":{"a":1}')))
         .otherwise(F.concat(F.lit("bad "), "value"))
     )
     return good.select(F.explode(F.array("value", broken)).alias("value"))

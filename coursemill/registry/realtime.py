@@ -12,8 +12,11 @@ from coursemill.registry.views import ctes, table, view
 from coursemill.session import workspace
 from coursemill.sinks.tables import (
     additive_totals,
+    fold_changes,
     latest_rows,
     publish_changes,
+    publish_snapshot,
+    read_snapshot,
     replace_table,
     replay_lines,
     write_files,
@@ -32,10 +35,6 @@ def _streamed(spark, name, lines, transform, publish, mode, per_trigger=4):
     return f"{root}/out"
 
 
-def _publish_all(root):
-    return lambda rows, _batch: replace_table(rows, root)
-
-
 # ---------------------------------------------------------------- sign-ups
 
 _APP = "case event_type when 'signup' then 'PC' when 'purchase' then 'APP' else 'Other' end"
@@ -52,9 +51,10 @@ def running_counts(spark, sf):
 def stream_running_counts(spark, sf):
     out = _streamed(
         spark, "register", register_lines(spark, sf),
-        lambda s: register.running_counts(register.register_events(s)), _publish_all, "complete",
+        lambda s: register.running_counts(register.register_events(s)),
+        lambda root: lambda rows, batch: publish_changes(rows, root, batch), "update",
     )
-    return spark.read.parquet(out)
+    return latest_rows(spark, out, ["app_name"])
 
 
 _SLIDING_SQL = f"""
@@ -131,13 +131,13 @@ def funnel_rates(spark, sf):
 def _page_stream(spark, sf):
     return _streamed(
         spark, "pages", page_lines(spark, sf), lambda s: pages.page_jumps(pages.page_events(s)),
-        pages.publish_funnel, "complete",
+        pages.publish_jumps, "update",
     )
 
 
 @query("stream_page_jumps", _JUMPS_SQL)
 def stream_page_jumps(spark, sf):
-    return spark.read.parquet(f"{_page_stream(spark, sf)}/jumps")
+    return pages.published_jumps(spark, _page_stream(spark, sf))
 
 
 @query(
@@ -147,7 +147,7 @@ def stream_page_jumps(spark, sf):
       left join r on t.page_id = cast(r.page_id as string)""",
 )
 def stream_page_rates(spark, sf):
-    return spark.read.parquet(f"{_page_stream(spark, sf)}/pages")
+    return pages.published_pages(spark, _page_stream(spark, sf))
 
 
 _LOOKUP = _PAGES + ctes("ip_ranges").replace("with ", ", ", 1) + """, q as (select p.ip, coalesce(split_part(r.region, '|', 3), '0') as province from
@@ -178,9 +178,9 @@ def stream_province_top3(spark, sf):
     ranges = view(spark, sf, "ip_ranges")
     out = _streamed(
         spark, "provinces", page_lines(spark, sf),
-        lambda s: pages.province_clicks_stream(pages.page_events(s), ranges), pages.publish_provinces, "complete",
+        lambda s: pages.page_events(s).select("ip"), lambda root: pages.publish_clicks(root, ranges), "append",
     )
-    return spark.read.parquet(f"{out}/top")
+    return pages.top_provinces(pages.published_clicks(spark, out))
 
 
 @query("full_outer_merge", "select event_type, user_id, count(*) as num from events group by event_type, user_id")
@@ -222,9 +222,9 @@ def mastery(spark, sf):
 def stream_mastery(spark, sf):
     out = _streamed(
         spark, "answers", answer_lines(spark, sf),
-        lambda s: answers.question_totals(answers.answer_events(s)), answers.publish_questions, "update",
+        lambda s: answers.question_totals(answers.answer_events(s)), answers.publish_points, "update",
     )
-    return answers.published_mastery(spark, out)
+    return answers.published_points(spark, out).drop("updatetime")
 
 
 @query(
@@ -237,6 +237,37 @@ def question_history(spark, sf):
     return answers.question_history(answers.question_totals(answers.answer_events(answer_lines(spark, sf))))
 
 
+@query(
+    "question_history_parts",
+    ctes("answer_fields")
+    + """, q as (select distinct userid, courseid, pointid, questionid from answer_fields),
+      r as (select *, (row_number() over w - 1) * 2 // count(questionid) over (partition by userid, courseid, pointid) as part
+        from q window w as (partition by userid, courseid, pointid order by questionid nulls last)),
+      f as (select userid, courseid, pointid, min(createtime) as createtime from answer_fields group by userid, courseid, pointid)
+      select userid, courseid, pointid, cast(case when questionid is null then 0 else part end as bigint) as part,
+        coalesce(string_agg(questionid, ',' order by questionid), '') as questionids, any_value(f.createtime) as createtime
+      from r join f using (userid, courseid, pointid) group by 1, 2, 3, 4""",
+)
+def question_history_parts(spark, sf):
+    """The same in two ordered slices per point."""
+    return answers.question_history(answers.question_totals(answers.answer_events(answer_lines(spark, sf))), parts=2)
+
+
+@query("fold_additive", "select l_partkey, l_suppkey, count(*) as num from lineitem group by l_partkey, l_suppkey")
+def fold_additive(spark, sf):
+    """Additive upsert with a fold between the batches and one after a batch that came later than the fold's listing."""
+    root, keys = workspace(spark, "fold"), ["l_partkey", "l_suppkey"]
+    lines = table(spark, sf, "lineitem")
+    amount = lambda b: lines.where(F.col("l_linenumber") % 3 == b).groupBy(*keys).agg(F.count(F.lit(1)).alias("num"))
+    publish_changes(amount(0), root, 0)
+    fold_changes(spark, root, keys, additive=True)
+    publish_changes(amount(1), root, 1)
+    totals = additive_totals(spark, root, keys, 1)
+    publish_changes(amount(2), root, 2)  # lands while batches up to 1 are folded
+    publish_snapshot(totals, f"{root}/base", "1")
+    return additive_totals(spark, root, keys)
+
+
 # ---------------------------------------------------------------- watch time
 
 _SECS = "cast((te - ts) // 1000 as bigint)"
@@ -429,7 +460,7 @@ def replace_small_table(spark, sf):
     root, orders = workspace(spark, "replace"), table(spark, sf, "orders")
     replace_table(orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("num")), root)
     replace_table(orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("num")), root)
-    return spark.read.parquet(root)
+    return read_snapshot(spark, root)
 
 
 @query(

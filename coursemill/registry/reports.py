@@ -279,6 +279,17 @@ _report(
           when score > 80 and score <= 100 then '80-100' end as score_segment from paper_detail where dt = '{DT}')
       group by paperviewid, paperviewname, score_segment, dt, dn""",
 )
+_report(
+    "score_segments_parts",
+    lambda fact, dt: qz.paper_score_bands(fact, dt, parts=3),
+    f"""select paperviewid, paperviewname, score_segment, part, string_agg(cast(userid as string), ',' order by userid) as userids, dt, dn from (
+        select *, (row_number() over (partition by paperviewid, paperviewname, score_segment, dt, dn order by userid) - 1) * 3
+          // count(*) over (partition by paperviewid, paperviewname, score_segment, dt, dn) as part
+        from (select *, case when score >= 0 and score <= 20 then '0-20' when score > 20 and score <= 40 then '20-40'
+          when score > 40 and score <= 60 then '40-60' when score > 60 and score <= 80 then '60-80'
+          when score > 80 and score <= 100 then '80-100' end as score_segment from paper_detail where dt = '{DT}'))
+      group by paperviewid, paperviewname, score_segment, part, dt, dn""",
+)
 _report(
     "pass_rate",
     qz.paper_pass_rates,

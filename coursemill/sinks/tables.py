@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,12 +97,17 @@ def publish_snapshot(df: DataFrame, root: str, version: str | None = None, parti
     announced.write.mode("append").parquet(f"{root}/published")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at a path, in whatever file system it names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where)
+
+
 def latest_version(spark: SparkSession, root: str) -> str | None:
-    """Name of the version announced last, if any was."""
-    try:
-        published = spark.read.parquet(f"{root}/published")
-    except AnalysisException:
+    """Name of the version announced last, if any was. A log that is there but cannot be read is an error, not "none yet"."""
+    if not exists(spark, f"{root}/published"):
         return None
+    published = spark.read.schema("version string, at double").parquet(f"{root}/published")
     return published.agg(F.max_by("version", "at").alias("version")).first()["version"]
 
 
@@ -128,27 +132,30 @@ def publish_changes(df: DataFrame, root: str, batch_id: int, compact: bool = Fal
     df.write.mode("overwrite").parquet(f"{root}/changes/batch={batch_id}")
 
 
-def _recorded(spark: SparkSession, root: str) -> DataFrame:
-    """All change rows with their ``batch``: the folded base, if there is one, and what came after it."""
+def _recorded(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
+    """All change rows with their ``batch``: the folded base, if there is one, and what came after it, up to batch ``upto``."""
     changes = spark.read.option("basePath", f"{root}/changes").parquet(f"{root}/changes")
+    changes = changes.withColumn("batch", F.col("batch").cast("long"))
+    if upto is not None:
+        changes = changes.where(F.col("batch") <= upto)
     folded = latest_version(spark, f"{root}/base")
     if folded is None:
         return changes
-    base = read_snapshot(spark, f"{root}/base").withColumn("batch", F.lit(int(folded)))
+    base = read_snapshot(spark, f"{root}/base").withColumn("batch", F.lit(int(folded)).cast("long"))
     return changes.where(F.col("batch") > int(folded)).unionByName(base)
 
 
-def latest_rows(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
+def latest_rows(spark: SparkSession, root: str, keys: Sequence[str], upto: int | None = None) -> DataFrame:
     """Last value per key over all recorded batches (partial aggregation, so a hot key shrinks before the shuffle)."""
-    changes = _recorded(spark, root)
+    changes = _recorded(spark, root, upto)
     values = [c for c in changes.columns if c not in {*keys, "batch"}]
     picked = changes.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("r"))
     return picked.select(*keys, *[F.col(f"r.{v}").alias(v) for v in values])
 
 
-def additive_totals(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
+def additive_totals(spark: SparkSession, root: str, keys: Sequence[str], upto: int | None = None) -> DataFrame:
     """Sum of the recorded per-batch amounts per key: ``total = total + ?`` without any read-modify-write."""
-    changes = _recorded(spark, root)
+    changes = _recorded(spark, root, upto)
     values = [c for c in changes.columns if c not in {*keys, "batch"}]
     return changes.groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values])
 
@@ -156,16 +163,17 @@ def additive_totals(spark: SparkSession, root: str, keys: Sequence[str]) -> Data
 def fold_changes(spark: SparkSession, root: str, keys: Sequence[str], additive: bool = False) -> None:
     """Fold the batches recorded so far into one base, so that readers open only the base and later batches.
 
-    Run now and then. The base is announced when it is complete; until then readers use what they used before.
+    Run now and then. What is folded ends at the batch that the base is named after: one that lands meanwhile stays in the log
+    alone. The base is announced when it is complete; until then readers use what they used before.
     """
-    upto = spark.read.parquet(f"{root}/changes").agg(F.max("batch").alias("b")).first()["b"]
-    rows = additive_totals(spark, root, keys) if additive else latest_rows(spark, root, keys)
-    publish_snapshot(rows, f"{root}/base", str(upto))
+    listed = spark.read.parquet(f"{root}/changes").agg(F.max(F.col("batch").cast("long")).alias("b")).first()["b"]
+    rows = additive_totals(spark, root, keys, listed) if additive else latest_rows(spark, root, keys, listed)
+    publish_snapshot(rows, f"{root}/base", str(listed))
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """Truncate and reload a small result."""
-    df.write.mode("overwrite").parquet(path)
+def replace_table(df: DataFrame, root: str) -> None:
+    """Truncate and reload a small result, read with ``read_snapshot``: readers see the old rows until the new ones are all there."""
+    publish_snapshot(df, root)
 
 
 def replay_lines(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_BAD = "_corrupt_record"
+_MARK = "_line_mark"
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -15,20 +15,24 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def json_fields(lines: DataFrame, fields: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Named fields of each line as strings; lines that are not a JSON object are dropped.
+    """Named fields of each line as strings; lines that are not one JSON object, and nothing after it, are dropped.
 
-    The parsed struct goes through a one-element ``explode`` so that the validity filter cannot be pushed below it:
-    pushed down, the filter would carry its own copies of ``from_json`` and each line would be parsed again per copy.
+    A JSON parser stops at the end of the first value. Each line is therefore parsed as the only item of a list that is followed by
+    a list with a mark of that line: whatever stands behind the object changes the lists' lengths, breaks them, or ends
+    the parse before the mark. The parsed value goes through a one-element ``explode`` so that the validity filter cannot be
+    pushed below it: pushed down, it would carry its own copies of ``from_json`` and each line would be parsed again per copy.
     Only the asked-for fields are materialised by the parser.
     """
-    schema = ", ".join(f"`{name}` string" for name in [*fields, _BAD])
-    options = {"columnNameOfCorruptRecord": _BAD, "allowUnquotedFieldNames": "true"}
-    parsed = (
-        lines.where(F.ltrim("value", F.lit(" \t\r")).startswith("{"))
-        .select(*keep, F.explode(F.array(F.from_json("value", schema, options))).alias("j"))
-        .where(F.col("j").isNotNull() & F.col(f"j.{_BAD}").isNull())
+    schema = "array<array<struct<" + ", ".join(f"`{name}`: string" for name in [*fields, _MARK]) + ">>>"
+    mark = F.xxhash64("value").cast("string")
+    whole = F.concat(F.lit("[["), "value", F.lit('],[{"' + _MARK + '":"'), mark, F.lit('"}]]'))
+    parsed = lines.where(F.ltrim("value", F.lit(" \t\r")).startswith("{")).select(
+        *keep, mark.alias(_MARK), F.explode(F.array(F.from_json(whole, schema, {"allowUnquotedFieldNames": "true"}))).alias("j")
     )
-    return parsed.select(*keep, *[F.col(f"j.{name}").alias(name) for name in fields])
+    line = F.get(F.get("j", F.lit(0)), F.lit(0))
+    alone = (F.size("j") == 2) & (F.size(F.get("j", F.lit(0))) == 1) & (F.get(F.get("j", F.lit(1)), F.lit(0))[_MARK] == F.col(_MARK))
+    good = parsed.where(alone & line.isNotNull())
+    return good.select(*keep, *[line[name].alias(name) for name in fields])
 
 
 def tsv_fields(lines: DataFrame, fields: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

@@ -54,12 +54,12 @@ def with_update_time(points: DataFrame) -> DataFrame:
     return points.withColumn("updatetime", now_text())
 
 
-def question_history(questions: DataFrame) -> DataFrame:
+def question_history(questions: DataFrame, parts: int = 1) -> DataFrame:
     """Comma list of the distinct questions per point, as the history table stores it, with the first time.
 
-    A point is taken to have ten questions; should one have very many, its list comes in parts (``joined_lists``).
+    ``parts`` cuts long lists into slices (``joined_lists``); a point is taken to have ten questions.
     """
-    lists = joined_lists(questions, POINT_KEYS, "questionid", "questionids")
+    lists = joined_lists(questions, POINT_KEYS, "questionid", "questionids", parts=parts)
     first = questions.groupBy(*POINT_KEYS).agg(F.min("createtime").alias("createtime"))
     return lists.join(first, POINT_KEYS)
 
@@ -74,3 +74,25 @@ def publish_questions(root: str):
 
 def published_mastery(spark, root: str) -> DataFrame:
     return mastery(latest_rows(spark, root, QUESTION_KEYS))
+
+
+def publish_points(root: str):
+    """Publisher of the answer job: question totals, then detail and question list of every point that the batch touched."""
+    def publish(rows: DataFrame, batch: int) -> None:
+        spark = rows.sparkSession
+        publish_changes(rows, f"{root}/questions", batch, compact=True)
+        changed = spark.read.parquet(f"{root}/questions/changes/batch={batch}").select(*POINT_KEYS).distinct()
+        touched = latest_rows(spark, f"{root}/questions", QUESTION_KEYS).join(changed, POINT_KEYS, "left_semi")
+        publish_changes(with_update_time(mastery(touched)), f"{root}/points", batch, compact=True)
+        publish_changes(question_history(touched), f"{root}/history", batch, compact=True)
+
+    return publish
+
+
+def published_points(spark, root: str) -> DataFrame:
+    """The detail of every point, with the time of its last update."""
+    return latest_rows(spark, f"{root}/points", POINT_KEYS)
+
+
+def published_history(spark, root: str) -> DataFrame:
+    return latest_rows(spark, f"{root}/history", [*POINT_KEYS, "part"])

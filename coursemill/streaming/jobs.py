@@ -8,15 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from coursemill.sinks.tables import publish_changes, replace_table
+from coursemill.sinks.tables import publish_changes
 from coursemill.streaming import answers, archive, learning, pages, register
 from coursemill.streaming.runner import INTERVALS, start
 
 
-def _replace(path: str) -> Callable[[DataFrame, int], None]:
-    return lambda rows, _batch: replace_table(rows, path)
-
-
 def _changes(path: str) -> Callable[[DataFrame, int], None]:
     return lambda rows, batch: publish_changes(rows, path, batch, compact=True)
 
@@ -32,25 +28,25 @@ def register_job(lines: DataFrame, out: str, once: bool = False) -> list[Streami
     running = register.running_counts(arrived)
     sliding = register.sliding_counts(arrived, "ts", late=f"{register.WINDOW_SECONDS} seconds")
     return [
-        _run("register", "running", running, _replace(f"{out}/running"), out, "complete", once),
+        _run("register", "running", running, _changes(f"{out}/running"), out, "update", once),
         _run("register", "sliding", sliding, _changes(f"{out}/sliding"), out, "update", once),
     ]
 
 
 def page_job(lines: DataFrame, ranges: DataFrame, out: str, once: bool = False) -> list[StreamingQuery]:
-    """Jumps, funnel rates, province totals and top provinces."""
+    """Jumps, from which funnel rates follow, and clicks per province, from which the top ones do."""
     events = pages.page_events(lines)
-    jumps, clicks = pages.page_jumps(events), pages.province_clicks_stream(events, ranges)
+    jumps, clicks = pages.publish_jumps(f"{out}/funnel"), pages.publish_clicks(f"{out}/provinces", ranges)
     return [
-        _run("page", "funnel", jumps, pages.publish_funnel(f"{out}/funnel"), out, "complete", once),
-        _run("page", "provinces", clicks, pages.publish_provinces(f"{out}/provinces"), out, "complete", once),
+        _run("page", "funnel", pages.page_jumps(events), jumps, out, "update", once),
+        _run("page", "provinces", events.select("ip"), clicks, out, "append", once),
     ]
 
 
 def answer_job(lines: DataFrame, out: str, once: bool = False) -> list[StreamingQuery]:
-    """Question totals as changes; ``answers.published_mastery`` reads the points from them."""
+    """Question totals as changes, and with each batch the points it touched: their detail and their question lists."""
     totals = answers.question_totals(answers.answer_events(lines))
-    return [_run("answer", "questions", totals, _changes(f"{out}/questions"), out, "update", once)]
+    return [_run("answer", "questions", totals, answers.publish_points(out), out, "update", once)]
 
 
 def learn_job(lines: DataFrame, out: str, once: bool = False) -> list[StreamingQuery]:

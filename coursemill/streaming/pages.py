@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coursemill.functions.columns import percent_text
 from coursemill.operators.joins import province_of_ip
-from coursemill.sinks.tables import replace_table
+from coursemill.sinks.tables import additive_totals, latest_rows, publish_changes
 from coursemill.sources.lines import json_fields
 
 # Fields of a page message, and the funnel's pages in order.
@@ -58,38 +58,33 @@ def province_clicks(events: DataFrame, ranges: DataFrame) -> DataFrame:
     return found.groupBy("province").agg(F.sum("_n").alias("num"))
 
 
-def province_clicks_stream(events: DataFrame, ranges: DataFrame) -> DataFrame:
-    """The same for a stream, where only one aggregation may keep state."""
-    return province_of_ip(events, ranges).groupBy("province").agg(F.count(F.lit(1)).alias("num"))
-
-
 def top_provinces(clicks: DataFrame, k: int = 3) -> DataFrame:
     return clicks.orderBy(F.col("num").desc(), F.col("province").asc()).limit(k)
 
 
-def publish_funnel(root: str):
-    """Publisher for complete-mode jump counts: jumps, page totals with rates."""
-    def publish(rows: DataFrame, _batch: int) -> None:
-        rows.persist()
-        try:
-            replace_table(rows, f"{root}/jumps")
-            totals = page_totals(rows)
-            rates = funnel_rates(totals).select(F.col("page_id").cast("string"), "jump_rate")
-            replace_table(totals.join(rates, "page_id", "left"), f"{root}/pages")
-        finally:
-            rows.unpersist()
-
-    return publish
-
-
-def publish_provinces(root: str):
-    """Publisher for complete-mode province counts: all totals and the top three."""
-    def publish(rows: DataFrame, _batch: int) -> None:
-        rows.persist()
-        try:
-            replace_table(rows, f"{root}/provinces")
-            replace_table(top_provinces(rows), f"{root}/top")
-        finally:
-            rows.unpersist()
-
-    return publish
+def publish_jumps(root: str):
+    """Publisher for update-mode jump counts: each batch records only the jumps it changed."""
+    return lambda rows, batch: publish_changes(rows, root, batch, compact=True)
+
+
+def published_jumps(spark: SparkSession, root: str) -> DataFrame:
+    return latest_rows(spark, root, PAGE_IDS)
+
+
+def published_pages(spark: SparkSession, root: str) -> DataFrame:
+    """Totals of all pages, and the rates of those in the funnel."""
+    totals = page_totals(published_jumps(spark, root))
+    rates = funnel_rates(totals).select(F.col("page_id").cast("string"), "jump_rate")
+    return totals.join(rates, "page_id", "left")
+
+
+def publish_clicks(root: str, ranges: DataFrame):
+    """Publisher for the events of each batch: clicks are counted per address, looked up and recorded per province.
+
+    A batch counts before the lookup, so a busy address block is a few rows in it, and no state is kept: amounts add up on reading.
+    """
+    return lambda events, batch: publish_changes(province_clicks(events, ranges), root, batch, compact=True)
+
+
+def published_clicks(spark: SparkSession, root: str) -> DataFrame:
+    return additive_totals(spark, root, ["province"])

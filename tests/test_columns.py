@@ -27,7 +27,7 @@ def test_masks_accept_null_and_short_text(spark):
 
 
 def test_integers_of_logs(spark):
-    cases = {"12": 12, " 7 ": 7, "-3": -3, "12.9": 12, "-0.5": 0, "1e2": 100, "abc": 0, "": 0, "99999999999": 0, "12.x": 0}
+    cases = {"12": 12, " 7 ": 7, "-3": -3, "12.9": 12, "-0.5": 0, "1e2": 100, "abc": 0, "": 0, "99999999999": 0, "12.x": 0, "00000000000012": 12, "1.5e+003": 1500, "1e-400": 0, "1e999999999": 0, "1e": 0}
     assert {v: one(spark, v, c.int_or_zero) for v in cases} == cases
     assert one(spark, None, c.int_or_zero) == 0
 

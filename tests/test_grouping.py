@@ -65,15 +65,17 @@ def test_joined_lists_single_part(spark, rows):
     assert rows(joined_lists(df, ["k"], "u", "us")) == [(None, 0, "2"), (1, 0, "1,3,3"), (2, 0, "")]
 
 
-def test_joined_lists_cut_hot_groups_without_losing_items(spark):
-    data = [(1, u) for u in range(500)] + [(1, 7)] * 130 + [(2, 4), (2, 5)]
-    df = spark.createDataFrame(data, "k int, u int")
-    parts = joined_lists(df, ["k"], "u", "us", list_items=50).collect()
-    got = Counter((r["k"], int(u)) for r in parts for u in r["us"].split(","))
-    assert got == Counter(data)
-    assert [r["us"] for r in parts if r["k"] == 2] == ["4,5"]
-    assert len([r for r in parts if r["k"] == 1]) > 5
-    assert max(len(r["us"].split(",")) for r in parts) < 250
+def test_joined_lists_in_declared_slices(spark):
+    data = [(1, u) for u in range(500)] + [(1, 7)] * 130 + [(2, 4), (2, 5), (3, None), (None, 9)]
+    df = spark.createDataFrame(data, "k int, u int").repartition(5)
+    out = joined_lists(df, ["k"], "u", "us", parts=4)
+    got = {(r["k"], r["part"]): r["us"] for r in out.collect()}
+    whole = ",".join(got[1, p] for p in range(4)).split(",")
+    assert whole == [str(u) for u in sorted(u for k, u in data if k == 1)]
+    assert max(len(got[1, p].split(",")) for p in range(4)) <= 158
+    assert got[2, 0] == "4" and got[2, 2] == "5" and got[3, 0] == "" and got[None, 0] == "9"
+    for parts in (1, 4):
+        assert plan(joined_lists(df, ["k"], "u", "us", parts=parts)).count("Exchange hashpartitioning") == 1
 
 
 def test_two_phase_count_equals_plain_count(scores, rows):

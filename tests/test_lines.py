@@ -11,6 +11,12 @@ def test_only_json_objects_are_kept(spark, rows):
     assert rows(json_fields(df, ["a", "b"])) == [(None, None), ("1", "x"), ("3", None), ("q", None)]
 
 
+def test_nothing_may_follow_the_object(spark, rows):
+    tails = ["xyz", "]", '{"a":2}', ',"a":2', ',{"a":2}', ',"q":{"b":2}', '],"q":[{"b":1}', '],[{"a":2}', "]]", ']],[[{"a":2}', "}", ",", '],[{"_line_mark":"1"}]']
+    df = lines(spark, *[f'{{"a":1}}{t}' for t in tails], '{"a":7} \t')
+    assert rows(json_fields(df, ["a"])) == [("7",)]
+
+
 def test_nested_values_come_as_text(spark, rows):
     df = lines(spark, '{"a":{"x":1},"b":[1,2]}')
     assert rows(json_fields(df, ["a", "b"])) == [('{"x":1}', "[1,2]")]

@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from coursemill.plans import history
+from coursemill.plans.warehouse import Warehouse
 from coursemill.session import workspace
 from coursemill.sinks import tables as t
 from coursemill.sources.streams import line_stream
@@ -62,6 +64,35 @@ def test_additive_folding(spark, rows, tmp_path):
     assert rows(t.additive_totals(spark, root, ["k"])) == [("a", 3)]
 
 
+def test_a_batch_that_lands_during_a_fold_counts_once(spark, rows, tmp_path, monkeypatch):
+    root = str(tmp_path / "f")
+    put = lambda batch: t.publish_changes(spark.createDataFrame([("a", 1 + batch)], "k string, n long"), root, batch)
+    put(0)
+    whole = t.publish_snapshot
+    monkeypatch.setattr(t, "publish_snapshot", lambda *a: (put(10), whole(*a)))
+    t.fold_changes(spark, root, ["k"], additive=True)
+    monkeypatch.undo()
+    assert rows(t.additive_totals(spark, root, ["k"])) == [("a", 12)]
+    t.fold_changes(spark, root, ["k"], additive=True)
+    assert rows(t.additive_totals(spark, root, ["k"])) == [("a", 12)]
+
+
+def test_an_unreadable_log_is_not_taken_for_none(spark, tmp_path):
+    (tmp_path / "s" / "published").mkdir(parents=True)
+    (tmp_path / "s" / "published" / "part-0.parquet").write_text("broken")
+    with pytest.raises(Exception, match="part-0|Parquet|footer"):
+        t.latest_version(spark, str(tmp_path / "s"))
+    with pytest.raises(Exception, match="part-0|Parquet|footer|infer"):
+        history.read_all(spark, str(tmp_path / "s")).count()
+
+
+def test_sites_stay_text(spark, rows, tmp_path):
+    house = Warehouse(str(tmp_path))
+    house.write(spark.createDataFrame([(1, "01", "20190722"), (2, "1", "20190723")], "x int, dn string, dt string"), "dws.t", ["dt", "dn"])
+    assert rows(house.read(spark, "dws.t"), "x", "dn", "dt") == [(1, "01", "20190722"), (2, "1", "20190723")]
+    assert rows(house.read(spark, "dws.t", "20190722"), "x", "dn") == [(1, "01")]
+
+
 def test_unknown_kinds_are_refused(spark, tmp_path):
     with pytest.raises(ValueError):
         t.replay_lines(spark.createDataFrame([("a",)], "value string"), "fax", str(tmp_path))

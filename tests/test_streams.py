@@ -32,7 +32,7 @@ def test_register_job_continues_from_its_checkpoint(spark, rows, log, tmp_path):
 
     def run():
         drain(jobs.register_job(line_stream(spark, "files", str(log), per_trigger=1), str(tmp_path / "out"), once=True))
-        return rows(spark.read.parquet(str(tmp_path / "out" / "running")))
+        return rows(latest_rows(spark, str(tmp_path / "out" / "running"), ["app_name"]))
 
     assert run() == [("APP", 1), ("Other", 1), ("PC", 2)]
     put(log, "3.txt", ["7\t2\tx", "8\t1\ty"])
@@ -68,14 +68,14 @@ def test_page_job(spark, rows, log, tmp_path):
     lines = line_stream(spark, "files", str(log), per_trigger=1)
     out = tmp_path / "out"
     drain(jobs.page_job(lines, ranges, str(out), once=True))
-    assert rows(spark.read.parquet(str(out / "funnel" / "jumps"))) == [
+    assert rows(pages.published_jumps(spark, str(out / "funnel"))) == [
         ("0", "1", "2", 8), ("0", "1", "9", 1), ("1", "2", "3", 1), ("1", "5", "6", 1),
     ]
-    assert rows(spark.read.parquet(str(out / "funnel" / "pages")), "page_id", "num", "jump_rate") == [
+    assert rows(pages.published_pages(spark, str(out / "funnel")), "page_id", "num", "jump_rate") == [
         ("1", 9, "100%"), ("2", 1, "11%"), ("5", 1, None),
     ]
-    assert rows(spark.read.parquet(str(out / "provinces" / "provinces"))) == [("0", 2), ("North", 9)]
-    assert rows(spark.read.parquet(str(out / "provinces" / "top"))) == [("0", 2), ("North", 9)]
+    assert rows(pages.published_clicks(spark, str(out / "provinces"))) == [("0", 2), ("North", 9)]
+    assert rows(pages.top_provinces(pages.published_clicks(spark, str(out / "provinces")))) == [("0", 2), ("North", 9)]
 
 
 def test_funnel_edges(spark, rows):
