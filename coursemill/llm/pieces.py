@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from coursemill.llm.common import chunks, lists
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 MARK = "▁"
 # fixed values of the model format
 UNIGRAM, BPE = 1, 2
@@ -103,7 +103,8 @@ class Pieces:
                 self.automaton.add_word(self.text[i], (i, len(self.text[i])))
         self.automaton.make_automaton()
         self.joined: dict[tuple[int, int], bool] = {}
-        self.remembered: dict[str, list[int]] = {}
+        self.recent: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
         self.plain = [self._plain(i) for i in range(len(self.text))]
 
     def _spines(self, text: str) -> tuple[list, list] | None:
@@ -147,45 +148,56 @@ class Pieces:
 
     def best(self, cut: str) -> list[int]:
         """Ids of the best path through one cut, in a single pass."""
-        n = len(cut)
-        score: list[float | None] = [0.0] + [None] * n
-        step: list[tuple[int, int]] = [(-1, 0)] * (n + 1)  # last piece and where it began
-        merges, reached = self.model == BPE, 0
-        for end, (piece, size) in chain(self.automaton.iter(cut), [(n, (-1, 0))]):
-            while reached < end and reached < n:  # positions at which no piece may end: the character is unknown
-                reached += 1
-                if score[reached] is None:
-                    score[reached], step[reached] = score[reached - 1] + self.least, (self.unknown, reached - 1)
-            if piece < 0:
-                break
-            begin = end + 1 - size
-            if merges and begin and (last := step[begin][0]) != self.unknown and not self.joins(last, piece):
+        n, merges, unknown, worth, joined = len(cut), self.model == BPE, self.unknown, self.score, self.joined
+        score: list[float | None] = [None] * (n + 1)
+        last, came = [unknown] * (n + 1), [0] * (n + 1)  # of the best path: its last piece, and where that began
+        score[0], reached = 0.0, 0
+        for end, (piece, size) in self.automaton.iter(cut):
+            if reached < end:
+                self._skip(score, came, reached, end)
+                reached = end
+            end += 1
+            begin = end - size
+            gain, have = score[begin] + worth[piece], score[end]
+            if have is not None and gain <= have:
                 continue
-            gain = score[begin] + self.score[piece]
-            if score[end + 1] is None or gain > score[end + 1]:
-                score[end + 1], step[end + 1] = gain, (piece, begin)
+            if merges and begin and (before := last[begin]) != unknown:
+                fits = joined.get((before, piece))
+                if not (self.joins(before, piece) if fits is None else fits):
+                    continue
+            score[end], last[end], came[end] = gain, piece, begin
+        self._skip(score, came, reached, n)
         ids, at = [], n
         while at:
-            piece, begin = step[at]
-            if piece == self.unknown:
-                ids += [self.bytes[x] for x in reversed(cut[begin:at].encode())] if self.bytes else [self.unknown]
+            piece, begin = last[at], came[at]
+            if piece == unknown:
+                ids += [self.bytes[x] for x in reversed(cut[begin:at].encode())] if self.bytes else [unknown]
             else:
                 ids.append(piece)
             at = begin
         return ids[::-1]
 
+    def _skip(self, score: list, came: list, reached: int, to: int) -> None:
+        """Positions at which no piece ends are reached by an unknown character."""
+        for k in range(reached + 1, to + 1):
+            if score[k] is None:
+                score[k], came[k] = score[k - 1] + self.least, k - 1
+
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
-        table, out = self.remembered, []
+        out, recent = [], self.recent
         for cut in self.cuts.findall(self.prefix + text.replace(" ", MARK)):
-            ids = table.get(cut)
+            ids = recent.get(cut)
             if ids is None:
-                ids = self.best(cut)
-                if len(table) >= REMEMBERED:
-                    table.clear()
+                ids = self.older.get(cut)
+                if ids is None:
+                    ids = self.best(cut)
+                if len(recent) >= REMEMBERED // 2:  # what was not asked for since the last turn is forgotten
+                    self.older, self.recent = recent, {}
+                    recent = self.recent
                 if len(cut) < 64:
-                    table[cut] = ids
+                    recent[cut] = ids
             out += ids
         return out
 
