@@ -80,7 +80,8 @@ def salted_join(
         if found.isEmpty():
             return small.join(big, on, how)
         hot = F.broadcast(found.withColumn("_hot", F.lit(True)))
-        big_salted = big.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0))
+        # a null key matches nothing, but its rows must not meet in one reducer either
+        big_salted = big.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot") | ~_all_set(on), salt).otherwise(0))
         small_salted = small.join(hot, on, "left").withColumn(
             "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
         )

@@ -48,5 +48,4 @@ def load(spark: SparkSession, warehouse: Warehouse, spec: LogSpec, ods: str) ->
     if spec.mode == "bucketed":
         warehouse.append_bucketed(rows, f"dwd.{spec.table}", "orderid", spec.partition_by)
     else:
-        base = spec.mode == "overwrite"
-        warehouse.write(rows, f"dwd.{spec.table}", spec.partition_by, overwrite=base, compact=base)
+        warehouse.write(rows, f"dwd.{spec.table}", spec.partition_by, overwrite=spec.mode == "overwrite", compact=True)

@@ -35,8 +35,8 @@ def _dwd(spark: SparkSession, house: Warehouse, table: str) -> DataFrame:
 
 
 def _replace_day(house: Warehouse, df: DataFrame, table: str) -> None:
-    """Write a day's result over the same day of the table: running a day again does not double it."""
-    house.write(df, table, _DAY_SITE, overwrite=True)
+    """Write a day's result over the same day of the table, in few files: running a day again does not double it."""
+    house.write(df, table, _DAY_SITE, overwrite=True, compact=True)
 
 
 def member_wide(spark: SparkSession, house: Warehouse, dt: str) -> None:

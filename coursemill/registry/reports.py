@@ -340,6 +340,12 @@ def sell_detail_salted(spark, sf):
     return sellcourse.sell_detail_salted(*_sell_inputs(spark, sf), DT)
 
 
+@query("sell_detail_salted_hot", _SELL_SQL)
+def sell_detail_salted_hot(spark, sf):
+    """With a share low enough that the hot courses of an even table are salted, too."""
+    return sellcourse.sell_detail_salted(*_sell_inputs(spark, sf), DT, salts=16, hot_share=0.0002)
+
+
 @query("sell_detail_salted_all", _SELL_SQL)
 def sell_detail_salted_all(spark, sf):
     return sellcourse.sell_detail_salted(*_sell_inputs(spark, sf), DT, salts=16, hot_share=None)

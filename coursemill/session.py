@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -36,9 +37,11 @@ def build_session(app: str = "coursemill", master: str | None = None, **conf: st
 def workspace(spark: SparkSession, name: str) -> str:
     """A fresh folder for written intermediates, below the folder the cluster shares between executors.
 
-    ``spark.checkpoint.dir`` names that folder. Only where it is unset (tests on one machine) is a local
-    temporary folder made.
+    ``spark.checkpoint.dir`` names that folder. Only on one machine may it be unset (tests): a local temporary folder is made
+    there. On a cluster each executor would write to its own, so that is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not re.fullmatch(r"local(\[[^,]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="coursemill-")
     return f"{base}/coursemill/{name}-{uuid.uuid4().hex[:12]}"
