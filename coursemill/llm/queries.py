@@ -57,6 +57,16 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages"), least_bytes=0)
 
 
+_FIVE = " + ".join(f"{16 >> k} * CAST(substr(b, 5 * i + {k + 1}, 1) AS INT)" for k in range(5))
+CHECKS["op3_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h) AS n, CAST(CAST(from_hex(sha1(h)) AS BIT) AS VARCHAR) AS b, min(page_id) OVER (PARTITION BY h) AS least FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + {_FIVE}, 1)), '') AS payload_digest,
+CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> least THEN least END AS refers_to FROM d
+"""
+
+
 @_query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0")
