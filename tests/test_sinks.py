@@ -105,3 +105,16 @@ def test_workspace_lies_in_the_shared_folder(spark):
     one, two = workspace(spark, "x"), workspace(spark, "x")
     assert one != two
     assert shared is None or one.startswith(shared.rstrip("/"))
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Session:
+        conf = {}
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        workspace(Session, "x")
+    Session.conf = {"spark.checkpoint.dir": "s3a://bucket/shared/"}
+    assert workspace(Session, "x").startswith("s3a://bucket/shared/coursemill/x-")
