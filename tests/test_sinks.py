@@ -116,5 +116,5 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="checkpoint"):
         workspace(Session, "x")
-    Session.conf = {"spark.checkpoint.dir": "s3a://bucket/shared/"}
-    assert workspace(Session, "x").startswith("s3a://bucket/shared/coursemill/x-")
+    Session.conf = {"spark.checkpoint.dir": "hdfs://host/shared/"}
+    assert workspace(Session, "x").startswith("hdfs://host/shared/coursemill/x-")
