@@ -183,7 +183,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, share: float =
     blocks = blocks.groupBy("g", "part").agg(F.collect_list(F.struct("cell", "ids", "v")).alias("e"))
     blocks = scratch.keep(blocks.select("g", "part", F.col("e.cell").alias("cells"), F.col("e.ids").alias("ids"), F.col("e.v").alias("vs")), "blocks")
     stops = scratch.keep(stops, "queries")
-    met = stops.join(blocks, "g").repartition(F.col("part"), F.col("g"), F.xxhash64("qid"))
+    # only the queries are copied, once for each block of entries in a group that they visit
+    met = stops.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(4 * parts - 1)))).join(blocks, ["g", "part"])
     found = met.select("qid", "qv", "stop", "cells", "ids", "vs").mapInArrow(_rank(books, k), "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
