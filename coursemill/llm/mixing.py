@@ -75,6 +75,7 @@ class Membership:
     @classmethod
     def fit(cls, y: np.ndarray, words: list[np.ndarray], x: np.ndarray) -> Membership:
         k = len(DOMAINS)
+        words = [np.asarray(w, np.int64) for w in words]  # an empty list would turn all hashes into floats
         every, where = np.unique(np.concatenate(words) if len(words) else np.zeros(0, np.int64), return_inverse=True)
         doc = np.repeat(np.arange(len(y)), [len(w) for w in words])
         n, telling = np.bincount(y, minlength=k), set()
@@ -225,13 +226,18 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = N
     return members.mapInArrow(_rated(rates), f"{MEMBER}, rate double")
 
 
-def select_by_rate(docs: DataFrame, model: Membership, rates: Rates, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, all columns, whose rate comes to one copy at least when rounded (``least`` 0.5)."""
+def select_by_rate(docs: DataFrame, model: Membership, rates: Rates, least: float = 0.5, spared: str = "clean") -> DataFrame:
+    """The rows of ``docs``, all columns, whose rate comes to one copy at least when rounded (``least`` 0.5).
+
+    Documents that most likely belong to the domain ``spared`` stay: stray posteriors must not cost them their place.
+    """
+    safe = DOMAINS.index(spared)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             row, h, _ = _lowered(batch)
-            yield batch.filter(pa.array(rates.replay(model.posterior(row, signed(h), statistics(batch))) >= least))
+            p = model.posterior(row, signed(h), statistics(batch))
+            yield batch.filter(pa.array((rates.replay(p) >= least) | (p.argmax(1) == safe)))
 
     return docs.mapInArrow(rows, docs.schema)
 

@@ -45,6 +45,13 @@ def test_posteriors_follow_labels(spark):
     assert all(int(np.argmax(r.p)) == kind[r.doc_id] for r in mix(docs, known, weights={"clean": 1}).collect())
 
 
+def test_labelled_empty_documents_do_not_blur_words(spark):
+    rows, labels = corpus()
+    docs, known = frames(spark, [*rows, (300, ""), (301, None)], [*labels, (300, 1, 0), (301, 1, 0)])
+    kind = {r.doc_id: r.y for r in domain_labels(known).collect()}
+    assert all(int(np.argmax(r.p)) == kind[r.doc_id] for r in mix(docs, known, weights={"clean": 1}).collect())
+
+
 def test_selection_drops_what_the_mixture_does_not_want(spark):
     rows, labels = corpus()
     docs, known = frames(spark, rows, labels)
