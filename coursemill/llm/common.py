@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from coursemill.session import workspace
 
-CHUNK_BYTES = 4 << 20  # texts are worked on in runs of whole documents of about this many bytes
+CHUNK_BYTES = 2 << 20  # texts are worked on in runs of whole documents of about this many bytes
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
