@@ -1,6 +1,7 @@
 """Masked pseudo-likelihood: a small network guesses every word from the words on both sides of it.
 
-Words are counted over the whole corpus; the ``OWN`` most frequent have ids of their own, all others share ``RARE`` hashed ids. The
+Words are counted over the whole corpus; the ``OWN`` most frequent have ids of their own, all others share ``RARE`` hashed ids in the network. A
+rare word's probability is that of its id times the word's share of all words with this id; the counts of all words stay a Spark table, joined on the word. The
 ``2 * SIDE`` words around a place are embedded and feed one hidden layer; the softmax goes over a word's class first, then
 over the words of that class, so a place costs two short sums. Each round, every task trains a copy of the network, in numpy, on the masked
 places of its own documents (a fixed share, told by hash), and Spark averages the copies by the number of places; all documents take part.
@@ -137,13 +138,17 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Vocabulary:
-    """Ids of the most frequent words; a fixed number of entries."""
+    """Ids of the most frequent words; a fixed number of entries. ``counted`` is the table of all words, where there is one."""
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, total: int) -> None:
+    counted: DataFrame | None = None
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray) -> None:
         order = np.argsort(words)
         self.words, self.ids = words[order], np.arange(len(words))[order]
-        rest = max(0, total - int(counts.sum()))
-        self.counts = np.concatenate([counts, np.zeros(OWN - len(counts)), np.full(RARE, rest / RARE)])
+        self.counts = np.concatenate([counts, np.zeros(OWN - len(counts)), np.zeros(RARE)])
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "counted"}
 
     def look(self, hashes: np.ndarray) -> np.ndarray:
         rare = OWN + (mix(hashes) % np.uint64(RARE)).astype(np.int64)
@@ -158,8 +163,57 @@ def vocabulary(docs: DataFrame, scratch: Scratch) -> Vocabulary:
     counted = docs.select("text").mapInArrow(_counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counted = scratch.keep(counted, "words")
     top = counted.orderBy(F.desc("n"), "word").limit(OWN).toPandas()
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    return Vocabulary(top["word"].to_numpy(np.int64), top["n"].to_numpy(np.int64), total)
+    out = Vocabulary(top["word"].to_numpy(np.int64), top["n"].to_numpy(np.int64))
+    rest = counted.mapInArrow(_rare_sums(out), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    out.counts[rest["id"].to_numpy(np.int64)] = rest["n"].to_numpy(np.int64)
+    out.counted = counted
+    return out
+
+
+def _rare_sums(words: Vocabulary):
+    """Counts of the shared ids."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(CLASSES * EACH, np.int64)
+        for batch in batches:
+            ids = words.look(np.array(batch.column("word")).view(np.uint64))
+            np.add.at(sums, ids, np.array(batch.column("n")))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(OWN, OWN + RARE)), pa.array(sums[OWN:])], names=["id", "n"])
+
+    return rows
+
+
+def _rare_shares(words: Vocabulary):
+    """``share``: log of a rare word's count by the count of its id."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            word, n = np.array(batch.column("word")), np.array(batch.column("n"))
+            ids = words.look(word.view(np.uint64))
+            rare = ids >= OWN
+            share = np.log(n[rare] / words.counts[ids[rare]])
+            yield pa.RecordBatch.from_arrays([pa.array(word[rare]), pa.array(share)], names=["word", "share"])
+
+    return rows
+
+
+def _rare_words(words: Vocabulary):
+    """Each text's rare words with their numbers; equal texts of a batch come once."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            key, at = np.unique(np.array(batch.column("key")), return_index=True)
+            hashes, first = _hashes(batch.take(pa.array(at)))
+            doc = np.repeat(np.arange(len(at)), np.diff(first))
+            rare = words.look(hashes) >= OWN
+            doc, word = doc[rare], signed(hashes[rare])
+            order = np.lexsort((word, doc))
+            doc, word = doc[order], word[order]
+            begin = np.nonzero(np.r_[True, (doc[1:] != doc[:-1]) | (word[1:] != word[:-1])][: len(doc)])[0]
+            n = np.diff(np.r_[begin, len(doc)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(key[doc[begin]]), pa.array(word[begin]), pa.array(n)], names=["key", "word", "n"])
+
+    return rows
 
 
 def _places(batch: pa.RecordBatch, words: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -221,15 +275,32 @@ def _scored(words: Vocabulary, net: Network):
                 total += np.bincount(doc[part], net.log_probabilities(around[part], target[part]), batch.num_rows)
             n = np.bincount(doc, minlength=batch.num_rows)
             mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(total), mean], names=["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"])
+            columns = {"doc_id": batch.column("doc_id"), "n_words": pa.array(n.astype(np.int64)), "log_likelihood": pa.array(total), "mean_log_likelihood": mean}
+            if "key" in batch.schema.names:
+                columns["key"] = batch.column("key")
+            yield pa.RecordBatch.from_pydict(columns)
 
     return rows
 
 
+def rare_scores(texts: DataFrame, words: Vocabulary, scratch: Scratch) -> DataFrame:
+    """``key, rare``: what the rare words of the texts with this key add to the score of their ids."""
+    shares = words.counted.mapInArrow(_rare_shares(words), "word long, share double")
+    found = texts.select("key", "text").mapInArrow(_rare_words(words), "key long, word long, n int")
+    each = found.join(shares, "word").groupBy("key", "word").agg(F.first(F.col("n") * F.col("share")).alias("part"))  # equal texts of other batches
+    return scratch.keep(each.groupBy("key").agg(F.sum("part").alias("rare")), "rare")
+
+
 def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """``doc_id, n_words, log_likelihood, mean_log_likelihood`` of every row."""
     scratch = Scratch(docs.sparkSession, "likelihood")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     words = vocabulary(texts, scratch)
     net = train(texts, words, rounds)
-    return texts.mapInArrow(_scored(words, net), "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double")
+    texts = texts.withColumn("key", F.xxhash64("text"))
+    rare = rare_scores(texts, words, scratch)
+    scored = texts.mapInArrow(_scored(words, net), "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double, key long")
+    scored = scratch.keep(scored, "scored")  # a written side leaves the join plain, so adaptive execution can split hot texts
+    total = F.col("log_likelihood") + F.coalesce("rare", F.lit(0.0))
+    out = scored.join(rare, "key", "left").select("doc_id", "n_words", total.alias("log_likelihood"))
+    return out.withColumn("mean_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))

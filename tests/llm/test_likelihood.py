@@ -1,3 +1,4 @@
+import collections
 import math
 import os
 
@@ -5,7 +6,7 @@ import numpy as np
 import pytest
 
 from coursemill.llm.common import Scratch
-from coursemill.llm.likelihood import CLASSES, EACH, Network, pseudo_likelihood, train, vocabulary
+from coursemill.llm.likelihood import CLASSES, EACH, OWN, Network, pseudo_likelihood, rare_scores, train, vocabulary
 from coursemill.llm.likelihood import _scored as scored
 from tests.llm.helpers import edge_rows, frame, words
 
@@ -49,3 +50,27 @@ def test_training_beats_word_frequencies(spark):
     kinds = "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double"
     total = lambda net: texts.mapInArrow(scored(own, net), kinds).selectExpr("sum(log_likelihood)").first()[0]
     assert total(train(texts, own)) > 0.98 * total(Network.first(own.counts))
+
+
+def test_rare_words_are_told_apart_by_their_counts(spark):
+    often = " ".join(f"common{i}" for i in range(OWN) for _ in range(4))
+    rows = [(k, often) for k in range(3)] + [(10, "twice " * 8 + "x0"), (11, "twice"), (12, "typo"), (13, "typo typo twice")]
+    rows += [(20, " ".join(f"rare{i}" for i in range(2000)))]
+    got = {r.doc_id: r.log_likelihood for r in pseudo_likelihood(frame(spark, rows), 0).collect()}
+    counts = collections.Counter(w for _, t in rows for w in words(t))
+    every = sum(counts.values())
+    # untrained, the network gives the smoothed share of the id, and the join the word's share of the id
+    assert got[11] - got[12] > math.log(counts["twice"] / counts["typo"]) - 1
+    for i, word in ((11, "twice"), (12, "typo")):
+        assert abs(got[i] - math.log(counts[word] / every)) < 0.5
+    assert math.isclose(got[13], 2 * got[12] + got[11], abs_tol=0.3)
+
+
+def test_shares_of_an_id_sum_to_one(spark):
+    rows = [(k, " ".join(f"w{i}" for i in range(6000) for _ in range(1 + i % 3))) for k in range(2)]
+    own = vocabulary(frame(spark, rows), Scratch(spark, "t"))
+    assert own.counts.sum() == sum(len(words(t)) for _, t in rows)
+    texts = spark.createDataFrame([(i, f"w{i}") for i in range(6000)], "key long, text string")
+    kept = rare_scores(texts, own, Scratch(spark, "t")).collect()
+    assert len(kept) == 6000 - OWN
+    assert sum(math.exp(r.rare) for r in kept) == pytest.approx((own.counts[OWN:] > 0).sum())
