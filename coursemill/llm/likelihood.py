@@ -3,8 +3,8 @@
 Words are counted over the whole corpus; the ``OWN`` most frequent have ids of their own, all others share ``RARE`` hashed ids in the network. A
 rare word's probability is that of its id times the word's share of all words with this id; the counts of all words stay a Spark table, joined on the word. The
 ``2 * SIDE`` words around a place are embedded and feed one hidden layer; the softmax goes over a word's class first, then
-over the words of that class, so a place costs two short sums. Each round, every task trains a copy of the network, in numpy, on the masked
-places of its own documents (a fixed share, told by hash), and Spark averages the copies by the number of places; all documents take part.
+over the words of that class, so a place costs two short sums. Each round, every task trains a copy of the network, in numpy, on masked
+places of its own documents, and Spark averages the copies by the number of places. A hash deals the places to the rounds, so that each is a target once.
 Then each document's score is the sum of the log-probabilities of all its words, none left out, given their neighbours.
 
 Defined results: a null or word-less text has no words, score 0 and a null mean; a one-word text is scored from its borders; repeated
@@ -28,7 +28,6 @@ OWN = CLASSES * EACH - RARE
 SIDE = 2
 EMBEDDED, HIDDEN = 16, 32
 ROUNDS = 2
-MASKED_PERCENT = 15
 BATCH, STEP = 4096, 0.01
 _HELD = 2_000_000
 _SHAPES = {
@@ -102,7 +101,10 @@ class Network:
             dh[rows] += own @ self.ww[c].T
         dz = dh * (1 - h**2)
         out.w[:], out.b[:] = x.T @ dz, dz.sum(0)
-        np.add.at(out.embed, context.reshape(-1), (dz @ self.w.T).reshape(-1, EMBEDDED))
+        order = np.argsort(context, axis=None, kind="stable")
+        ids = context.reshape(-1)[order]
+        begin = np.nonzero(np.r_[True, ids[1:] != ids[:-1]])[0]
+        out.embed[ids[begin]] = np.add.reduceat((dz @ self.w.T).reshape(-1, EMBEDDED)[order], begin, axis=0)
         return out.flat / n
 
 
@@ -228,7 +230,7 @@ def _places(batch: pa.RecordBatch, words: Vocabulary) -> tuple[np.ndarray, np.nd
     return around, target, doc
 
 
-def _trained(words: Vocabulary, start: Network):
+def _trained(words: Vocabulary, start: Network, turn: int, rounds: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = Network(start.flat.copy())
         one, two, step, seen = np.zeros_like(net.flat), np.zeros_like(net.flat), 0, 0
@@ -236,7 +238,7 @@ def _trained(words: Vocabulary, start: Network):
             around, target, doc = _places(batch, words)
             ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             key = mix(ids[doc].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.arange(len(doc), dtype=np.uint64) - np.searchsorted(doc, doc).astype(np.uint64))
-            masked = np.nonzero(key % np.uint64(100) < MASKED_PERCENT)[0]
+            masked = np.nonzero(key % np.uint64(rounds) == np.uint64(turn))[0]
             masked = masked[np.argsort(key[masked], kind="stable")]  # neighbours in a batch come from all its documents
             for k in range(0, len(masked), BATCH):
                 pick = masked[k : k + BATCH]
@@ -255,10 +257,10 @@ def _trained(words: Vocabulary, start: Network):
 
 def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Network:
     net = Network.first(words.counts)
-    for _ in range(rounds):
-        sums = docs.mapInArrow(_trained(words, net), "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).toPandas()
+    for turn in range(rounds):
+        sums = docs.mapInArrow(_trained(words, net, turn, rounds), "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).toPandas()
         if not len(sums):
-            return net
+            continue
         values = np.zeros(len(net.flat) + 1)  # as long as the network, whatever the corpus
         values[sums["i"].to_numpy()] = sums["v"].to_numpy()
         net = Network(values[:-1] / values[-1])
@@ -301,6 +303,8 @@ def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     rare = rare_scores(texts, words, scratch)
     scored = texts.mapInArrow(_scored(words, net), "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double, key long")
     scored = scratch.keep(scored, "scored")  # a written side leaves the join plain, so adaptive execution can split hot texts
-    total = F.col("log_likelihood") + F.coalesce("rare", F.lit(0.0))
-    out = scored.join(rare, "key", "left").select("doc_id", "n_words", total.alias("log_likelihood"))
+    # one score for equal texts: sums in single precision hang on what else is in a block
+    total = F.col("least") + F.coalesce("rare", F.lit(0.0))
+    totals = scored.groupBy("key").agg(F.min("log_likelihood").alias("least")).join(rare, "key", "left").select("key", total.alias("log_likelihood"))
+    out = scored.select("doc_id", "n_words", "key").join(scratch.keep(totals, "totals"), "key").select("doc_id", "n_words", "log_likelihood")
     return out.withColumn("mean_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))

@@ -3,11 +3,13 @@ import math
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from coursemill.llm.common import Scratch
-from coursemill.llm.likelihood import CLASSES, EACH, OWN, Network, pseudo_likelihood, rare_scores, train, vocabulary
+from coursemill.llm.likelihood import CLASSES, EACH, OWN, Network, Vocabulary, pseudo_likelihood, rare_scores, train, vocabulary
 from coursemill.llm.likelihood import _scored as scored
+from coursemill.llm.likelihood import _trained as trained
 from tests.llm.helpers import edge_rows, frame, words
 
 SF = "/root/testdata/sf0.01"
@@ -74,3 +76,12 @@ def test_shares_of_an_id_sum_to_one(spark):
     kept = rare_scores(texts, own, Scratch(spark, "t")).collect()
     assert len(kept) == 6000 - OWN
     assert sum(math.exp(r.rare) for r in kept) == pytest.approx((own.counts[OWN:] > 0).sum())
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_every_place_is_a_target_once(rounds):
+    texts = [" ".join(f"w{k * i % 41}" for i in range(k % 7 * 30)) for k in range(40)] + ["one", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    own = Vocabulary(np.zeros(0, np.int64), np.zeros(0, np.int64))
+    seen = [next(trained(own, Network.first(own.counts), turn, rounds)(iter([batch]))).column("v")[-1].as_py() for turn in range(rounds)]
+    assert sum(seen) == sum(len(words(t)) for t in texts) and min(seen) > 0.8 * max(seen)
