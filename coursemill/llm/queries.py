@@ -70,7 +70,7 @@ CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type, CAS
 @_query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0")
-    return quality_rules(table(spark, sf_dir, "documents"), trusted)
+    return quality_rules(table(spark, sf_dir, "documents"), trusted, whole=True)
 
 
 THRESHOLD = 0.3

@@ -1,13 +1,13 @@
 """Quality rules in built-in expressions: plain counts, then a log-likelihood ratio of hashed n-grams.
 
-An n-gram here is two neighbouring words' endings (their last ``ENDING`` characters), hashed into ``BUCKETS`` buckets: endings are
-few enough to be counted well in any corpus, and they show capitals, symbol runs, tables and repetition alike. Two multinomials are
+The n-grams are whole words, pairs of neighbouring words and pairs of their endings (the last ``ENDING`` characters), hashed into ``BUCKETS``
+buckets: whole words tell what a text says, endings show capitals, symbol runs and tables. (``whole=False`` takes pairs of endings alone.) Two multinomials are
 estimated: one over trusted documents, one over all documents, each bucket with ``PRIOR`` n-grams added in the share of the whole, so that a
 rarely seen n-gram says nothing either way. A document's score is the mean of
 ``log(trusted / raw)`` over its n-grams; it is kept if the score reaches ``THRESHOLD``. No sampling takes part: every document is judged by
 the same fixed threshold. The ratio table has ``BUCKETS`` entries whatever the corpus, so it can go to every task.
 
-Defined results: null and word-less texts have zero counts and fail the base rules; a document with fewer than two words
+Defined results: null and word-less texts have zero counts and fail the base rules; a document without n-grams
 has score 0; without any trusted document all ratios are 0, so the base rules alone decide; each repeated row is
 judged alike and counted as often as it occurs; null ids are judged like any other row and are never trusted; an empty table gives none.
 """
@@ -63,16 +63,20 @@ def counts(docs: DataFrame, carry: list[str]) -> DataFrame:
     return step.withColumn("n_repeat_words", covered.cast("bigint")).drop("_p")
 
 
-def _grams(w: Column) -> Column:
+def _grams(w: Column, whole: bool) -> Column:
+    bucket = lambda *x: F.pmod(F.xxhash64(*x), F.lit(BUCKETS)).cast("int")
     end = lambda i: F.right(F.get(w, i), F.lit(ENDING))
-    return F.transform(_upto(F.size(w) - 1), lambda i: F.pmod(F.xxhash64(end(i), end(i + 1)), F.lit(BUCKETS)).cast("int"))
+    pairs = lambda part: F.transform(_upto(F.size(w) - 1), lambda i: bucket(part(i), part(i + 1)))
+    if whole:
+        return F.concat(F.transform(w, lambda x: bucket(x)), pairs(lambda i: F.get(w, i)), pairs(end))
+    return pairs(end)
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, scratch: Scratch) -> DataFrame:
+def log_ratios(docs: DataFrame, trusted: DataFrame, scratch: Scratch, whole: bool = False) -> DataFrame:
     """``ratios``: one row with ``BUCKETS`` values of log(trusted / raw)."""
     sure = trusted.select(F.col("doc_id").alias("_id")).filter("_id is not null").distinct().withColumn("_t", F.lit(1)).hint("merge")  # ids grow with the corpus: the same plan at every size
     flagged = docs.select("doc_id", "text").join(sure, F.col("doc_id") == F.col("_id"), "left")
-    grams = flagged.select("_t", words(F.col("text")).alias("_w")).select("_t", F.explode(_grams(F.col("_w"))).alias("bucket"))
+    grams = flagged.select("_t", words(F.col("text")).alias("_w")).select("_t", F.explode(_grams(F.col("_w"), whole)).alias("bucket"))
     seen = scratch.keep(grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("_t").alias("good")), "buckets")
     raw, good = seen.agg(F.sum("raw"), F.sum("good")).first()
     part = (good or 0) / (raw or 1)
@@ -82,18 +86,18 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, scratch: Scratch) -> DataFra
     return pairs.agg(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["r"]).alias("ratios"))
 
 
-def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, carry: list[str] | None = None) -> DataFrame:
+def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, carry: list[str] | None = None, whole: bool = False) -> DataFrame:
     """Counts, ``score``, ``base_failed`` and ``kept`` of every row of ``docs``, beside ``carry`` (``doc_id`` alone if not given).
 
-    ``trusted`` has the ``doc_id`` of the documents that stand for the target.
+    ``trusted`` has the ``doc_id`` of the documents that stand for the target; ``whole`` takes n-grams of whole words too.
     """
     scratch = Scratch(docs.sparkSession, "rules")
     # a table of fixed size, folded into one array constant that tasks look up by position
-    table = log_ratios(docs, trusted, scratch).first()["ratios"]
+    table = log_ratios(docs, trusted, scratch, whole).first()["ratios"]
     ratios = F.split(F.lit(" ".join(map(repr, table))), " ").cast("array<double>")
     carry = ["doc_id"] if carry is None else carry
     plain = docs.select(*[c for c in docs.columns if c in {*carry, "text"}])
-    step = counts(plain, [c for c in carry if c != "text"]).withColumn("_g", _grams(F.col("_w")))
+    step = counts(plain, [c for c in carry if c != "text"]).withColumn("_g", _grams(F.col("_w"), whole))
     total = F.aggregate("_g", F.lit(0.0), lambda a, b: a + F.get(ratios, b))
     step = step.withColumn("score", F.when(F.size("_g") > 0, total / F.size("_g")).otherwise(F.lit(0.0)))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words"))

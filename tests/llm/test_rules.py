@@ -3,6 +3,7 @@ import math
 
 import xxhash
 
+from coursemill.llm.queries import op5_quality_rules
 from coursemill.llm.rules import BUCKETS, PRIOR, THRESHOLD, quality_rules
 from tests.conftest import plan
 from tests.llm.helpers import edge_rows, frame, words
@@ -69,3 +70,26 @@ def test_filter_on_the_verdict_and_no_python(spark):
 
 def test_empty_table(spark):
     assert quality_rules(frame(spark, edge_rows()).limit(0), spark.createDataFrame([], "doc_id long")).count() == 0
+
+
+def whole_grams(w):
+    out = [xxhash.xxh64_intdigest(x.encode(), 42) for x in w]
+    out += [xxhash.xxh64_intdigest(b.encode(), xxhash.xxh64_intdigest(a.encode(), 42)) for a, b in zip(w, w[1:])]
+    return [(h - (1 << 64) if h >> 63 else h) % BUCKETS for h in out]
+
+
+def test_whole_words_equal_brute_force(spark, monkeypatch):
+    rows, trusted = edge_rows(), set(range(0, 60, 2))
+    labels = spark.createDataFrame([(i,) for i in trusted], "doc_id long")
+    monkeypatch.setitem(globals(), "grams", lambda w, ends=grams: whole_grams(w) + ends(w))
+    assert got(quality_rules(frame(spark, rows), labels, whole=True)) == brute(rows, trusted)
+
+
+def test_queries_tell_stems_apart(spark, tmp_path):
+    good = lambda k: " ".join(f"{s}{(k * 7 + i * i) % 9}ing" for i in range(60) for s in ("walk", "sing"))
+    bad = lambda k: " ".join(f"{s}{(k * 7 + i * i) % 9}ing" for i in range(60) for s in ("spam", "scam"))
+    rows = [(k, good(k)) for k in range(40)] + [(100 + k, bad(k)) for k in range(40)]
+    frame(spark, rows, extra=False).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, 1, 0) for k in range(40)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    scores = {r.doc_id: r.score for r in op5_quality_rules(spark, str(tmp_path)).collect()}
+    assert max(scores[100 + k] for k in range(40)) < -0.2 < 0 < min(scores[k] for k in range(40))
