@@ -77,9 +77,12 @@ def spaces(data: np.ndarray) -> np.ndarray:
     return (data == 32) | ((data >= 9) & (data <= 13))
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin and end of every word in the bytes, and ``first``: where each document's words begin in those lists."""
-    solid = ~spaces(data)
+def word_spans(data: np.ndarray, offsets: np.ndarray, solid: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of every word in the bytes, and ``first``: where each document's words begin in those lists.
+
+    ``solid`` tells the bytes of words; without it, all that are not white space.
+    """
+    solid = ~spaces(data) if solid is None else solid
     cut = np.zeros(len(data) + 1, bool)
     cut[offsets] = True
     begin = np.nonzero(solid & (np.r_[True, ~solid[:-1]] | cut[:-1]))[0] if len(data) else np.zeros(0, np.int64)

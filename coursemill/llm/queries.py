@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 from coursemill.llm.chat import conversation_digests, format_conversations
 from coursemill.llm.classifier import quality_scores
 from coursemill.llm.common import table
+from coursemill.llm.lexical import search
 from coursemill.llm.likelihood import pseudo_likelihood
 from coursemill.llm.mixing import DOMAINS, mix
 from coursemill.llm.neighbours import nearest
 from coursemill.llm.pieces import encode
 from coursemill.llm.rules import quality_rules
 from coursemill.llm.simhash import simhash
+from coursemill.llm.sliced import top_scores
 from coursemill.llm.substring import substring_dedup
 from coursemill.llm.warc import archive_pages
+from coursemill.llm.whitening import whiten
 from coursemill.registry.book import Query
 
 QUERIES: dict[str, Query] = {}
@@ -131,3 +134,54 @@ TARGET_WEIGHTS = {"clean": 0.92, "low": 0.05, "toxic": 0.03}
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), weights=TARGET_WEIGHTS)
     return out.select("doc_id", "source", "n_words", *(F.get("p", F.lit(k)).alias(f"p_{d}") for k, d in enumerate(DOMAINS)), "rate")
+
+
+@_query
+def op11_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_scores(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
+CHECKS["op11_sliced_top_k"] = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda c: floor(64 * CAST(c AS DOUBLE))) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.x, v.x) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.vec_id % 20 = 0 AND v.vec_id <> q.vec_id AND len(v.x) = len(q.x)
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM s
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+"""
+
+
+@_query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+CHECKS["op12_lexical_search"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents
+),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark
+),
+f AS (SELECT r, any_value(doc_id) AS doc_id, t, count(*) AS tf FROM d GROUP BY r, t),
+c AS (SELECT r, sum(tf) AS n FROM f GROUP BY r),
+a AS (SELECT count(*) AS docs, sum(n) AS terms FROM c),
+w AS (SELECT t, CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, a GROUP BY t, docs),
+m AS (SELECT r, 50 + CAST((50 * n * docs) // terms AS BIGINT) AS m FROM c, a),
+s AS (
+  SELECT item_id, r, any_value(doc_id) AS doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM i JOIN f USING (t) JOIN w USING (t) JOIN m USING (r) GROUP BY item_id, r
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INT) AS rank, doc_id, score FROM s WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) <= 50
+"""
+
+
+@_query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
