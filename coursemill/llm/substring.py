@@ -9,7 +9,7 @@ their table, so no job holds more than one shuffle of them.
 
 Defined results: a null text is an empty text; a text with fewer words than a window keeps all; a null ``doc_id`` is
 neither smaller nor larger than another, so its row keeps all and takes nothing away; rows that repeat a whole row get
-the same result each; copies under different ids lose everything but in the smallest id; an empty table gives none.
+the same result each; rows of one id and different texts are judged apart, each against smaller ids; copies under different ids lose everything but in the smallest id; an empty table gives none.
 Windows are told apart by 96 bits of hash.
 """
 
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from coursemill.llm.common import Scratch, chunks, flat, lists, signed, span_hashes, spaces, window_hashes, word_spans
 
 SHORTEST = 8
+ROW = ["doc_id", "tie"]
 
 
 def levels(window: int) -> list[int]:
@@ -69,8 +70,8 @@ def _seed_rows(short: int, window: int, with_doc: bool):
             pair = np.unique(np.rec.fromarrays([w.doc[picked], runs[picked]], names="d,h"))
             out = [pa.array(signed(np.ascontiguousarray(pair.h)))]
             if with_doc:
-                out.append(batch.column("doc_id").take(pa.array(np.ascontiguousarray(pair.d))))
-            yield pa.RecordBatch.from_arrays(out, names=["seed", "doc_id"][: len(out)])
+                out += [batch.column(c).take(pa.array(np.ascontiguousarray(pair.d))) for c in ROW]
+            yield pa.RecordBatch.from_arrays(out, names=["seed", *ROW][: len(out)])
 
     return rows
 
@@ -109,40 +110,49 @@ def _window_rows(mark: str, parts: tuple[int, int], length: int, with_position:
         for batch in chunks(batches):
             at, doc, one, two = _windows(batch, mark, parts, length)
             if with_position:
-                extra = [pa.array(at.astype(np.int32))]
+                extra = [batch.column("tie").take(pa.array(doc)), pa.array(at.astype(np.int32))]
             else:
                 pair = np.unique(np.rec.fromarrays([doc, one, two], names="d,a,b"))
                 doc, one, two, extra = (np.ascontiguousarray(x) for x in (pair.d, pair.a, pair.b, pair.d))
                 extra = []
             out = [pa.array(one), pa.array(two), batch.column("doc_id").take(pa.array(doc)), *extra]
-            yield pa.RecordBatch.from_arrays(out, names=["one", "two", "doc_id", "pos"][: len(out)])
+            yield pa.RecordBatch.from_arrays(out, names=["one", "two", "doc_id", "tie", "pos"][: len(out)])
 
     return rows
 
 
-def repeated_windows(docs: DataFrame, window: int, scratch: Scratch) -> DataFrame:
-    """``doc_id, positions``: where windows of ``window`` words begin that also begin in a smaller ``doc_id``."""
+def with_ties(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``docs`` with ``tie``: zero, but for ids that several texts share, where it is the text's hash."""
+    text = F.xxhash64("text")
+    several = docs.groupBy("doc_id").agg(F.min(text).alias("least"), F.max(text).alias("most")).filter("least < most")
+    several = scratch.keep(several.select(F.col("doc_id").alias("_shared")), "shared-ids")
+    joined = docs.join(several, F.col("doc_id") == F.col("_shared"), "left")
+    return joined.withColumn("tie", F.when(F.col("_shared").isNotNull(), text).otherwise(F.lit(0).cast("bigint"))).drop("_shared")
+
+
+def repeated_windows(texts: DataFrame, window: int, scratch: Scratch) -> DataFrame:
+    """``doc_id, tie, positions``: where windows of ``window`` words begin that also begin in a smaller ``doc_id``."""
     lengths = levels(window)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("doc_id is not null")
+    texts = texts.select(*ROW, "text").filter("doc_id is not null")
     if len(lengths) == 1:
         lengths = [window, window]
     short = lengths[0]
     counted = texts.mapInArrow(_seed_rows(short, lengths[1], False), "seed long")
     again = scratch.keep(counted.groupBy("seed").count().filter("count > 1").select("seed"), "seeds")
-    own = texts.mapInArrow(_seed_rows(short, lengths[1], True), "seed long, doc_id long")
-    marks = scratch.keep(own.join(again, "seed").groupBy("doc_id").agg(F.collect_set("seed").alias("seeds")), "level-0")
+    own = texts.mapInArrow(_seed_rows(short, lengths[1], True), "seed long, doc_id long, tie long")
+    marks = scratch.keep(own.join(again, "seed").groupBy(*ROW).agg(F.collect_set("seed").alias("seeds")), "level-0")
     for k, length in enumerate(lengths[1:], 1):
-        mark, parts = marks.columns[1], (short, lengths[k - 1])
+        mark, parts = marks.columns[-1], (short, lengths[k - 1])
         last = k == len(lengths) - 1
-        marked = texts.join(marks, "doc_id")
+        marked = texts.join(marks, ROW)
         seen = marked.mapInArrow(_window_rows(mark, parts, length, False), "one long, two int, doc_id long")
         seen = seen.groupBy("one", "two").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
         seen = scratch.keep(seen.filter("n > 1").drop("n"), f"windows-{k}")
-        placed = marked.mapInArrow(_window_rows(mark, parts, length, True), "one long, two int, doc_id long, pos int")
+        placed = marked.mapInArrow(_window_rows(mark, parts, length, True), "one long, two int, doc_id long, tie long, pos int")
         placed = placed.join(seen, ["one", "two"])
         if last:
             placed = placed.filter("doc_id > least")
-        marks = scratch.keep(placed.groupBy("doc_id").agg(F.collect_set("pos").alias("positions")), f"level-{k}")
+        marks = scratch.keep(placed.groupBy(*ROW).agg(F.collect_set("pos").alias("positions")), f"level-{k}")
     return marks
 
 
@@ -211,9 +221,9 @@ def substring_dedup(docs: DataFrame, window: int = 13, carry: list[str] | None =
     Columns named in ``carry`` come along in a struct ``carried``.
     """
     scratch = Scratch(docs.sparkSession, "substring")
-    marks = repeated_windows(docs, window, scratch)
     carried = [F.struct(*carry).alias("carried")] if carry else []
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *carried, "text")
-    joined = texts.join(marks, "doc_id", "left").withColumn("positions", F.coalesce("positions", F.array().cast("array<int>")))
+    texts = with_ties(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *carried, "text"), scratch)
+    marks = repeated_windows(texts, window, scratch)
+    joined = texts.join(marks, ROW, "left").withColumn("positions", F.coalesce("positions", F.array().cast("array<int>")))
     kinds = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in joined.schema if f.name in ("doc_id", "carried"))
     return joined.mapInArrow(_cut(window), kinds + CUT)

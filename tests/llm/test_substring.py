@@ -3,7 +3,7 @@ import hashlib
 import pytest
 
 from coursemill.llm.substring import levels, substring_dedup
-from tests.llm.helpers import edge_rows, frame, words
+from tests.llm.helpers import PASSAGE, edge_rows, frame, words
 
 
 def brute(rows, window):
@@ -32,6 +32,14 @@ def test_equals_brute_force(spark, window):
     assert sorted(map(tuple, out.collect()), key=str) == brute(rows, window)
 
 
+@pytest.mark.parametrize("window", [13, 40])
+def test_rows_of_one_id_are_judged_apart(spark, window):
+    own = " ".join(f"own{k}" for k in range(60))
+    rows = [(1, PASSAGE), (5, own), (5, PASSAGE), (5, "x y"), (5, f"x y {PASSAGE}"), (6, own), (5, own)]
+    out = substring_dedup(frame(spark, rows), window).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    assert sorted(map(tuple, out.collect()), key=str) == brute(rows, window)
+
+
 def test_levels_double_up_to_the_window():
     assert levels(13) == [7, 13] and levels(50) == [7, 13, 25, 50] and levels(4) == [4]
 
