@@ -5,6 +5,9 @@ in between, so no text can spell one. Control strings inside a text are escaped
 backslash goes between ``<`` and ``|``, and one more where there were some already, which is undone exactly. Loss masks are prefix sums of
 +1 and -1 at segment borders, and so are the places of turns in their conversation.
 
+Runs of white space longer than ``LONG_SPACE`` are cut out by a linear scan and encoded apart, in pieces of that length: the vocabulary's split pattern would
+go as deep as they are long. Decoding is exact all the same.
+
 Rows are encoded where they are read, then moved to their conversation and put in order of ``turn`` (equal turns by role, then by a hash of the text;
 a null turn first). A conversation is a run of rows, one for each turn, never one value: tasks stream it with a carried position, however long
 it is. Defined results: a null text or role is empty; null ``conv_id`` rows make up one conversation; repeated rows are turns of their own; an empty table gives none.
@@ -32,6 +35,8 @@ START, END = "<|im_start|>", "<|im_end|>"
 LOSS_ROLE = "assistant"
 _CONTROL = re.compile(r"<(\\*)\|")
 _ESCAPED = re.compile(r"<\\(\\*)\|")
+LONG_SPACE = 4096
+_LONG = re.compile(rf"(\s{{{LONG_SPACE},}})")
 
 
 def escape(text: str) -> str:
@@ -63,7 +68,12 @@ class Codec:
         self.kind = np.dtype("<u2" if self.end < 1 << 16 else "<u4")
 
     def encode(self, text: str) -> list[int]:
-        return self.core.encode_ordinary(text)
+        ids = []
+        for k, part in enumerate(_LONG.split(text)):
+            step = LONG_SPACE if k % 2 else len(part) or 1
+            for begin in range(0, len(part), step):
+                ids += self.core.encode_ordinary(part[begin : begin + step])
+        return ids
 
     def decode(self, ids: list[int]) -> str:
         return self.core.decode_bytes(ids).decode()

@@ -49,6 +49,18 @@ def test_escapes_are_undone(text):
     assert "<|" not in escape(text) and "\n" not in escape_role(text)
 
 
+@pytest.mark.parametrize("text", [" " * 1_000_000, " \n" * 500_000, "a" + "\t" * 700_000 + "b", "\u3000" * 600_000 + "x" * 1_000_000])
+def test_long_white_space(text):
+    c = codec(VOCABULARY)
+    assert c.decode(c.encode(text)) == text
+
+
+def test_conversation_of_white_space(spark):
+    rows = [(1, 0, "user", " " * 1_000_000), (1, 1, "assistant", "ok" + " \n" * 500_000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert {r[0]: tuple(r[1:]) for r in conversation_digests(format_conversations(df)).collect()} == brute(rows)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert conversation_digests(format_conversations(df)).count() == 0
