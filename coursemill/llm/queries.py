@@ -80,7 +80,8 @@ THRESHOLD = 0.3
 
 
 def _held_out() -> Column:
-    return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    """Rows without an id are neither held out nor learnt from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
 @_query
