@@ -1,7 +1,8 @@
 """Stages over ``documents``, each written as Parquet and read again as the next one's input.
 
 Every stage takes all rows that the one before has kept. Null and empty texts fail the quality rules' base counts and end there; rows without an id
-are never told apart, so the deduplication stages leave them; an empty table goes through as one.
+are never told apart, so the deduplication stages leave them; rows of one id stay or go together, so a row that is repeated whole stays repeated;
+an empty table goes through as one.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from coursemill.llm.common import Scratch, table
 from coursemill.llm.mixing import fit_mix, select_by_rate
 from coursemill.llm.pieces import encode
 from coursemill.llm.rules import quality_rules
-from coursemill.llm.similar import similar
+from coursemill.llm.simhash import simhash
 from coursemill.llm.substring import substring_dedup
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -29,8 +30,8 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates: five-word shingles alike to 0.8 or more."""
-    first = similar(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    """The document with the smallest id of each group of near-duplicates: fingerprints of three-word shingles that two bits or fewer tell apart."""
+    first = simhash(docs).filter("doc_id = component_id").select("doc_id").distinct()
     named = docs.join(first, "doc_id", "left_semi")
     return named.unionByName(docs.filter("doc_id is null")).select(*COLUMNS)
 
