@@ -26,13 +26,13 @@ from pyspark.sql import functions as F
 from coursemill.llm.common import Scratch, chunks, flat, lists, mix, signed, span_hashes, word_spans
 from coursemill.llm.sliced import add, pack, positions, select, size
 
-DOCS = 4096  # documents of one block, fewer where they have many terms
-POSTINGS = 1 << 20  # terms of all documents of one block, about
+DOCS = 2048  # documents of one block, fewer where they have many terms
+POSTINGS = 1 << 18  # terms of all documents of one block, about
 WIDEST = 1 << 17  # bits of a signature
 HASHES, ROOM = 3, 4  # bits of a key, and width for each bit set
 STEPS = (0.25, 0.5, 0.75, 0.9, 0.97, 1.0)  # shares of a block's term parts up to each step
 UNITS = 1 << 13  # a bound is counted in so many parts of the most that an item can score
-ITEMS = 64  # items that meet a block together
+ITEMS = 512  # items that meet a block together
 
 _SOLID = np.zeros(256, bool)
 _SOLID[0x80:] = True
@@ -97,9 +97,10 @@ def _built(documents: int, words: int):
             for b in range(HASHES):
                 held[at[code[some], s, b], doc[some]] = True
         bytes_of = lambda x, kind: pa.array([x.astype(kind).tobytes()], pa.binary())
+        narrow = lambda x: pa.array([x.astype(np.min_scalar_type(int(x.max()))).tobytes()], pa.binary())  # noqa: E731  as many bytes as the largest needs
         columns = {
             "level": pa.array([key[0].as_py()], pa.int32()), "part": pa.array([key[1].as_py()], pa.int32()), "ids": pa.array([ids.to_pylist()], pa.list_(pa.int64())),
-            "m": bytes_of(m, np.int64), "each": bytes_of(each, np.int32), "code": bytes_of(code, np.int32), "tf": bytes_of(tf, np.int32), "terms": bytes_of(vocabulary, np.int64),
+            "m": bytes_of(m, np.int64), "each": bytes_of(each, np.int32), "code": narrow(code), "tf": narrow(tf), "terms": bytes_of(vocabulary, np.int64),
             "tops": bytes_of(tops, np.int64), "signatures": pa.array([pack(held).tobytes()], pa.binary()),
         }
         return pa.table(columns)
@@ -118,9 +119,11 @@ class Block:
         ids = batch.column("ids")[r].values
         self.unnamed = np.array(ids.is_null())
         self.ids = np.array(ids.fill_null(0))
-        self.each, self.code, self.terms, self.tops = value("each", np.int32).astype(np.int64), value("code", np.int32), value("terms", np.int64), value("tops", np.int64)
+        self.each, self.terms, self.tops = value("each", np.int32).astype(np.int64), value("terms", np.int64), value("tops", np.int64)
+        narrow = lambda c: np.frombuffer(raw := batch.column(c)[r].as_py(), f"<u{len(raw) // int(self.each.sum())}")
+        self.code = narrow("code")
         self.start = np.cumsum(self.each) - self.each
-        self.share = _shares(value("tf", np.int32).astype(np.int64), np.repeat(value("m", np.int64), self.each))
+        self.share = _shares(narrow("tf").astype(np.int64), np.repeat(value("m", np.int64), self.each))
         self.live = pack(np.ones(len(self.ids), bool))
         self.signatures = value("signatures", np.uint64).reshape(-1, len(self.live))
 
