@@ -33,6 +33,7 @@ HASHES, ROOM = 3, 4  # bits of a key, and width for each bit set
 STEPS = (0.25, 0.5, 0.75, 0.9, 0.97, 1.0)  # shares of a block's term parts up to each step
 UNITS = 1 << 13  # a bound is counted in so many parts of the most that an item can score
 ITEMS = 512  # items that meet a block together
+BROADCAST_TERMS = 1 << 20  # terms of all items, 16 bytes each, that may go to every task
 
 _SOLID = np.zeros(256, bool)
 _SOLID[0x80:] = True
@@ -100,7 +101,7 @@ def _built(documents: int, words: int):
         narrow = lambda x: pa.array([x.astype(np.min_scalar_type(int(x.max()))).tobytes()], pa.binary())  # noqa: E731  as many bytes as the largest needs
         columns = {
             "level": pa.array([key[0].as_py()], pa.int32()), "part": pa.array([key[1].as_py()], pa.int32()), "ids": pa.array([ids.to_pylist()], pa.list_(pa.int64())),
-            "m": bytes_of(m, np.int64), "each": bytes_of(each, np.int32), "code": narrow(code), "tf": narrow(tf), "terms": bytes_of(vocabulary, np.int64),
+            "m": bytes_of(m, np.int64), "each": bytes_of(each, np.int32), "code": narrow(code), "tf": narrow(tf), "terms": bytes_of(vocabulary, np.int64), "df": narrow(np.bincount(code)),
             "tops": bytes_of(tops, np.int64), "signatures": pa.array([pack(held).tobytes()], pa.binary()),
         }
         return pa.table(columns)
@@ -108,7 +109,13 @@ def _built(documents: int, words: int):
     return block
 
 
-_BLOCK = "level int, part int, ids array<long>, m binary, each binary, code binary, tf binary, terms binary, tops binary, signatures binary"
+_BLOCK = "level int, part int, ids array<long>, m binary, each binary, code binary, tf binary, terms binary, df binary, tops binary, signatures binary"
+
+
+def _narrow(batch: pa.RecordBatch, column: str, r: int, count: int) -> np.ndarray:
+    """Numbers that were written with as many bytes as the largest of them needs."""
+    raw = batch.column(column)[r].as_py()
+    return np.frombuffer(raw, f"<u{len(raw) // count}")
 
 
 class Block:
@@ -120,10 +127,10 @@ class Block:
         self.unnamed = np.array(ids.is_null())
         self.ids = np.array(ids.fill_null(0))
         self.each, self.terms, self.tops = value("each", np.int32).astype(np.int64), value("terms", np.int64), value("tops", np.int64)
-        narrow = lambda c: np.frombuffer(raw := batch.column(c)[r].as_py(), f"<u{len(raw) // int(self.each.sum())}")
-        self.code = narrow("code")
+        postings = int(self.each.sum())
+        self.code = _narrow(batch, "code", r, postings)
         self.start = np.cumsum(self.each) - self.each
-        self.share = _shares(narrow("tf").astype(np.int64), np.repeat(value("m", np.int64), self.each))
+        self.share = _shares(_narrow(batch, "tf", r, postings).astype(np.int64), np.repeat(value("m", np.int64), self.each))
         self.live = pack(np.ones(len(self.ids), bool))
         self.signatures = value("signatures", np.uint64).reshape(-1, len(self.live))
 
@@ -201,49 +208,65 @@ def _meet(k: int):
     return rows
 
 
-def index_documents(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, int, dict[int, int]]:
-    """The terms of all documents, the blocks of the index, the number of documents and the number of blocks by size of document."""
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many documents of each block a term occurs."""
+    for batch in batches:
+        for r in range(batch.num_rows):
+            terms = np.frombuffer(batch.column("terms")[r].as_py(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(_narrow(batch, "df", r, len(terms)).astype(np.int64))], names=["t", "df"])
+
+
+def index_documents(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, int, dict[int, int]]:
+    """The blocks of the index, the number of documents and the number of blocks by size of document.
+
+    Texts are read twice, once for their sizes: that takes less room than their terms, written down.
+    """
     spark = docs.sparkSession
-    terms = scratch.keep(terms_of(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), "doc_id").filter("n > 0"), "terms")
+    terms = terms_of(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), "doc_id").filter("n > 0")
     level = F.ceil(F.log2(F.size("terms"))).cast("int")
     sizes = terms.groupBy(level.alias("level")).agg(F.count("*").alias("docs"), F.sum("n").alias("words")).collect()  # a row for each power of two
     if not sizes:
-        return terms, spark.createDataFrame([], _BLOCK), 0, {}
+        return spark.createDataFrame([], _BLOCK), 0, {}
     documents, words = sum(r["docs"] for r in sizes), sum(r["words"] for r in sizes)
     parts = {r["level"]: -(-r["docs"] // max(1, min(DOCS, POSTINGS >> r["level"]))) for r in sizes}
     deal = F.get(F.array(*[F.lit(parts.get(i, 1)) for i in range(max(parts) + 1)]), level)
     dealt = terms.select("id", "n", "terms", "tf", level.alias("level"), F.pmod(F.xxhash64("id", "place", "n"), deal).cast("int").alias("part"))
     blocks = scratch.keep(dealt.groupBy("level", "part").applyInArrow(_built(documents, words), _BLOCK), "blocks")
-    return terms, blocks, documents, parts
+    return blocks, documents, parts
 
 
-def _blocks_of_items(items: DataFrame, count: int, parts: dict[int, int]) -> DataFrame:
-    """Items in groups, once for each block of the index."""
-    group = items.groupBy(F.pmod(F.xxhash64("key"), F.lit(max(1, -(-count // ITEMS)))).alias("g")).agg(F.collect_list(F.struct("key", "wanted", "weights", "least")).alias("e"))
-    group = group.select(*[F.col(f"e.{c}").alias(c) for c in ("key", "wanted", "weights", "least")]).withColumnRenamed("key", "keys")
+def _met(blocks: DataFrame, items: DataFrame, parts: dict[int, int]) -> DataFrame:
+    """Blocks of the index beside groups of items. Few items go to every task; groups of many are sent to each block."""
+    count, held = items.agg(F.count("*"), F.sum(F.size("wanted"))).first()
+    groups = max(1, -(-count // ITEMS))
+    group = items.groupBy(F.pmod(F.xxhash64("key"), F.lit(groups)).cast("int").alias("g")).agg(F.collect_list(F.struct("key", "wanted", "weights", "least")).alias("e"))
+    group = group.select("g", *[F.col(f"e.{c}").alias(c) for c in ("key", "wanted", "weights", "least")]).withColumnRenamed("key", "keys")
+    if (held or 0) <= BROADCAST_TERMS:
+        return blocks.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).join(F.broadcast(group), "g")
     every = F.map_from_arrays(F.array(*[F.lit(i) for i in parts]), F.array(*[F.lit(n) for n in parts.values()]))
-    return group.select("*", F.explode(every).alias("level", "_n")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).drop("_n")
+    each = group.select("*", F.explode(every).alias("level", "_n")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    return blocks.join(each.hint("merge"), ["level", "part"])
 
 
 def search(docs: DataFrame, items: DataFrame, k: int = 50) -> DataFrame:
     """``item_id, rank, doc_id, score`` of the ``k`` best documents (``doc_id, text``) for each of ``items`` (``item_id, text``)."""
     scratch = Scratch(docs.sparkSession, "lexical")
-    terms, blocks, documents, parts = index_documents(docs, scratch)
+    blocks, documents, parts = index_documents(docs, scratch)
     asked = items.select("item_id", "text", F.xxhash64("text").alias("key")).filter("text is not null")
     if not documents:
         return asked.select("item_id", F.lit(1).alias("rank"), F.lit(0).cast("bigint").alias("doc_id"), F.lit(0).cast("bigint").alias("score")).limit(0)
     wanted = terms_of(asked.select("key", "text").dropDuplicates(["key"]), "key").select(F.col("id").alias("key"), F.explode("terms").alias("t"))
-    seen = terms.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("df"))
+    seen = blocks.select("terms", "df").mapInArrow(_frequencies, "t long, df long").groupBy("t").agg(F.sum("df").alias("df"))
     weight = F.floor(1000 * F.log(F.lit(2.0 * documents + 2) / (2 * F.col("df") + 1))).cast("bigint")
     weighed = scratch.keep(wanted.join(seen, "t").select("key", "t", weight.alias("w")), "weights")
     each = F.sort_array(F.collect_list(F.struct("t", "w")))
     known = weighed.groupBy("key").agg(each.alias("e")).select("key", F.col("e.t").alias("wanted"), F.col("e.w").alias("weights"))
-    count = known.count()
+    known = scratch.keep(known, "known")
     best = Window.partitionBy("key").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     of_block = [F.col(c) for c in ("ids", "m", "each", "code", "tf", "terms", "tops", "signatures", "keys", "wanted", "weights", "least")]
 
     def meet(some: DataFrame, asking: DataFrame, where: dict[int, int]) -> DataFrame:
-        met = _blocks_of_items(asking, count, where).join(some, ["level", "part"]).select(*of_block)
+        met = _met(some, asking, where).select(*of_block)
         found = met.mapInArrow(_meet(k), "key long, doc_id long, score long, scored long")
         return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 

@@ -58,6 +58,8 @@ def test_many_documents_ties_and_blocks(spark, monkeypatch):
     items = [(i, " ".join(f"t{say.randint(0, 90)}" for _ in range(9))) for i in range(5)] + [(9, "copied t1")]
     asked = spark.createDataFrame(items, "item_id long, text string")
     assert got(search(frame(spark, rows), asked)) == brute(rows, items)
+    monkeypatch.setattr(lexical, "BROADCAST_TERMS", 0)
+    assert got(search(frame(spark, rows), asked)) == brute(rows, items)
 
 
 def test_most_documents_are_excluded_by_their_bounds(spark):
