@@ -218,21 +218,30 @@ def mastery(spark, sf):
     return answers.mastery(answers.question_totals(answers.answer_events(answer_lines(spark, sf))))
 
 
-@query("stream_mastery", _MASTERY_SQL)
-def stream_mastery(spark, sf):
-    out = _streamed(
+def _streamed_points(spark, sf):
+    return _streamed(
         spark, "answers", answer_lines(spark, sf),
-        lambda s: answers.question_totals(answers.answer_events(s)), answers.publish_points, "update",
+        lambda s: answers.point_totals(answers.answer_events(s)), answers.publish_points, "update",
     )
-    return answers.published_points(spark, out).drop("updatetime")
 
 
-@query(
-    "question_history",
-    ctes("answer_fields")
-    + """select userid, courseid, pointid, cast(0 as bigint) as part, string_agg(distinct questionid, ',' order by questionid) as questionids,
-      min(createtime) as createtime from answer_fields group by userid, courseid, pointid""",
-)
+@query("stream_mastery", _MASTERY_SQL)
+def stream_mastery(spark, sf):
+    return answers.published_points(spark, _streamed_points(spark, sf)).drop("updatetime")
+
+
+_HISTORY_SQL = ctes("answer_fields") + """
+  select userid, courseid, pointid, cast(0 as bigint) as part, string_agg(distinct questionid, ',' order by questionid) as questionids,
+    min(createtime) as createtime from answer_fields group by userid, courseid, pointid"""
+
+
+@query("stream_question_history", _HISTORY_SQL)
+def stream_question_history(spark, sf):
+    """The question lists as the answer job publishes them."""
+    return answers.published_history(spark, _streamed_points(spark, sf))
+
+
+@query("question_history", _HISTORY_SQL)
 def question_history(spark, sf):
     return answers.question_history(answers.question_totals(answers.answer_events(answer_lines(spark, sf))))
 

@@ -22,11 +22,7 @@ def answer_events(lines: DataFrame) -> DataFrame:
 
 
 def question_totals(events: DataFrame) -> DataFrame:
-    """Answers, right answers and first time per question: the state that is kept.
-
-    Keeping a row per question instead of a set of ids per point bounds every state row, and distinct questions become
-    a plain count of rows.
-    """
+    """Answers, right answers and first time per question: distinct questions become a plain count of rows."""
     return events.groupBy(*QUESTION_KEYS).agg(
         F.count(F.lit(1)).alias("answers"),
         F.count_if(F.col("istrue") == "1").alias("right"),
@@ -34,6 +30,24 @@ def question_totals(events: DataFrame) -> DataFrame:
     )
 
 
+def point_totals(events: DataFrame) -> DataFrame:
+    """Totals of a point with the ids of its questions: the state of the answer job, a row per point.
+
+    A batch adds to the points that it names and hands those out whole, so nothing that was published is read again. The
+    set holds a point's distinct questions, about ten, not its answers; answers are combined before the shuffle.
+    """
+    unnamed = F.col("questionid").isNull()
+    totals = events.groupBy(*POINT_KEYS).agg(
+        F.count(F.lit(1)).alias("qz_sum"),
+        F.collect_set("questionid").alias("questions"),
+        F.max(unnamed.cast("int")).alias("_unnamed"),
+        F.count_if(F.col("istrue") == "1").alias("qz_istrue"),
+        F.min("createtime").alias("createtime"),
+    )
+    count = (F.size("questions") + F.col("_unnamed")).cast("bigint")
+    return totals.withColumn("qz_count", count).withColumn("questions", F.sort_array("questions")).drop("_unnamed")
+
+
 def mastery(questions: DataFrame) -> DataFrame:
     """Totals, distinct questions, right answers, correct rate and mastery per point."""
     totals = questions.groupBy(*POINT_KEYS).agg(
@@ -42,6 +56,10 @@ def mastery(questions: DataFrame) -> DataFrame:
         F.sum("right").alias("qz_istrue"),
         F.min("createtime").alias("createtime"),
     )
+    return with_rates(totals)
+
+
+def with_rates(totals: DataFrame) -> DataFrame:
     correct = F.col("qz_istrue").cast("double") / F.col("qz_sum").cast("double")
     return (
         totals.withColumn("correct_rate", correct)
@@ -64,35 +82,20 @@ def question_history(questions: DataFrame, parts: int = 1) -> DataFrame:
     return lists.join(first, POINT_KEYS)
 
 
-def publish_questions(root: str):
-    """Publisher for update-mode question totals: each batch records only the questions it changed."""
-    def publish(rows: DataFrame, batch: int) -> None:
-        publish_changes(rows, root, batch, compact=True)
-
-    return publish
-
-
-def published_mastery(spark, root: str) -> DataFrame:
-    return mastery(latest_rows(spark, root, QUESTION_KEYS))
-
-
 def publish_points(root: str):
-    """Publisher of the answer job: question totals, then detail and question list of every point that the batch touched."""
+    """Publisher of the answer job: the whole row of every point that the batch touched, and nothing is read back."""
     def publish(rows: DataFrame, batch: int) -> None:
-        spark = rows.sparkSession
-        publish_changes(rows, f"{root}/questions", batch, compact=True)
-        changed = spark.read.parquet(f"{root}/questions/changes/batch={batch}").select(*POINT_KEYS).distinct()
-        touched = latest_rows(spark, f"{root}/questions", QUESTION_KEYS).join(changed, POINT_KEYS, "left_semi")
-        publish_changes(with_update_time(mastery(touched)), f"{root}/points", batch, compact=True)
-        publish_changes(question_history(touched), f"{root}/history", batch, compact=True)
+        publish_changes(with_update_time(with_rates(rows)), root, batch, compact=True)
 
     return publish
 
 
 def published_points(spark, root: str) -> DataFrame:
     """The detail of every point, with the time of its last update."""
-    return latest_rows(spark, f"{root}/points", POINT_KEYS)
+    return latest_rows(spark, root, POINT_KEYS).drop("questions")
 
 
 def published_history(spark, root: str) -> DataFrame:
-    return latest_rows(spark, f"{root}/history", [*POINT_KEYS, "part"])
+    """The question list of every point, as ``question_history`` gives it in one part."""
+    rows = latest_rows(spark, root, POINT_KEYS)
+    return rows.select(*POINT_KEYS, F.lit(0).cast("bigint").alias("part"), F.array_join("questions", ",").alias("questionids"), "createtime")

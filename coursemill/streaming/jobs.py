@@ -44,9 +44,9 @@ def page_job(lines: DataFrame, ranges: DataFrame, out: str, once: bool = False)
 
 
 def answer_job(lines: DataFrame, out: str, once: bool = False) -> list[StreamingQuery]:
-    """Question totals as changes, and with each batch the points it touched: their detail and their question lists."""
-    totals = answers.question_totals(answers.answer_events(lines))
-    return [_run("answer", "questions", totals, answers.publish_points(out), out, "update", once)]
+    """With each batch the points it touched: their detail and their question lists, from a state per point."""
+    totals = answers.point_totals(answers.answer_events(lines))
+    return [_run("answer", "points", totals, answers.publish_points(f"{out}/points"), out, "update", once)]
 
 
 def learn_job(lines: DataFrame, out: str, once: bool = False) -> list[StreamingQuery]:

@@ -90,18 +90,39 @@ def test_top_provinces_break_ties_by_name(spark):
     assert [r["province"] for r in pages.top_provinces(df).collect()] == ["b", "a", "c"]
 
 
-def test_answer_job_counts_distinct_questions_over_batches(spark, log, tmp_path):
+def test_answer_job_counts_distinct_questions_over_batches(spark, rows, log, tmp_path):
     put(log, "1.txt", ["7\t1\t1\tq1\t1\t2019-07-02", "7\t1\t1\tq2\t0\t2019-07-03", "7\t1\t1", "7\t1\t1\tq9\t1\t"])
     put(log, "2.txt", ["7\t1\t1\tq1\t1\t2019-07-01", "8\t1\t1\tq1\t0\t2019-07-05"])
     drain(jobs.answer_job(line_stream(spark, "files", str(log), per_trigger=1), str(tmp_path / "o"), once=True))
-    got = {r["userid"]: r for r in answers.published_mastery(spark, str(tmp_path / "o" / "questions")).collect()}
+    points = answers.published_points(spark, str(tmp_path / "o" / "points"))
+    got = {r["userid"]: r for r in points.collect()}
     r = got["7"]
     assert (r["qz_sum"], r["qz_count"], r["qz_istrue"], r["createtime"]) == (3, 2, 2, "2019-07-01")
     assert abs(r["correct_rate"] - 2 / 3) < 1e-12 and abs(r["mastery_rate"] - 0.2 * 2 / 3) < 1e-12
     assert str(r["correct_percent"]) == "0.67"
-    stamped = answers.with_update_time(answers.published_mastery(spark, str(tmp_path / "o" / "questions")))
-    assert len(stamped.first()["updatetime"]) == 19
+    assert len(r["updatetime"]) == 19
     assert got["8"]["mastery_rate"] == 0.0
+    lists = answers.published_history(spark, str(tmp_path / "o" / "points"))
+    assert rows(lists) == [("7", "1", "1", 0, "q1,q2", "2019-07-01"), ("8", "1", "1", 0, "q1", "2019-07-05")]
+
+
+def test_answer_job_reads_no_more_in_later_batches(spark, log, tmp_path, monkeypatch):
+    """Fifty batches, each of a new point and one that all share: a batch writes two rows, and publishing opens no file."""
+    def unread(*_, **__):
+        raise AssertionError("published rows were read back")
+
+    for k in range(50):
+        put(log, f"{k:02}.txt", [f"{k}\t1\t1\tq{k % 7}\t1\t2019-07-02", f"all\t1\t1\tq{k % 7}\t{k % 2}\t2019-07-02"])
+    monkeypatch.setattr(answers, "latest_rows", unread)
+    [query] = jobs.answer_job(line_stream(spark, "files", str(log), per_trigger=1), str(tmp_path / "o"), once=True)
+    query.awaitTermination()
+    assert {p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress if p["numInputRows"]} == {2}
+    monkeypatch.undo()
+    root = tmp_path / "o" / "points"
+    sizes = [sum(f.stat().st_size for f in (root / "changes" / f"batch={k}").glob("*.parquet")) for k in range(50)]
+    assert max(sizes[10:]) < 1.2 * max(sizes[:10])
+    got = {r["userid"]: r for r in answers.published_points(spark, str(root)).collect()}
+    assert len(got) == 51 and (got["all"]["qz_sum"], got["all"]["qz_count"], got["all"]["qz_istrue"]) == (50, 7, 25)
 
 
 def viewing(user, ps, pe, ts, te, **more):
