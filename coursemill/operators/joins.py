@@ -25,7 +25,12 @@ def broadcast_within(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: i
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.001) -> DataFrame:
-    """Keys that hold more than ``share`` of all rows, as a local frame of fewer than ``1 / share`` rows.
+    """Keys that hold more than ``share`` of all rows, as a local frame of fewer than ``1 / share`` rows."""
+    return _hot_keys(df, keys, share)[0]
+
+
+def _hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> tuple[DataFrame, bool]:
+    """The hot keys, and whether rows without a key hold more than ``share`` of all rows.
 
     One pass over the key columns: counts are combined before the shuffle, the total is observed on the way, and only
     the ``1 / share`` largest counts come back. No more keys than that can hold such a share, whatever the data.
@@ -33,14 +38,15 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.001) -> DataFr
     total = Observation()
     counts = (
         df.select(*keys)
-        .observe(total, F.count(F.lit(1)).alias("rows"))
+        .observe(total, F.count(F.lit(1)).alias("rows"), F.count_if(~_all_set(keys)).alias("unset"))
         .where(_all_set(keys))
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"))
     )
     largest = counts.orderBy(F.col("n").desc()).limit(int(1 / share) + 1).collect()
     found = [tuple(r[k] for k in keys) for r in largest if r["n"] > share * total.get["rows"]]
-    return df.sparkSession.createDataFrame(found, counts.select(*keys).schema)
+    hot = df.sparkSession.createDataFrame(found, counts.select(*keys).schema)
+    return hot, total.get["unset"] > share * total.get["rows"]
 
 
 def _all_set(keys: Sequence[str]) -> Column:
@@ -76,8 +82,8 @@ def salted_join(
         big_salted = big.withColumn("_salt", salt)
         small_salted = small.withColumn("_salt", F.explode(every))
     else:
-        found = hot_keys(big, on, hot_share)
-        if found.isEmpty():
+        found, unset = _hot_keys(big, on, hot_share)
+        if found.isEmpty() and not unset:
             return small.join(big, on, how)
         hot = F.broadcast(found.withColumn("_hot", F.lit(True)))
         # a null key matches nothing, but its rows must not meet in one reducer either

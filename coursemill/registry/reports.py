@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from coursemill.operators import zipper
 from coursemill.operators.grouping import two_phase_count
+from coursemill.operators.joins import salted_join
 from coursemill.plans import history, member, qz, sellcourse
 from coursemill.plans.warehouse import Warehouse
 from coursemill.registry.book import add, query
@@ -375,6 +376,19 @@ def sell_detail_bucketed(spark, sf):
     return sellcourse.sell_detail_bucketed(*bucketed_sales(spark, sf), DT)
 
 
+@query(
+    "salted_null_keys",
+    """select o_orderkey, o_totalprice, c_name, c_custkey
+    from (select o_orderkey, o_totalprice, case when o_orderkey % 2 = 0 then o_custkey end as c_custkey from orders) left join customer using (c_custkey)""",
+)
+def salted_null_keys(spark, sf):
+    """Half of the orders without a customer and no customer hot: the null keys alone are spread."""
+    key = F.when(F.col("o_orderkey") % 2 == 0, F.col("o_custkey")).alias("c_custkey")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", key)
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name")
+    return salted_join(customers, orders, ["c_custkey"], "right", spread_by=["o_orderkey"], hot_share=0.01)
+
+
 @query("two_phase_salted", "select l_partkey, count(*) as num from lineitem group by l_partkey")
 def two_phase_salted(spark, sf):
     return two_phase_count(

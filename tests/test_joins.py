@@ -76,6 +76,23 @@ def test_hot_keys_are_found_and_bounded(spark, rows, sales):
     assert hot_keys(cart, ["courseid"], 0.5).isEmpty()
 
 
+def test_null_keys_are_spread_though_no_key_is_hot(spark, rows):
+    small = spark.range(2000).selectExpr("id as k", "concat('n', id) as name")
+    big = spark.range(4000).selectExpr("if(id % 2 = 0, null, id % 2000) as k", "id as v")
+    got = salted_join(small, big, ["k"], "right", spread_by=["v"])
+    assert "_salt" in plan(got) and rows(got) == rows(small.join(big, ["k"], "right"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = salted_join(small, big, ["k"], "right", spread_by=["v"]).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert max(r["count"] for r in tasks) < 1400  # of 4000 rows in four tasks, where nulls alone would be 2000
+    assert "_salt" not in plan(salted_join(small, big.where("k is not null"), ["k"], "right", spread_by=["v"]))
+
+
 def test_salted_inner_join_keeps_null_keys_out(spark, rows):
     big = spark.createDataFrame([(None, 1), (1, 2), (1, 3), (2, 4)], "k int, v int")
     small = spark.createDataFrame([(1, "a"), (None, "n")], "k int, w string")
