@@ -8,11 +8,13 @@ from coursemill.operators.grouping import (
     count_by,
     dense_top,
     joined_lists,
+    placed_items,
     pick_one,
     top_rows,
     two_phase_count,
     word_count,
 )
+from coursemill.session import workspace
 from tests.conftest import plan
 
 
@@ -74,8 +76,24 @@ def test_joined_lists_in_declared_slices(spark):
     assert whole == [str(u) for u in sorted(u for k, u in data if k == 1)]
     assert max(len(got[1, p].split(",")) for p in range(4)) <= 158
     assert got[2, 0] == "4" and got[2, 2] == "5" and got[3, 0] == "" and got[None, 0] == "9"
-    for parts in (1, 4):
-        assert plan(joined_lists(df, ["k"], "u", "us", parts=parts)).count("Exchange hashpartitioning") == 1
+    assert plan(joined_lists(df, ["k"], "u", "us")).count("Exchange hashpartitioning") == 1
+
+
+def test_a_third_of_the_rows_in_one_group_is_no_long_task(spark, rows, monkeypatch):
+    """Sixty-four slices: no range holds a twentieth of the rows, and no slice more than its share of the group."""
+    seen = []
+    monkeypatch.setattr("coursemill.operators.grouping.workspace", lambda s, n: seen.append(workspace(s, n)) or seen[-1])
+    hot = spark.range(20_000).selectExpr("1 as k", "cast(id * 7919 % 5000 as int) as u")
+    rest = spark.range(40_000).selectExpr("cast(2 + id % 900 as int) as k", "if(id % 50 = 0, null, cast(id as int)) as u")
+    df = hot.union(rest).repartition(6)
+    placed = placed_items(df, ["k"], "u", 64)
+    got = {r["part"]: (r["n"], r["least"], r["most"]) for r in placed.where("k = 1").groupBy("part").agg(F.sum("_n").alias("n"), F.min("u").alias("least"), F.max("u").alias("most")).collect()}
+    assert len(got) == 64 and all(abs(n - 20_000 / 64) <= 1 for n, _, _ in got.values())
+    assert all(got[p][2] <= got[p + 1][1] for p in range(63))
+    ranges = spark.read.parquet(f"{seen[0]}/ranges").groupBy("_range").count().collect()
+    assert len(ranges) > 40 and max(r["count"] for r in ranges) < 0.05 * sum(r["count"] for r in ranges)
+    lists = joined_lists(df, ["k"], "u", "us", parts=64).where("k = 1").collect()
+    assert sum(len(r["us"].split(",")) for r in lists) == 20_000
 
 
 def test_two_phase_count_equals_plain_count(scores, rows):
