@@ -1,8 +1,8 @@
 """Watched intervals of videos: unions, newly covered seconds and watch totals.
 
 Positions are whole seconds inside one video, so a video of L seconds has at most L different starts. Every operator
-first reduces rows to one per (key, start) or (key, start, end) with partial aggregation. What a window over one key
-then sees is at most L rows long, however many rows a hot key has.
+first reduces rows to one per (key, start) or (key, start, end) with partial aggregation, so what a window over one key
+then sees is bounded by the video's length, however many rows a hot key has. Windows stream and spill.
 """
 
 from __future__ import annotations
@@ -57,24 +57,21 @@ def uncovered_pieces(
 ) -> DataFrame:
     """Add ``new_seconds`` and ``first_of_key`` to distinct (key, start, end) rows.
 
-    ``new_seconds`` is what the row covers beyond history and beyond the key's earlier rows in (start, end) order.
-    The furthest end reached by earlier starts is a running maximum over one row per start; within one start it is the
-    previous end. ``history`` has the disjoint ``intervals`` of a key.
+    ``new_seconds`` is what the row covers beyond history and beyond the key's earlier rows in (start, end) order: a sweep
+    over the rows of a key, put in order once. The furthest end reached by smaller starts is a running maximum over the range
+    of starts before; within one start it is the previous end. Both windows, and an aggregation by key that follows,
+    share the one shuffle by key. ``history`` has the disjoint ``intervals`` of a key. Rows without a key or start are left out.
     """
     keys = list(keys)
-    # the maximum of whole rows reads every column of ``pairs``, as the other branch does: both then share one scan
-    # and one first shuffle instead of pruning themselves into two different ones
-    rest = [c for c in pairs.columns if c not in (*keys, start, end)]
-    furthest = F.max(F.struct(end, *rest))[end]
-    per_start = pairs.groupBy(*keys, start).agg(furthest.alias("_far"))
-    earlier = W.partitionBy(*keys).orderBy(start).rowsBetween(W.unboundedPreceding, -1)
-    reached = per_start.select(*keys, start, F.max("_far").over(earlier).alias("_reached"))
+    for c in (*keys, start):
+        pairs = pairs.where(F.col(c).isNotNull())
+    smaller = W.partitionBy(*keys).orderBy(start).rangeBetween(W.unboundedPreceding, -1)
+    both = pairs.withColumn("_reached", F.max(end).over(smaller))
+    both = both.withColumn("_before", F.lag(end).over(W.partitionBy(*keys, start).orderBy(end)))
     if history is not None:
-        reached = reached.join(history.select(*keys, "intervals"), keys, "left")
+        both = both.join(history.select(*keys, "intervals"), keys, "left")
     else:
-        reached = reached.withColumn("intervals", F.lit(None).cast(INTERVALS))
-    before = F.lag(end).over(W.partitionBy(*keys, start).orderBy(end))
-    both = pairs.withColumn("_before", before).join(reached, [*keys, start])
+        both = both.withColumn("intervals", F.lit(None).cast(INTERVALS))
     hi = F.col(end).cast("long")
     lo = F.greatest(F.col(start), F.col("_reached"), F.col("_before")).cast("long")
     known = F.coalesce(covered_seconds(F.col("intervals"), lo, hi), F.lit(0))

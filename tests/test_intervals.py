@@ -11,6 +11,7 @@ from coursemill.operators.intervals import (
     uncovered_pieces,
     watch_totals,
 )
+from tests.conftest import plan
 
 SHAPES = [
     [(0, 10), (2, 5)],  # contained
@@ -114,3 +115,9 @@ def test_covered_seconds_and_text(spark):
     df = spark.range(1).select(F.expr("array(named_struct('s', 0, 'e', 5), named_struct('s', 8, 'e', 9))").alias("i"))
     got = df.select(covered_seconds(F.col("i"), F.lit(3).cast("long"), F.lit(20).cast("long")), interval_text("i")).first()
     assert tuple(got) == (3, "0-5,8-9")
+
+
+def test_watch_totals_take_two_shuffles(spark):
+    rows_ = spark.createDataFrame([(1, 0, 9, 0, 9000)], "k int, ps int, pe int, ts long, te long")
+    assert plan(watch_totals(rows_, ["k"])).count("Exchange hashpartitioning") == 2
+    assert plan(uncovered_pieces(rows_.select("k", "ps", "pe").distinct(), ["k"])).count("Exchange hashpartitioning") == 2
