@@ -1,11 +1,12 @@
 """Masked pseudo-likelihood: a small network guesses every word from the words on both sides of it.
 
 Words are counted over the whole corpus; the ``OWN`` most frequent have ids of their own, all others share ``RARE`` hashed ids in the network. A
-rare word's probability is that of its id times the word's share of all words with this id; the counts of all words stay a Spark table, joined on the word. The
-``2 * SIDE`` words around a place are embedded and feed one hidden layer; the softmax goes over a word's class first, then
-over the words of that class, so a place costs two short sums. Each round, every task trains a copy of the network, in numpy, on masked
-places of its own documents, and Spark averages the copies by the number of places. A hash deals the places to the rounds, so that each is a target once.
-Then each document's score is the sum of the log-probabilities of all its words, none left out, given their neighbours.
+rare word's probability is that of its id times the word's share of all words with this id; the counts of all words stay a Spark table, joined on
+the word. Texts are written once as ids of two bytes a word, which training and scoring read. The ``2 * SIDE`` words around a place are embedded and
+feed one hidden layer; the softmax goes over a word's class first, then over the words of that class, so a place costs two short sums. Each round,
+every task trains a copy of the network, in numpy, on masked places of its own documents, and Spark averages the copies by the number of places. A
+hash deals the places to the rounds, so that each is a target once. Then each document's score is the sum of the log-probabilities of all its words,
+none left out, given their neighbours.
 
 Defined results: a null or word-less text has no words, score 0 and a null mean; a one-word text is scored from its borders; repeated
 rows get equal scores; equal counts take ids by hash; an empty table gives none. Averages are summed in any order, so scores may differ in the last digits.
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursemill.llm.common import Scratch, chunks, flat, mix, signed, span_hashes, word_spans
+from coursemill.llm.common import Scratch, chunks, flat, lists, mix, signed, span_hashes, word_spans
 
 CLASSES, EACH = 64, 64
 RARE = 512
@@ -30,6 +31,8 @@ EMBEDDED, HIDDEN = 16, 32
 ROUNDS = 2
 BATCH, STEP = 4096, 0.01
 _HELD = 2_000_000
+_RUN = 1 << 18  # ids worked on at once, beyond the last whole document
+_ONES = np.ones(EACH, np.float32)  # of a class or of the classes: there are as many
 _SHAPES = {
     "embed": (CLASSES * EACH + 1, EMBEDDED), "w": (2 * SIDE * EMBEDDED, HIDDEN), "b": (HIDDEN,),
     "wc": (HIDDEN, CLASSES), "bc": (CLASSES,), "ww": (CLASSES, HIDDEN, EACH), "bw": (CLASSES, EACH),
@@ -59,53 +62,120 @@ class Network:
     def __reduce__(self):
         return Network, (self.flat,)
 
-    def hidden(self, context: np.ndarray) -> np.ndarray:
-        return np.tanh(self.embed[context].reshape(len(context), -1) @ self.w + self.b)
+    def _hidden(self, context: np.ndarray, room: Room) -> tuple[np.ndarray, np.ndarray]:
+        x = room("x", context.size, EMBEDDED)
+        x = self.embed.take(context.reshape(-1), 0, out=x, mode="clip").reshape(len(context), -1)
+        h = np.matmul(x, self.w, out=room("h", len(x), HIDDEN))
+        h += self.b
+        return x, np.tanh(h, out=h)
 
-    @staticmethod
-    def _softmax(logits: np.ndarray) -> np.ndarray:
-        logits -= logits.max(1, keepdims=True)
-        np.exp(logits, out=logits)
-        logits /= logits.sum(1, keepdims=True)
-        return logits
+    def _kinds(self, h: np.ndarray, room: Room) -> np.ndarray:
+        out = np.matmul(h, self.wc, out=room("kinds", len(h), CLASSES))
+        out += self.bc
+        return out
 
-    @staticmethod
-    def _groups(kind: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        order = np.argsort(kind, kind="stable")
-        cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+    def _members(self, h: np.ndarray, cuts: np.ndarray, room: Room) -> np.ndarray:
+        """Logits of each row's word within its class; the rows come by class, class ``c`` from ``cuts[c]`` on."""
+        out = room("members", len(h), EACH)
         for c in np.nonzero(np.diff(cuts))[0]:
-            yield int(c), order[cuts[c] : cuts[c + 1]]
-
-    def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        h, kind, member = self.hidden(context), (target // EACH).astype(np.int16), target % EACH
-        logits = h @ self.wc + self.bc
-        out = _log_share(logits, kind.astype(np.int64))
-        for c, rows in self._groups(kind):
-            out[rows] += _log_share(h[rows] @ self.ww[c] + self.bw[c], member[rows])
+            rows = slice(cuts[c], cuts[c + 1])
+            np.matmul(h[rows], self.ww[c], out=out[rows])
+            out[rows] += self.bw[c]
+        return out
+
+    def log_probabilities(self, context: np.ndarray, target: np.ndarray, room: Room | None = None) -> np.ndarray:
+        room = room or Room()
+        order, kind, member, cuts = _by_class(target)
+        h = self._hidden(context[order], room)[1]
+        out = np.empty(len(target))
+        out[order] = _log_share(self._kinds(h, room), kind) + _log_share(self._members(h, cuts, room), member)
         return out
 
-    def gradient(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Of the mean negative log-probability."""
-        n = len(target)
-        out = Network(np.zeros_like(self.flat))
-        x = self.embed[context].reshape(n, -1)
-        h, kind, member = np.tanh(x @ self.w + self.b), (target // EACH).astype(np.int16), target % EACH
-        d = self._softmax(h @ self.wc + self.bc)
-        d[np.arange(n), kind] -= 1
-        out.wc[:], out.bc[:] = h.T @ d, d.sum(0)
-        dh = d @ self.wc.T
-        for c, rows in self._groups(kind):
-            own = self._softmax(h[rows] @ self.ww[c] + self.bw[c])
-            own[np.arange(len(rows)), member[rows]] -= 1
-            out.ww[c], out.bw[c] = h[rows].T @ own, own.sum(0)
-            dh[rows] += own @ self.ww[c].T
-        dz = dh * (1 - h**2)
-        out.w[:], out.b[:] = x.T @ dz, dz.sum(0)
-        order = np.argsort(context, axis=None, kind="stable")
-        ids = context.reshape(-1)[order]
+    def gradient(self, context: np.ndarray, target: np.ndarray, room: Room | None = None) -> np.ndarray:
+        """Of the mean negative log-probability, in an array of ``room``. Rows are put in order of their classes, so a class is a slice."""
+        n, room = len(target), room or Room()
+        out = Network(room("gradient", len(self.flat)))
+        out.flat[:] = 0
+        order, kind, member, cuts = _by_class(target)
+        context, every, ones = context[order], np.arange(n), np.ones(n, np.float32)
+        x, h = self._hidden(context, room)
+        d = _softmax(self._kinds(h, room))
+        d[every, kind] -= 1
+        np.matmul(h.T, d, out=out.wc)
+        np.matmul(ones, d, out=out.bc)
+        dh = np.matmul(d, self.wc.T, out=room("dh", n, HIDDEN))
+        own = _softmax(self._members(h, cuts, room))
+        own[every, member] -= 1
+        for c in np.nonzero(np.diff(cuts))[0]:
+            rows = slice(cuts[c], cuts[c + 1])
+            np.matmul(h[rows].T, own[rows], out=out.ww[c])
+            np.matmul(ones[rows], own[rows], out=out.bw[c])
+            dh[rows] += own[rows] @ self.ww[c].T
+        h *= h
+        np.subtract(1, h, out=h)
+        dh *= h
+        np.matmul(x.T, dh, out=out.w)
+        np.matmul(ones, dh, out=out.b)
+        dx = np.matmul(dh, self.w.T, out=x).reshape(-1, EMBEDDED)
+        ids = context.reshape(-1).astype(np.uint16)  # sorted by digits
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
         begin = np.nonzero(np.r_[True, ids[1:] != ids[:-1]])[0]
-        out.embed[ids[begin]] = np.add.reduceat((dz @ self.w.T).reshape(-1, EMBEDDED)[order], begin, axis=0)
-        return out.flat / n
+        dx = dx.take(order, 0, out=room("dx", len(ids), EMBEDDED), mode="clip")
+        out.embed[ids[begin]] = np.add.reduceat(dx, begin, axis=0)
+        out.flat /= n
+        return out.flat
+
+
+class Room:
+    """Arrays that are used again from batch to batch, as getting fresh memory costs as much as the sums done in it."""
+
+    def __init__(self) -> None:
+        self.arrays: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, *shape: int) -> np.ndarray:
+        size = int(np.prod(shape))
+        if name not in self.arrays or len(self.arrays[name]) < size:
+            self.arrays[name] = np.empty(size, np.float32)
+        return self.arrays[name][:size].reshape(shape)
+
+
+class Descent:
+    """Steps against the gradient by its running mean over the root of its running square (Adam), in place."""
+
+    def __init__(self, net: Network) -> None:
+        self.net, self.steps, self.room = net, 0, Room()
+        self.one, self.two = np.zeros_like(net.flat), np.zeros_like(net.flat)
+
+    def step(self, context: np.ndarray, target: np.ndarray) -> None:
+        g = self.net.gradient(context, target, self.room)
+        by = self.room("by", len(g))
+        self.steps += 1
+        self.one *= 0.9
+        self.one += np.multiply(g, 0.1, out=by)
+        g *= g
+        self.two *= 0.999
+        self.two += np.multiply(g, 0.001, out=by)
+        np.divide(self.two, 1 - 0.999**self.steps, out=by)
+        np.sqrt(by, out=by)
+        by += 1e-8
+        np.divide(self.one, by, out=by)
+        by *= STEP / (1 - 0.9**self.steps)
+        self.net.flat -= by
+
+
+def _by_class(target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the rows by class, their classes and their numbers within them in that order, and where each class begins."""
+    order = np.argsort((target // EACH).astype(np.int16), kind="stable")
+    kind, member = np.divmod(target[order].astype(np.int64), EACH)
+    return order, kind, member, np.searchsorted(kind, np.arange(CLASSES + 1))
+
+
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    logits -= logits.max(1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits *= (1 / (logits @ _ONES))[:, None]
+    return logits
 
 
 def _log_share(logits: np.ndarray, pick: np.ndarray) -> np.ndarray:
@@ -113,7 +183,7 @@ def _log_share(logits: np.ndarray, pick: np.ndarray) -> np.ndarray:
     top = logits.max(1)
     logits -= top[:, None]
     np.exp(logits, out=logits)
-    return (taken - top - np.log(logits.sum(1))).astype(np.float64)
+    return (taken - top - np.log(logits @ _ONES)).astype(np.float64)
 
 
 def _hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -218,23 +288,50 @@ def _rare_words(words: Vocabulary):
     return rows
 
 
+def _identified(words: Vocabulary):
+    """``ids``: the texts as ids of two bytes a word, written once and read by every round of training and by scoring."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            hashes, first = _hashes(batch)
+            ids = lists(words.look(hashes).astype(np.int16), np.diff(first), pa.int16())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), ids], names=["doc_id", "key", "ids"])
+
+    return rows
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of whole documents, of texts by their bytes and of ids by their number."""
+    for batch in batches:
+        if "ids" not in batch.schema.names:
+            yield from chunks(iter([batch]))
+        elif batch.num_rows:
+            part = np.array(batch.column("ids").offsets)[:-1] // _RUN
+            cuts = [0, *(np.nonzero(np.diff(part))[0] + 1), batch.num_rows]
+            yield from (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False))
+
+
 def _places(batch: pa.RecordBatch, words: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Every word with its neighbours; beyond a document's ends there is a border word."""
-    hashes, first = _hashes(batch)
+    """Every word with its neighbours, of texts or of their ids; beyond a document's ends there is a border word."""
+    if "ids" in batch.schema.names:
+        ids = batch.column("ids")
+        first, target = np.array(ids.offsets), np.array(ids.flatten())
+    else:
+        hashes, first = _hashes(batch)
+        target = words.look(hashes).astype(np.int16)
     doc = np.repeat(np.arange(batch.num_rows), np.diff(first))
-    target = words.look(hashes)
     at = np.arange(len(target)) + SIDE * (doc + 1)
-    line = np.full(len(target) + SIDE * (batch.num_rows + 1), CLASSES * EACH)
+    line = np.full(len(target) + SIDE * (batch.num_rows + 1), CLASSES * EACH, np.int16)
     line[at] = target
-    around = np.stack([line[at + k] for k in range(-SIDE, SIDE + 1) if k], 1) if len(at) else np.zeros((0, 2 * SIDE), np.int64)
+    around = np.stack([line[at + k] for k in range(-SIDE, SIDE + 1) if k], 1) if len(at) else np.zeros((0, 2 * SIDE), np.int16)
     return around, target, doc
 
 
 def _trained(words: Vocabulary, start: Network, turn: int, rounds: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = Network(start.flat.copy())
-        one, two, step, seen = np.zeros_like(net.flat), np.zeros_like(net.flat), 0, 0
-        for batch in chunks(batches):
+        net, seen = Network(start.flat.copy()), 0
+        descent = Descent(net)
+        for batch in _runs(batches):
             around, target, doc = _places(batch, words)
             ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             key = mix(ids[doc].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.arange(len(doc), dtype=np.uint64) - np.searchsorted(doc, doc).astype(np.uint64))
@@ -242,11 +339,7 @@ def _trained(words: Vocabulary, start: Network, turn: int, rounds: int):
             masked = masked[np.argsort(key[masked], kind="stable")]  # neighbours in a batch come from all its documents
             for k in range(0, len(masked), BATCH):
                 pick = masked[k : k + BATCH]
-                g = net.gradient(around[pick], target[pick])
-                step += 1
-                one = 0.9 * one + 0.1 * g
-                two = 0.999 * two + 0.001 * g * g
-                net.flat -= STEP * (one / (1 - 0.9**step)) / (np.sqrt(two / (1 - 0.999**step)) + 1e-8)
+                descent.step(around[pick], target[pick])
                 seen += len(pick)
         if seen:
             i = np.arange(len(net.flat) + 1)
@@ -269,12 +362,13 @@ def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Network:
 
 def _scored(words: Vocabulary, net: Network):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
+        room = Room()
+        for batch in _runs(batches):
             around, target, doc = _places(batch, words)
             total = np.zeros(batch.num_rows)
             for k in range(0, len(target), 1 << 14):
                 part = slice(k, k + (1 << 14))
-                total += np.bincount(doc[part], net.log_probabilities(around[part], target[part]), batch.num_rows)
+                total += np.bincount(doc[part], net.log_probabilities(around[part], target[part], room), batch.num_rows)
             n = np.bincount(doc, minlength=batch.num_rows)
             mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
             columns = {"doc_id": batch.column("doc_id"), "n_words": pa.array(n.astype(np.int64)), "log_likelihood": pa.array(total), "mean_log_likelihood": mean}
@@ -298,10 +392,11 @@ def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "likelihood")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     words = vocabulary(texts, scratch)
-    net = train(texts, words, rounds)
     texts = texts.withColumn("key", F.xxhash64("text"))
+    ids = scratch.keep(texts.mapInArrow(_identified(words), "doc_id long, key long, ids array<short>"), "ids")
+    net = train(ids, words, rounds)
     rare = rare_scores(texts, words, scratch)
-    scored = texts.mapInArrow(_scored(words, net), "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double, key long")
+    scored = ids.mapInArrow(_scored(words, net), "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double, key long")
     scored = scratch.keep(scored, "scored")  # a written side leaves the join plain, so adaptive execution can split hot texts
     # one score for equal texts: sums in single precision hang on what else is in a block
     total = F.col("least") + F.coalesce("rare", F.lit(0.0))

@@ -6,8 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from coursemill.llm.common import Scratch
-from coursemill.llm.likelihood import CLASSES, EACH, OWN, Network, Vocabulary, pseudo_likelihood, rare_scores, train, vocabulary
+from coursemill.llm.common import Scratch, span_hashes
+from coursemill.llm.likelihood import CLASSES, EACH, OWN, RARE, SIDE, Network, Vocabulary, pseudo_likelihood, rare_scores, train, vocabulary
 from coursemill.llm.likelihood import _scored as scored
 from coursemill.llm.likelihood import _trained as trained
 from tests.llm.helpers import edge_rows, frame, words
@@ -85,3 +85,36 @@ def test_every_place_is_a_target_once(rounds):
     own = Vocabulary(np.zeros(0, np.int64), np.zeros(0, np.int64))
     seen = [next(trained(own, Network.first(own.counts), turn, rounds)(iter([batch]))).column("v")[-1].as_py() for turn in range(rounds)]
     assert sum(seen) == sum(len(words(t)) for t in texts) and min(seen) > 0.8 * max(seen)
+
+
+def test_scores_equal_a_full_softmax_in_plain_loops(spark):
+    often = [f"common{i}" for i in range(OWN)]
+    rows = [(k, " ".join(often * 3)) for k in range(2)] + [(10 + k, f"common{k} odd{k % 3} common{7 * k} odd{k % 3} common1 é{k}") for k in range(8)] + [(20, None), (21, "odd0")]
+    docs = frame(spark, rows).coalesce(1)
+    got = {r.doc_id: r.log_likelihood for r in pseudo_likelihood(docs, 1).collect()}
+    own = vocabulary(docs, Scratch(spark, "t"))
+    net = train(docs, own, 1)
+    counts = collections.Counter(w for _, t in rows for w in words(t))
+    number = {w: int(own.look(span(w))[0]) for w in counts}
+    of_id = collections.Counter()
+    for w, n in counts.items():
+        of_id[number[w]] += n
+    assert {w for w in counts if w.startswith("é")} <= {w for w, i in number.items() if OWN <= i < OWN + RARE}
+    for doc, text in rows[2:]:
+        ids, total = [number[w] for w in words(text)], 0.0
+        for at, word in enumerate(words(text)):
+            near = [ids[at + k] if 0 <= at + k < len(ids) else CLASSES * EACH for k in range(-SIDE, SIDE + 1) if k]
+            x = [float(v) for i in near for v in net.embed[i]]
+            h = [math.tanh(sum(a * float(b) for a, b in zip(x, net.w[:, j])) + float(net.b[j])) for j in range(net.w.shape[1])]
+            out = lambda weights, bias: [math.exp(sum(a * float(b) for a, b in zip(h, weights[:, j])) + float(bias[j])) for j in range(len(bias))]
+            kind, member = divmod(ids[at], EACH)
+            kinds, members = out(net.wc, net.bc), out(net.ww[kind], net.bw[kind])
+            total += math.log(kinds[kind] / sum(kinds)) + math.log(members[member] / sum(members))
+            if ids[at] >= OWN:
+                total += math.log(counts[word] / of_id[ids[at]])
+        assert got[doc] == pytest.approx(total, abs=2e-3), doc
+
+
+def span(word):
+    data = np.frombuffer(word.encode(), np.uint8)
+    return span_hashes(data, np.array([0]), np.array([len(data)]), 5)
