@@ -40,13 +40,12 @@ def _replace_day(house: Warehouse, df: DataFrame, table: str) -> None:
 
 
 def member_wide(spark: SparkSession, house: Warehouse, dt: str) -> None:
-    """Wide member table of a day, then the day's merge into the payment history."""
+    """Wide member table of a day, then the day's merge into the payment history, with the later days' where it comes late."""
     names = "dwd_member dwd_member_regtype dwd_base_ad dwd_base_website dwd_pcentermempaymoney dwd_vip_level".split()
     tables = [_dwd(spark, house, name) for name in names]
     _replace_day(house, member.wide_member(*tables, dt), "dws.dws_member")
-    day = zipper.day_changes(tables[4], tables[5], dt)
     root = house.path("dws.dws_member_zipper")
-    history.publish_day(zipper.merge_open(history.open_before(spark, root, dt), day), root, dt)
+    history.publish_from(spark, root, dt, lambda day: zipper.day_changes(tables[4], tables[5], day))
 
 
 def zipper_history(spark: SparkSession, house: Warehouse) -> DataFrame:

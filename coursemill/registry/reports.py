@@ -152,6 +152,30 @@ def scd2_zipper_rerun(spark, sf):
     return history.read_all(spark, root)
 
 
+@query(
+    "scd2_zipper_late",
+    ctes("yearly_pay", "vip") + """,
+  last as (select cast(max(year) as int) as y from yearly_pay),
+  d as (select p.uid, p.dn, greatest(cast(p.year as int), last.y - 3) || '-01-01' as start_time,
+          max(v.vip_level) as vip_level, sum(p.paymoney) as paymoney
+        from yearly_pay p, last join vip v on p.vip_id = v.vip_id and p.dn = v.dn
+        group by p.uid, p.dn, greatest(cast(p.year as int), last.y - 3))
+select uid, dn, vip_level, start_time, coalesce(lead(start_time) over w, '9999-12-31') as end_time,
+  cast(sum(paymoney) over w as decimal(20,4)) as paymoney
+from d window w as (partition by uid, dn order by start_time)""",
+)
+def scd2_zipper_late(spark, sf):
+    """Four days of payments, of which the third comes after the fourth: the history is that of days in their order."""
+    pay, vip = view(spark, sf, "yearly_pay"), view(spark, sf, "vip")
+    latest = table(spark, sf, "orders").agg(F.max(F.year("o_orderdate")).alias("y")).first()["y"]
+    days = [f"{year}0101" for year in range(latest - 3, latest + 1)]
+    pay = pay.withColumn("dt", F.greatest(F.concat("year", F.lit("0101")), F.lit(days[0])))
+    root = workspace(spark, "zipper")
+    for day in (days[0], days[1], days[3], days[2]):
+        history.publish_from(spark, root, day, lambda d: zipper.day_changes(pay, vip, d))
+    return history.read_all(spark, root)
+
+
 # ---------------------------------------------------------------- question bank
 
 

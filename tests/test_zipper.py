@@ -1,5 +1,7 @@
 from decimal import Decimal
 
+import pytest
+
 from coursemill.operators import zipper
 from coursemill.plans import history
 
@@ -81,3 +83,47 @@ def test_stored_history_rewrites_only_open_rows(spark, tmp_path):
     ]
     stored = list((tmp_path / "h").glob("run=*/state=closed"))
     assert len(stored) == 4 and len(list((tmp_path / "h").glob("run=*"))) == 5
+
+
+def test_late_and_corrected_days_repair_the_days_after_them(spark, tmp_path):
+    days = {
+        "20190101": [(1, 100), (2, 5)], "20190102": [(1, 100)], "20190103": [(2, 7), (3, 9)], "20190104": [(1, 50), (3, 1)],
+    }
+
+    def changes(dt):
+        return frame(spark, *[(u, m, f"{dt[:4]}-{dt[4:6]}-{dt[6:]}", OPEN) for u, m in days[dt]])
+
+    def loaded(name, order):
+        root = str(tmp_path / name)
+        return root, [history.publish_from(spark, root, dt, changes) for dt in order]
+
+    root, merged = loaded("order", sorted(days))
+    want = state(history.read_all(spark, root))
+    assert merged == [[dt] for dt in sorted(days)] and (1, 250, "2019-01-04", OPEN) in want and len(want) == 7
+    late, merged = loaded("late", ["20190101", "20190104", "20190103", "20190102"])
+    assert merged[1:] == [["20190104"], ["20190103", "20190104"], ["20190102", "20190103", "20190104"]]
+    assert state(history.read_all(spark, late)) == want
+    first, _ = loaded("first", ["20190102", "20190103", "20190104", "20190101"])
+    assert state(history.read_all(spark, first)) == want
+    days["20190102"] = [(2, 1)]  # a correction of the second day reaches the fourth
+    history.publish_from(spark, late, "20190102", changes)
+    assert {(1, 150, "2019-01-04", OPEN), (2, 13, "2019-01-03", OPEN)} <= set(state(history.read_all(spark, late)))
+
+
+def test_days_that_are_not_all_merged_are_not_announced(spark, tmp_path):
+    root = str(tmp_path / "h")
+    rows = {dt: frame(spark, (1, m, f"2019-01-0{dt[-1]}", OPEN)) for dt, m in (("20190101", 1), ("20190102", 2), ("20190103", 4))}
+    for dt in ("20190101", "20190103"):
+        history.publish_from(spark, root, dt, rows.get)
+    before = state(history.read_all(spark, root))
+
+    def lost(dt):
+        if dt == "20190103":
+            raise RuntimeError("lost")
+        return rows[dt]
+
+    with pytest.raises(RuntimeError):
+        history.publish_from(spark, root, "20190102", lost)
+    assert state(history.read_all(spark, root)) == before
+    history.publish_from(spark, root, "20190102", rows.get)
+    assert state(history.read_all(spark, root))[-1] == (1, 7, "2019-01-03", OPEN)
