@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import heapq
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from coursemill.functions.columns import ipv4_number, region_province
+from coursemill.operators.grouping import pick_one
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -103,27 +106,98 @@ def range_lookup(
     start: str,
     end: str,
     width: int = 65536,
+    nested: bool = False,
 ) -> DataFrame:
     """Left join on ``start <= point <= end`` as an equi-join on buckets of ``width`` numbers.
 
     Each range is listed once per bucket it reaches into, so the join key is an equality and Spark may hash it either
     way; a broadcast is its own choice, made from real sizes. Ranges must not overlap, as in an address table, which
-    keeps a bucket's list at most ``width`` long and the total at ``ranges + span / width``.
+    keeps a bucket's list at most ``width`` long and the total at ``ranges + span / width``. With ``nested`` they may:
+    they are cut into ``disjoint_pieces`` first, and a row still meets one range, the innermost.
     """
-    first, last = (F.floor(F.col(c) / width).cast("long") for c in (start, end))
-    listed = ranges.withColumn("_bucket", F.explode(F.sequence(first, last)))
-    left = rows.withColumn("_bucket", F.floor(F.col(point) / width).cast("long"))
+    if nested:
+        listed, low, high = disjoint_pieces(ranges, start=start, end=end, width=width), "_from", "_to"
+    else:
+        first, last = (_bucket_of(c, width) for c in (start, end))
+        listed, low, high = ranges.withColumn("_bucket", F.explode(F.sequence(first, last))), start, end
+    left = rows.withColumn("_bucket", _bucket_of(point, width))
     inside = (
-        (left["_bucket"] == listed["_bucket"]) & (left[point] >= listed[start]) & (left[point] <= listed[end])
+        (left["_bucket"] == listed["_bucket"]) & (left[point] >= listed[low]) & (left[point] <= listed[high])
     )
     kept = [left[c] for c in rows.columns] + [listed[c] for c in ranges.columns if c not in rows.columns]
     return left.join(listed, inside, "left").select(*kept)
 
 
-def province_of_ip(rows: DataFrame, ranges: DataFrame, *, unknown: str = "0") -> DataFrame:
-    """Add ``province`` for the IPv4 text in ``ip``, from rows ``ip_start, ip_end, region``; no match gives ``0``."""
+def _bucket_of(column: str, width: int) -> Column:
+    return F.floor(F.col(column) / width).cast("long")
+
+
+def disjoint_pieces(ranges: DataFrame, *, start: str, end: str, width: int = 65536) -> DataFrame:
+    """The ranges' rows with the pieces ``_from .. _to`` of ``_bucket`` in which they are the innermost.
+
+    At a point the range wins that starts last; of those the one that ends first; of equal ranges the smallest row. Ranges
+    without a bound or with their end before their start hold no point and give no piece. Pieces of a bucket do not
+    overlap and are at most two per range listed in it. A bucket is swept in the order of its starts, batch by batch, with
+    only the ranges that may still win in memory.
+    """
+    others = [c for c in ranges.columns if c not in (start, end)]
+    sound = ranges.where(F.col(start) <= F.col(end))
+    each = pick_one(sound, [start, end]) if others else sound.distinct()
+    bounds = each.select(F.col(start).cast("long").alias("_start"), F.col(end).cast("long").alias("_end"))
+    listed = bounds.withColumn("_bucket", F.explode(F.sequence(_bucket_of("_start", width), _bucket_of("_end", width))))
+    ordered = listed.repartition("_bucket").sortWithinPartitions("_bucket", "_start", "_end")
+    pieces = ordered.mapInPandas(_sweep(width), "_start long, _end long, _bucket long, _from long, _to long")
+    found = (pieces["_start"] == each[start]) & (pieces["_end"] == each[end])
+    return each.join(pieces, found).select(*[each[c] for c in ranges.columns], "_bucket", "_from", "_to")
+
+
+def _sweep(width: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Cuts ranges that come by bucket and start into pieces of the innermost ones."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bucket, at, heap, out = None, 0, [], []
+
+        def forward(stop: int) -> None:
+            nonlocal at
+            while heap and at < stop:
+                begin, last = -heap[0][0], heap[0][1]
+                if last < at:
+                    heapq.heappop(heap)
+                    continue
+                to = min(last, stop - 1)
+                out.append((begin, last, bucket, at, to))
+                at = to + 1
+            at = max(at, stop)
+
+        def cut() -> pd.DataFrame:
+            done = pd.DataFrame(out, columns=["_start", "_end", "_bucket", "_from", "_to"], dtype="int64")
+            out.clear()
+            return done
+
+        for batch in batches:
+            for begin, last, of in zip(batch["_start"], batch["_end"], batch["_bucket"], strict=True):
+                if of != bucket:
+                    if bucket is not None:
+                        forward((bucket + 1) * width)
+                    heap.clear()
+                    bucket, at = of, of * width
+                forward(max(begin, of * width))
+                heapq.heappush(heap, (-begin, last))
+            yield cut()
+        if bucket is not None:
+            forward((bucket + 1) * width)
+            yield cut()
+
+    return rows
+
+
+def province_of_ip(rows: DataFrame, ranges: DataFrame, *, unknown: str = "0", nested: bool = False) -> DataFrame:
+    """Add ``province`` for the IPv4 text in ``ip``, from rows ``ip_start, ip_end, region``; no match gives ``0``.
+
+    ``nested`` is for tables in which a network lies inside another one: the innermost counts.
+    """
     numbered = rows.withColumn("_ip", ipv4_number("ip"))
-    found = range_lookup(numbered, ranges, point="_ip", start="ip_start", end="ip_end")
+    found = range_lookup(numbered, ranges, point="_ip", start="ip_start", end="ip_end", nested=nested)
     province = F.coalesce(region_province("region"), F.lit(unknown))
     return found.withColumn("province", province).select(*rows.columns, "province")
 

@@ -163,6 +163,21 @@ def range_lookup(spark, sf):
     return pages.province_of_ip(_page_events(spark, sf), view(spark, sf, "ip_ranges")).select("ip", "province")
 
 
+_NESTED_LOOKUP = _PAGES + ctes("nested_ranges").replace("with ", ", ", 1) + """, n as (select distinct ip,
+    cast(split_part(ip, '.', 1) as bigint) * 16777216 + cast(split_part(ip, '.', 2) as bigint) * 65536
+     + cast(split_part(ip, '.', 3) as bigint) * 256 + cast(split_part(ip, '.', 4) as bigint) as n from p),
+  f as (select n.ip, split_part(r.region, '|', 3) as province,
+    row_number() over (partition by n.ip order by r.ip_start desc, r.ip_end, r.region) as place
+    from n join nested_ranges r on n.n between r.ip_start and r.ip_end)
+select p.ip, coalesce(f.province, '0') as province from p left join f on p.ip = f.ip and f.place = 1"""
+
+
+@query("range_lookup_nested", _NESTED_LOOKUP)
+def range_lookup_nested(spark, sf):
+    """Networks of suppliers inside those of nations inside those of regions: one province per click, the innermost."""
+    return pages.province_of_ip(_page_events(spark, sf), view(spark, sf, "nested_ranges"), nested=True).select("ip", "province")
+
+
 @query("province_clicks", _CLICKS_SQL)
 def province_clicks(spark, sf):
     return pages.province_clicks(_page_events(spark, sf), view(spark, sf, "ip_ranges"))

@@ -270,6 +270,16 @@ select cast(167772160 + n_nationkey * 655360 as bigint) as ip_start,
   cast(167772160 + n_nationkey * 655360 + 589823 as bigint) as ip_end,
   'country|0|' || n_name || '|city' || cast(n_nationkey as string) || '|isp' as region
 from {nation}"""
+VIEWS["nested_ranges"] = """
+select cast(167772160 + n_nationkey * 655360 as bigint) as ip_start,
+  cast(167772160 + n_nationkey * 655360 + 589823 as bigint) as ip_end, 'country|0|' || n_name as region from {nation}
+union all
+select cast(167772160 + r_regionkey * 3276800 as bigint), cast(167772160 + r_regionkey * 3276800 + 3276799 as bigint),
+  'country|0|' || r_name from {region}
+union all
+select cast(167772160 + (s_suppkey % 256) * 65536 + s_suppkey % 7 * 1000 as bigint),
+  cast(167772160 + (s_suppkey % 256) * 65536 + s_suppkey % 7 * 1000 + s_suppkey % 3 * 40000 as bigint),
+  'country|0|' || s_name from {supplier}"""
 VIEWS["answer_fields"] = """
 select cast(l_suppkey as string) as userid, cast(l_linenumber as string) as courseid,
   cast(l_partkey % 5 as string) as pointid, cast(l_partkey % 10 as string) as questionid,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from coursemill.operators.joins import (
     add_full_outer,
     broadcast_within,
+    disjoint_pieces,
     hot_keys,
     province_of_ip,
     range_lookup,
@@ -132,6 +133,28 @@ def test_range_lookup_against_brute_force(spark, rows):
     assert sorted(((r["id"], r["name"]) for r in found.collect()), key=str) == want
 
 
+def test_nested_ranges_against_brute_force(spark, rows):
+    rng = random.Random(8)
+    ranges = [(a, a + rng.choice([0, 3, 40, 700, 3000]), f"r{i}") for i, a in enumerate(rng.choices(range(-300, 5000), k=150))]
+    ranges += [(0, 4999, "whole"), (0, 4999, "again"), (10, 5, "turned"), (None, 9, "open"), (9, None, "open"), (64, 127, "bucket")]
+    points = [(i, rng.randrange(-400, 8500)) for i in range(800)] + [(900 + p, p) for p in (0, 63, 64, 127, 128, 4999)] + [(2000, None)]
+    inner = lambda p: min(((-a, b, n) for a, b, n in ranges if None not in (a, b, p) and a <= p <= b), default=(0, 0, None))[2]
+    asked, table = spark.createDataFrame(points, "id int, p long"), spark.createDataFrame(ranges, "a long, b long, name string")
+    for width in (64, 65536):
+        found = range_lookup(asked, table, point="p", start="a", end="b", width=width, nested=True)
+        assert found.columns == ["id", "p", "a", "b", "name"]
+        assert sorted(((r["id"], r["name"]) for r in found.collect()), key=str) == sorted(((i, inner(p)) for i, p in points), key=str)
+    bare = range_lookup(asked, table.select("a", "b"), point="p", start="a", end="b", width=64, nested=True)
+    assert bare.count() == len(points)
+    assert range_lookup(asked, table.limit(0), point="p", start="a", end="b", nested=True).where("a is null").count() == len(points)
+
+
+def test_pieces_of_disjoint_ranges_are_the_ranges(spark):
+    ranges = spark.createDataFrame([(k * 10, k * 10 + 9, k) for k in range(20)], "a long, b long, k int")
+    got = disjoint_pieces(ranges, start="a", end="b", width=1000).select("a", "b", "_from", "_to").collect()
+    assert len(got) == 20 and all((r["a"], r["b"]) == (r["_from"], r["_to"]) for r in got)
+
+
 def test_province_bounds_and_unknown(spark, rows):
     ranges = spark.createDataFrame([(16909056, 16909060, "c|0|North|x|y")], "ip_start long, ip_end long, region string")
     ips = spark.createDataFrame([("1.2.3.0",), ("1.2.3.4",), ("1.2.3.5",), ("",)], "ip string")
