@@ -110,6 +110,35 @@ FACT_COLUMNS = (
     "vdeoaddr question_description question_splitscoretype user_question_answer dt dn"
 ).split()
 
+# Columns of the dimension tables, in their order.
+_CHAPTER_DIM = (
+    "chapterid chapterlistid chaptername sequence showstatus status chapter_creator chapter_createtime "
+    "chapter_courseid chapternum chapterallnum outchapterid chapterlistname pointid questionid questype pointname "
+    "pointyear chapter excisenum pointlistid pointdescribe pointlevel typelist point_score thought remid "
+    "pointnamelist typelistids pointlist dt dn"
+).split()
+_COURSE_DIM = (
+    "sitecourseid siteid courseid sitecoursename coursechapter sequence status sitecourse_creator "
+    "sitecourse_createtime helppaperstatus servertype boardid showstatus majorid coursename isadvc chapterlistid "
+    "pointlistid courseeduid edusubjectid dt dn"
+).split()
+_MAJOR_DIM = (
+    "majorid businessid siteid majorname shortname status sequence major_creator major_createtime businessname "
+    "sitename domain multicastserver templateserver multicastgateway multicastport dt dn"
+).split()
+_PAPER_DIM = (
+    "paperviewid paperid paperviewname paperparam openstatus explainurl iscontest contesttime conteststarttime "
+    "contestendtime contesttimelimit dayiid status paper_view_creator paper_view_createtime paperviewcatid "
+    "modifystatus description paperuse paperdifficult testreport paperuseshow centerid sequence centername "
+    "centeryear centertype provideuser centerviewtype stage papercatid courseid paperyear suitnum papername "
+    "totalscore chapterid chapterlistid dt dn"
+).split()
+_QUESTION_DIM = (
+    "questionid parentid questypeid quesviewtype content answer analysis limitminute score splitscore status "
+    "optnum lecture creator createtime modifystatus attanswer questag vanalysisaddr difficulty quesskill vdeoaddr "
+    "viewtypename papertypename description remark splitscoretype dt dn"
+).split()
+
 
 def chapter_dim(t: Mapping[str, DataFrame], dt: str) -> DataFrame:
     """Chapters with their list, points and the questions of each point: one row per point question."""
@@ -118,13 +147,7 @@ def chapter_dim(t: Mapping[str, DataFrame], dt: str) -> DataFrame:
         .join(_day(t["chapter_list"], dt, _CHAPTER_LIST), ["chapterlistid", "dn"])
         .join(_day(t["point"], dt, _POINT), ["chapterid", "dn"])
         .join(_day(t["point_question"], dt, _POINT_QUESTION), ["pointid", "dn"])
-        .select(
-            "chapterid", "chapterlistid", "chaptername", "sequence", "showstatus", "status", "chapter_creator",
-            "chapter_createtime", "chapter_courseid", "chapternum", "chapterallnum", "outchapterid",
-            "chapterlistname", "pointid", "questionid", "questype", "pointname", "pointyear", "chapter", "excisenum",
-            "pointlistid", "pointdescribe", "pointlevel", "typelist", "point_score", "thought", "remid",
-            "pointnamelist", "typelistids", "pointlist", "dt", "dn",
-        )
+        .select(*_CHAPTER_DIM)
     )
 
 
@@ -133,12 +156,7 @@ def course_dim(t: Mapping[str, DataFrame], dt: str) -> DataFrame:
         _day(t["site_course"], dt, _SITE_COURSE)
         .join(_day(t["course"], dt, _COURSE), ["courseid", "dn"])
         .join(_day(t["course_edusubject"], dt, _EDU_SUBJECT), ["courseid", "dn"])
-        .select(
-            "sitecourseid", "siteid", "courseid", "sitecoursename", "coursechapter", "sequence", "status",
-            "sitecourse_creator", "sitecourse_createtime", "helppaperstatus", "servertype", "boardid", "showstatus",
-            "majorid", "coursename", "isadvc", "chapterlistid", "pointlistid", "courseeduid", "edusubjectid", "dt",
-            "dn",
-        )
+        .select(*_COURSE_DIM)
     )
 
 
@@ -147,11 +165,7 @@ def major_dim(t: Mapping[str, DataFrame], dt: str) -> DataFrame:
         _day(t["major"], dt, _MAJOR)
         .join(_day(t["website"], dt, _WEBSITE), ["siteid", "dn"])
         .join(_day(t["business"], dt, _BUSINESS), ["businessid", "dn"])
-        .select(
-            "majorid", "businessid", "siteid", "majorname", "shortname", "status", "sequence", "major_creator",
-            "major_createtime", "businessname", "sitename", "domain", "multicastserver", "templateserver",
-            "multicastgateway", "multicastport", "dt", "dn",
-        )
+        .select(*_MAJOR_DIM)
     )
 
 
@@ -161,14 +175,7 @@ def paper_dim(t: Mapping[str, DataFrame], dt: str) -> DataFrame:
         .join(_day(t["center_paper"], dt, _CENTER_PAPER), ["paperviewid", "dn"], "left")
         .join(_day(t["center"], dt, _CENTER), ["centerid", "dn"], "left")
         .join(_day(t["paper"], dt, _PAPER), ["paperid", "dn"])
-        .select(
-            "paperviewid", "paperid", "paperviewname", "paperparam", "openstatus", "explainurl", "iscontest",
-            "contesttime", "conteststarttime", "contestendtime", "contesttimelimit", "dayiid", "status",
-            "paper_view_creator", "paper_view_createtime", "paperviewcatid", "modifystatus", "description", "paperuse",
-            "paperdifficult", "testreport", "paperuseshow", "centerid", "sequence", "centername", "centeryear",
-            "centertype", "provideuser", "centerviewtype", "stage", "papercatid", "courseid", "paperyear", "suitnum",
-            "papername", "totalscore", "chapterid", "chapterlistid", "dt", "dn",
-        )
+        .select(*_PAPER_DIM)
     )
 
 
@@ -176,12 +183,7 @@ def question_dim(t: Mapping[str, DataFrame], dt: str) -> DataFrame:
     return (
         _day(t["question"], dt, _QUESTION)
         .join(_day(t["question_type"], dt, _QUESTION_TYPE), ["questypeid", "dn"])
-        .select(
-            "questionid", "parentid", "questypeid", "quesviewtype", "content", "answer", "analysis", "limitminute",
-            "score", "splitscore", "status", "optnum", "lecture", "creator", "createtime", "modifystatus", "attanswer",
-            "questag", "vanalysisaddr", "difficulty", "quesskill", "vdeoaddr", "viewtypename", "papertypename",
-            "description", "remark", "splitscoretype", "dt", "dn",
-        )
+        .select(*_QUESTION_DIM)
     )
 
 
