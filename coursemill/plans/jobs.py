@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from coursemill.operators import zipper
-from coursemill.plans import history, member, qz, sellcourse
+from coursemill.plans import facts, history, member, qz, sellcourse
 from coursemill.plans.etl import load
 from coursemill.plans.specs import SPECS
 from coursemill.plans.warehouse import Warehouse
@@ -39,13 +39,38 @@ def _replace_day(house: Warehouse, df: DataFrame, table: str) -> None:
     house.write(df, table, _DAY_SITE, overwrite=True, compact=True)
 
 
+# facts of members: cleaned table, the columns taken from it, how they are reduced
+_MEMBER_FACTS = {
+    "registered": ("dwd_member_regtype", member.registrations, member.first_registrations),
+    "paid": ("dwd_pcentermempaymoney", member.payments, member.paid_by_level),
+}
+
+
+def member_facts(spark: SparkSession, house: Warehouse) -> dict[str, DataFrame]:
+    """First registration and money per level of every member, brought up to date from the files added since the last run."""
+    kept = {}
+    for name, (table, columns, reduce) in _MEMBER_FACTS.items():
+        schema, root = SPECS[table].schema, house.path(f"dws.dws_member_{name}")
+        facts.fold_appended(spark, house.path(f"dwd.{table}"), schema, root, columns, reduce)
+        empty = reduce(columns(spark.createDataFrame([], schema)))
+        kept[name] = facts.read_facts(spark, root, empty.schema)
+    return kept
+
+
 def member_wide(spark: SparkSession, house: Warehouse, dt: str) -> None:
-    """Wide member table of a day, then the day's merge into the payment history, with the later days' where it comes late."""
-    names = "dwd_member dwd_member_regtype dwd_base_ad dwd_base_website dwd_pcentermempaymoney dwd_vip_level".split()
-    tables = [_dwd(spark, house, name) for name in names]
-    _replace_day(house, member.wide_member(*tables, dt), "dws.dws_member")
+    """Wide member table of a day, then the day's merge into the payment history, with the later days' where it comes late.
+
+    Registrations and payments of all time count, but only those that were not seen before are read (``member_facts``).
+    """
+    rows, ads, sites, pay, vip = (
+        _dwd(spark, house, name)
+        for name in "dwd_member dwd_base_ad dwd_base_website dwd_pcentermempaymoney dwd_vip_level".split()
+    )
+    kept = member_facts(spark, house)
+    wide = member.wide_from_facts(rows, kept["registered"], ads, sites, kept["paid"], vip, dt)
+    _replace_day(house, wide, "dws.dws_member")
     root = house.path("dws.dws_member_zipper")
-    history.publish_from(spark, root, dt, lambda day: zipper.day_changes(tables[4], tables[5], day))
+    history.publish_from(spark, root, dt, lambda day: zipper.day_changes(pay, vip, day))
 
 
 def zipper_history(spark: SparkSession, house: Warehouse) -> DataFrame:

@@ -23,7 +23,29 @@ _MEMBER = (
 _REGISTRATION = "uid appkey appregurl bdp_uuid isranreg regsource regsourcename dn".split()
 
 
-def _payments(pay: DataFrame, vip: DataFrame, *, id_from_payment: bool) -> DataFrame:
+def registrations(rows: DataFrame) -> DataFrame:
+    """What the wide table takes from a registration."""
+    return rows.select(*_REGISTRATION, F.col("createtime").alias("reg_createtime"), "websiteid")
+
+
+def payments(rows: DataFrame) -> DataFrame:
+    """What the wide table takes from a payment."""
+    return rows.select("uid", "dn", "vip_id", money("paymoney").alias("paymoney"))
+
+
+def first_registrations(rows: DataFrame) -> DataFrame:
+    """One registration per member and site. The result of parts, put together and reduced again, is that of the whole."""
+    return pick_one(rows, ["uid", "dn"])
+
+
+def paid_by_level(rows: DataFrame) -> DataFrame:
+    """Money per member, site and level id; reducing parts and then their results gives the same. Levels are not joined
+    yet, so a level that changes later changes what is shown and not what is kept."""
+    total = F.sum("paymoney").cast("decimal(20,4)").alias("paymoney")
+    return rows.groupBy("uid", "dn", "vip_id").agg(total)
+
+
+def _payments(paid: DataFrame, vip: DataFrame, *, id_from_payment: bool) -> DataFrame:
     """Money and level facts per member and site, so that no payment is counted once per registration."""
     levels = vip.select(
         F.col("vip_id").alias("level_id"),
@@ -37,7 +59,6 @@ def _payments(pay: DataFrame, vip: DataFrame, *, id_from_payment: bool) -> DataF
         F.col("operator").alias("vip_operator"),
         F.col("dn").alias("level_dn"),
     )
-    paid = pay.select("uid", "dn", "vip_id", money("paymoney").alias("paymoney"))
     joined = paid.join(levels, (paid["vip_id"] == levels["level_id"]) & (paid["dn"] == levels["level_dn"]), "left")
     shown_id = F.col("vip_id") if id_from_payment else F.col("level_id")
     first = F.min(F.struct(shown_id.alias("vip_id"), "vip_max_free", "vip_min_free", "vip_operator"))
@@ -75,10 +96,24 @@ def wide_member(
     smallest row instead of whichever row arrives first. ``ids_from_facts`` shows the website and level ids of the
     registration and the payment even when their lookup finds nothing, and money of non-payers as 0.
     """
+    registered, paid = first_registrations(registrations(registration)), payments(pay)
+    return wide_from_facts(member, registered, ad, website, paid, vip, dt, ids_from_facts=ids_from_facts)
+
+
+def wide_from_facts(
+    member: DataFrame,
+    registered: DataFrame,
+    ad: DataFrame,
+    website: DataFrame,
+    paid: DataFrame,
+    vip: DataFrame,
+    dt: str,
+    *,
+    ids_from_facts: bool = False,
+) -> DataFrame:
+    """``wide_member`` from registrations that are reduced already (``first_registrations``) and from payments as they
+    are (``payments``) or reduced (``paid_by_level``)."""
     members = pick_one(member.where(F.col("dt") == dt).select(*_MEMBER), ["uid", "dn"])
-    registered = pick_one(
-        registration.select(*_REGISTRATION, F.col("createtime").alias("reg_createtime"), "websiteid"), ["uid", "dn"]
-    )
     ads = ad.select(F.col("adid").alias("ad_id"), "adname", "dn")
     sites = website.select(
         F.col("siteid").alias("websiteid"),
@@ -92,7 +127,7 @@ def wide_member(
     )
     wide = (
         members.join(registered, ["uid", "dn"], "left")
-        .join(_payments(pay, vip, id_from_payment=ids_from_facts), ["uid", "dn"], "left")
+        .join(_payments(paid, vip, id_from_payment=ids_from_facts), ["uid", "dn"], "left")
         .join(ads, ["ad_id", "dn"], "left")
         .join(sites, ["websiteid", "dn"], "left")
         .withColumn("siteid", F.col("websiteid") if ids_from_facts else F.col("found_siteid"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Codecs offered for written files (LZO has no built-in Parquet writer, zstd takes its place).
 CODECS = ("snappy", "zstd", "gzip", "uncompressed")
@@ -111,7 +112,7 @@ def latest_version(spark: SparkSession, root: str) -> str | None:
     return published.agg(F.max_by("version", "at").alias("version")).first()["version"]
 
 
-def read_snapshot(spark: SparkSession, root: str, schema: str | None = None) -> DataFrame:
+def read_snapshot(spark: SparkSession, root: str, schema: str | StructType | None = None) -> DataFrame:
     """The version announced last; with a ``schema``, an empty frame where none was announced yet."""
     version = latest_version(spark, root)
     if version is None:
