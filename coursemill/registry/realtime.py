@@ -401,6 +401,41 @@ def stream_watch_time(spark, sf):
     return latest_rows(spark, out, learning.VIDEO_KEYS).drop("play_interval")
 
 
+_BATCHES_SQL = _ISLANDS + f""",
+  v as (select *, edutypeid % 3 as b, {_SECS} as secs from learn_fields),
+  r as (select *, row_number() over w as n, min(b) over (partition by userid, cwareid, videoid) as b0,
+          greatest(ps, coalesce(max(pe) over (w rows between unbounded preceding and 1 preceding), ps)) as lo
+        from v window w as (partition by userid, cwareid, videoid, b order by ps, pe, ts, te)),
+  s as (select userid, cwareid, videoid, sec, min(b) as first_b
+        from (select userid, cwareid, videoid, b, unnest(generate_series(ps, pe - 1)) as sec from v) group by all),
+  g as (select *, row_number() over () as id from r),
+  c as (select g.id, count(*) as new from (select id, userid, cwareid, videoid, b, unnest(generate_series(lo, pe - 1)) as sec from g) g
+        join s on s.userid = g.userid and s.cwareid = g.cwareid and s.videoid = g.videoid and s.sec = g.sec and s.first_b = g.b
+        group by g.id),
+  x as (select g.*, coalesce(c.new, 0) as new from g left join c on c.id = g.id),
+  t as (select userid, cwareid, videoid, string_agg(ps || '-' || pe, ',' order by ps) as play_interval
+        from i group by userid, cwareid, videoid)
+  select x.userid, x.cwareid, x.videoid, any_value(t.play_interval) as play_interval, cast(sum(secs) as bigint) as totaltime,
+    cast(sum(case when n = 1 and b = b0 then secs else coalesce(secs * new // nullif(pe - ps, 0), 0) end) as bigint) as effecttime,
+    cast(sum(new) as bigint) as completetime
+  from x join t on t.userid = x.userid and t.cwareid = x.cwareid and t.videoid = x.videoid group by all"""
+
+
+@query("stream_watch_time_batches", _BATCHES_SQL)
+def stream_watch_time_batches(spark, sf):
+    """Three micro-batches whose viewings overlap, each worked off by a query that starts from the checkpoint of the one
+    before it, so the order is fixed and the state of a video is read back."""
+    root, rows = workspace(spark, "watch"), view(spark, sf, "learn_fields")
+    for batch in range(3):
+        part = rows.where(F.col("edutypeid") % 3 == batch)
+        part = part.withColumnRenamed("userid", "uid").withColumnRenamed("sourcetype", "sourceType")
+        replay_lines(json_lines(part), "files", f"{root}/log")
+        lines = line_stream(spark, "files", f"{root}/log", per_trigger=1000)
+        videos = learning.watch_time_stream(learning.learn_events(lines))
+        start(videos, learning.publish_videos(f"{root}/out"), checkpoint=f"{root}/checkpoint").awaitTermination()
+    return latest_rows(spark, f"{root}/out", learning.VIDEO_KEYS)
+
+
 # ---------------------------------------------------------------- sinks
 
 _PARTS = "strftime(ts, '%Y%m%d')"
