@@ -56,6 +56,9 @@ def _parser() -> argparse.ArgumentParser:
         p.add_argument("--once", action="store_true", help="work off what is there and stop")
         if name == "page":
             p.add_argument("--ranges", required=True, help="Parquet of ip_start, ip_end, region")
+    p = jobs_.add_parser("fold", help="fold the recorded batches of a real-time job; run it every hour or so")
+    p.add_argument("--results", required=True, choices=list(streams.RESULTS))
+    p.add_argument("--out", required=True, help="output folder of the job")
     p = jobs_.add_parser("replay")
     p.add_argument("--log", required=True)
     p.add_argument("--kind", default="kafka", choices=["kafka", "files"])
@@ -69,6 +72,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(app=f"coursemill-{args.job}")
     if args.job == "replay":
         replay_lines(read_lines(spark, args.log), args.kind, args.target, servers=args.servers)
+    elif args.job == "fold":
+        streams.fold_job(spark, args.results, args.out)
     elif args.job.startswith("stream-"):
         for query in _stream(spark, args):
             query.awaitTermination()

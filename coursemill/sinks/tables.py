@@ -98,10 +98,23 @@ def publish_snapshot(df: DataFrame, root: str, version: str | None = None, parti
     announced.write.mode("append").parquet(f"{root}/published")
 
 
+def _located(spark: SparkSession, path: str):
+    """A path and the file system that its name means."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is something at a path, in whatever file system it names."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where)
+    files, where = _located(spark, path)
+    return files.exists(where)
+
+
+def _numbers(spark: SparkSession, path: str, kind: str) -> list[int]:
+    """The numbers of the folders ``<kind>=<number>`` right below a path, in order."""
+    files, where = _located(spark, path)
+    names = [status.getPath().getName() for status in files.listStatus(where)] if files.exists(where) else []
+    return sorted(int(name.partition("=")[2]) for name in names if name.startswith(f"{kind}="))
 
 
 def latest_version(spark: SparkSession, root: str) -> str | None:
@@ -165,11 +178,25 @@ def fold_changes(spark: SparkSession, root: str, keys: Sequence[str], additive:
     """Fold the batches recorded so far into one base, so that readers open only the base and later batches.
 
     Run now and then. What is folded ends at the batch that the base is named after: one that lands meanwhile stays in the log
-    alone. The base is announced when it is complete; until then readers use what they used before.
+    alone, and the newest one waits for the next fold while its files are still being committed. The base is announced when
+    it is complete; until then readers use what they used before. Batches and bases that an earlier fold had replaced are
+    deleted afterwards, so a reader that began before this fold finds its files until the next one, and the folders to
+    list are those of two folds and no more.
     """
-    listed = spark.read.parquet(f"{root}/changes").agg(F.max(F.col("batch").cast("long")).alias("b")).first()["b"]
-    rows = additive_totals(spark, root, keys, listed) if additive else latest_rows(spark, root, keys, listed)
-    publish_snapshot(rows, f"{root}/base", str(listed))
+    batches = _numbers(spark, f"{root}/changes", "batch")
+    if batches and not exists(spark, f"{root}/changes/batch={batches[-1]}/_SUCCESS"):
+        batches.pop()
+    before = latest_version(spark, f"{root}/base")
+    last = -1 if before is None else int(before)
+    if not batches or batches[-1] <= last:
+        return
+    rows = (additive_totals if additive else latest_rows)(spark, root, keys, batches[-1])
+    publish_snapshot(rows, f"{root}/base", str(batches[-1]))
+    old = [f"changes/batch={n}" for n in batches if n <= last]
+    old += [f"base/version={n}" for n in _numbers(spark, f"{root}/base", "version") if n < last]
+    for folder in old:
+        files, where = _located(spark, f"{root}/{folder}")
+        files.delete(where, True)
 
 
 def replace_table(df: DataFrame, root: str) -> None:

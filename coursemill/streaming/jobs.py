@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from coursemill.sinks.tables import publish_changes
+from coursemill.sinks.tables import exists, fold_changes, publish_changes
 from coursemill.streaming import answers, archive, learning, pages, register
 from coursemill.streaming.runner import INTERVALS, start
 
@@ -62,3 +62,19 @@ def archive_job(lines: DataFrame, topic: str, out: str, once: bool = False) -> l
     rows = archive.archive_rows(lines, topic)
     interval = None if once else INTERVALS["archive"]
     return [archive.start_archive(rows, f"{out}/raw", f"{out}/_checkpoint_raw", interval=interval)]
+
+
+# change logs of each job below its output folder: their keys, and whether the amounts of batches add up
+RESULTS = {
+    "register": {"running": (["app_name"], False), "sliding": (["window_start", "window_end", "app_name"], False)},
+    "page": {"funnel": (pages.PAGE_IDS, False), "provinces": (["province"], True)},
+    "answer": {"points": (answers.POINT_KEYS, False)},
+    "learn": {"dims": (["dim", "key"], False), "videos": (learning.VIDEO_KEYS, False)},
+}
+
+
+def fold_job(spark: SparkSession, job: str, out: str) -> None:
+    """Upkeep of a job's results, beside the running job: fold what its batches have recorded since the last time."""
+    for name, (keys, additive) in RESULTS[job].items():
+        if exists(spark, f"{out}/{name}/changes"):
+            fold_changes(spark, f"{out}/{name}", keys, additive)

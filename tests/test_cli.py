@@ -23,7 +23,11 @@ def test_replay_and_stream(spark, rows, tmp_path):
     (tmp_path / "register.log").write_text("1\t1\tx\n2\t2\tx\n3\t2\tx\n")
     main(["replay", "--log", str(tmp_path / "register.log"), "--kind", "files", "--target", str(tmp_path / "topic")])
     main(["stream-register", "--kind", "files", "--source", str(tmp_path / "topic"), "--out", str(tmp_path / "out"), "--once"])
-    assert rows(latest_rows(spark, str(tmp_path / "out" / "running"), ["app_name"])) == [("APP", 2), ("PC", 1)]
+    running = str(tmp_path / "out" / "running")
+    assert rows(latest_rows(spark, running, ["app_name"])) == [("APP", 2), ("PC", 1)]
+    main(["fold", "--results", "register", "--out", str(tmp_path / "out")])
+    assert (tmp_path / "out" / "running" / "base" / "published").is_dir()
+    assert rows(latest_rows(spark, running, ["app_name"])) == [("APP", 2), ("PC", 1)]
 
 
 def test_unknown_job_is_refused():

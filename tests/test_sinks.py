@@ -77,6 +77,27 @@ def test_a_batch_that_lands_during_a_fold_counts_once(spark, rows, tmp_path, mon
     assert rows(t.additive_totals(spark, root, ["k"])) == [("a", 12)]
 
 
+def test_folds_bound_what_is_listed(spark, rows, tmp_path):
+    root = tmp_path / "b"
+    put = lambda batch: t.publish_changes(spark.createDataFrame([("a", 1), (f"k{batch}", 1)], "k string, n long"), str(root), batch)
+    listed = lambda: sorted(int(p.name[6:]) for p in (root / "changes").glob("batch=*"))
+    for batch in range(9):
+        put(batch)
+        if batch % 3 == 2:
+            t.fold_changes(spark, str(root), ["k"], additive=True)
+    assert listed() == [6, 7, 8]  # of the last fold; earlier readers may still open them
+    assert sorted(p.name for p in (root / "base").glob("version=*")) == ["version=5", "version=8"]
+    want = sorted([("a", 9), *((f"k{b}", 1) for b in range(9))])
+    assert rows(t.additive_totals(spark, str(root), ["k"])) == want
+    t.fold_changes(spark, str(root), ["k"], additive=True)  # nothing new
+    put(8)  # a batch handed in again after it was folded
+    assert listed() == [6, 7, 8] and rows(t.additive_totals(spark, str(root), ["k"])) == want
+    put(9)
+    (root / "changes" / "batch=9" / "_SUCCESS").unlink()  # still being committed
+    t.fold_changes(spark, str(root), ["k"], additive=True)
+    assert t.latest_version(spark, f"{root}/base") == "8"
+
+
 def test_an_unreadable_log_is_not_taken_for_none(spark, tmp_path):
     (tmp_path / "s" / "published").mkdir(parents=True)
     (tmp_path / "s" / "published" / "part-0.parquet").write_text("broken")
