@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from coursemill.operators import zipper
 from coursemill.plans import facts, history, member, qz, sellcourse
@@ -34,9 +36,9 @@ def _dwd(spark: SparkSession, house: Warehouse, table: str) -> DataFrame:
     return house.read(spark, f"dwd.{table}", schema=SPECS[table].schema)
 
 
-def _replace_day(house: Warehouse, df: DataFrame, table: str) -> None:
+def _replace_day(house: Warehouse, df: DataFrame, table: str, order_by: Sequence[Column | str] = ()) -> None:
     """Write a day's result over the same day of the table, in few files: running a day again does not double it."""
-    house.write(df, table, _DAY_SITE, overwrite=True, compact=True)
+    house.write(df, table, _DAY_SITE, overwrite=True, compact=True, order_by=order_by)
 
 
 # facts of members: cleaned table, the columns taken from it, how they are reduced
@@ -83,7 +85,7 @@ def member_reports(spark: SparkSession, house: Warehouse, dt: str) -> None:
     try:
         for report, attribute in member.COUNT_REPORTS.items():
             _replace_day(house, member.member_counts(wide, dt, attribute), f"ads.ads_{report}")
-        _replace_day(house, member.top_payers(wide, dt), "ads.ads_register_top3memberpay")
+        _replace_day(house, member.top_payers(wide, dt), "ads.ads_register_top3memberpay", member.PAYERS_ORDER)
     finally:
         wide.unpersist()
 
@@ -117,13 +119,19 @@ _QZ_REPORTS = {
     "ads.ads_user_paper_detail": qz.paper_pass_rates,
     "ads.ads_user_question_detail": qz.question_error_rates,
 }
+# reports with an order, which their files keep
+_QZ_ORDERS = {
+    "ads.ads_paper_avgtimeandscore": qz.averages_order,
+    "ads.ads_paper_scoresegment_user": lambda: qz.BANDS_ORDER,
+    "ads.ads_user_question_detail": qz.errors_order,
+}
 
 
 def qz_reports(spark: SparkSession, house: Warehouse, dt: str) -> None:
     """Seven reports. Each scans only its own few columns of the wide fact, so nothing is cached."""
     fact = house.read(spark, "dws.dws_user_paper_detail", dt)
     for table, make in _QZ_REPORTS.items():
-        _replace_day(house, make(fact, dt), table)
+        _replace_day(house, make(fact, dt), table, _QZ_ORDERS.get(table, tuple)())
 
 
 def sell_detail(spark: SparkSession, house: Warehouse, dt: str, form: str = "join") -> None:

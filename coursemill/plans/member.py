@@ -154,6 +154,9 @@ def member_counts(wide: DataFrame, dt: str, attribute: str) -> DataFrame:
     return count_by(day, [attribute, "dt", "dn"], "uid", "num").select(attribute, "num", "dt", "dn")
 
 
+PAYERS_ORDER = ("memberlevel", "rownum", "dn")
+
+
 def top_payers(wide: DataFrame, dt: str, k: int = 3) -> DataFrame:
     """The ``k`` best paying members per site and level, equal amounts ordered by uid."""
     day = wide.where(F.col("dt") == dt).withColumn("paymoney", F.col("paymoney").try_cast("decimal(10,4)"))
@@ -161,4 +164,4 @@ def top_payers(wide: DataFrame, dt: str, k: int = 3) -> DataFrame:
     return best.select(
         "uid", "memberlevel", "register", "appregurl", "regsourcename", "adname", "sitename", "vip_level", "paymoney",
         "rownum", "dt", "dn",
-    ).orderBy("memberlevel", "rownum", "dn")
+    ).orderBy(*PAYERS_ORDER)

@@ -211,6 +211,17 @@ _RANKED = (
 ).split()
 
 
+def averages_order() -> list[Column]:
+    return [F.col("avgscore").desc(), F.col("avgspendtime").desc(), F.col("paperviewid")]
+
+
+BANDS_ORDER = ("paperviewid", "score_segment", "part")
+
+
+def errors_order() -> list[Column]:
+    return [F.col("errcount").desc(), F.col("questionid")]
+
+
 def _fact_day(fact: DataFrame, dt: str) -> DataFrame:
     return fact.where(F.col("dt") == dt)
 
@@ -225,7 +236,7 @@ def paper_averages(fact: DataFrame, dt: str) -> DataFrame:
             F.avg("spendtime").cast("decimal(10,2)").alias("avgspendtime"),
         )
         .select("paperviewid", "paperviewname", "avgscore", "avgspendtime", "dt", "dn")
-        .orderBy(F.col("avgscore").desc(), F.col("avgspendtime").desc(), "paperviewid")
+        .orderBy(*averages_order())
     )
 
 
@@ -254,7 +265,7 @@ def paper_score_bands(fact: DataFrame, dt: str, parts: int = 1) -> DataFrame:
     lists = joined_lists(rows, keys, "userid", "userids", parts=parts)
     return lists.select(
         "paperviewid", "paperviewname", "score_segment", "part", "userids", "dt", "dn"
-    ).orderBy("paperviewid", "score_segment", "part")
+    ).orderBy(*BANDS_ORDER)
 
 
 def paper_pass_rates(fact: DataFrame, dt: str) -> DataFrame:
@@ -291,5 +302,5 @@ def question_error_rates(fact: DataFrame, dt: str) -> DataFrame:
         .where((F.col("errcount") > 0) & (F.col("rightcount") > 0))
         .withColumn("rate", ratio("errcount", F.col("errcount") + F.col("rightcount")))
         .select("questionid", "errcount", "rightcount", "rate", "dt", "dn")
-        .orderBy(F.col("errcount").desc(), "questionid")
+        .orderBy(*errors_order())
     )

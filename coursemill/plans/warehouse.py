@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -41,10 +41,22 @@ class Warehouse:
         return df if dt is None else df.where(F.col("dt") == dt)
 
     def write(
-        self, df: DataFrame, table: str, partition_by: Sequence[str] = (), overwrite: bool = False, compact: bool = False
+        self,
+        df: DataFrame,
+        table: str,
+        partition_by: Sequence[str] = (),
+        overwrite: bool = False,
+        compact: bool = False,
+        order_by: Sequence[Column | str] = (),
     ) -> None:
         write_files(
-            df, self.path(table), partition_by=partition_by, overwrite=overwrite, codec=self.codec, compact=compact
+            df,
+            self.path(table),
+            partition_by=partition_by,
+            overwrite=overwrite,
+            codec=self.codec,
+            compact=compact,
+            order_by=order_by,
         )
 
     def append_bucketed(self, df: DataFrame, table: str, bucket_by: str, partition_by: Sequence[str]) -> None:

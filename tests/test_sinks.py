@@ -20,6 +20,25 @@ def test_append_and_partition_overwrite(spark, rows, tmp_path):
         t.write_files(df, path, codec="lzo")
 
 
+def test_files_keep_an_order(spark, rows, tmp_path):
+    import pyarrow.parquet as pq
+
+    data = [(i * 37 % 1000, f"x{i}", "d", (None, "", "a", "b")[i % 4]) for i in range(1000)]
+    df = spark.createDataFrame(data, "n int, x string, dt string, dn string").repartition(7)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        t.write_files(df, str(tmp_path / "o"), partition_by=["dt", "dn"], order_by=[F.col("n").desc(), "x"], overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    folders = {p.name: sorted(p.glob("*.parquet")) for p in (tmp_path / "o" / "dt=d").iterdir()}
+    assert set(folders) == {"dn=__HIVE_DEFAULT_PARTITION__", "dn=a", "dn=b"} and max(map(len, folders.values())) > 1
+    for name, files in folders.items():
+        got = [n for f in files for n in pq.read_table(f, partitioning=None)["n"].to_pylist()]
+        kinds = (None, "") if "HIVE" in name else (name[3:],)
+        assert got == sorted((n for n, _, _, dn in data if dn in kinds), reverse=True)
+
+
 def test_insert_by_name_ignores_column_order(spark, rows, tmp_path):
     spark.sql("drop table if exists by_name")
     spark.sql(f"create table by_name (x int, y string, dt string) using parquet partitioned by (dt) location '{tmp_path / 'b'}'")
