@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 
 from coursemill.plans import jobs
+from coursemill.plans.specs import ORDER_BUCKETS
 from coursemill.plans.warehouse import Warehouse
 from coursemill.session import build_session
 from coursemill.sinks.tables import replay_lines
@@ -42,6 +43,8 @@ def _parser() -> argparse.ArgumentParser:
         p.add_argument("--warehouse", required=True)
         if name in LOADS:
             p.add_argument("--ods", required=True, help="folder of the <log>.log files")
+            if name == "sell-load-bucketed":
+                p.add_argument("--buckets", type=int, default=ORDER_BUCKETS, help="of new tables, and tasks of their join")
         else:
             p.add_argument("--dt", required=True, help="day as yyyyMMdd")
         if name == "sell-detail":
@@ -78,7 +81,7 @@ def main(argv: list[str] | None = None) -> None:
         for query in _stream(spark, args):
             query.awaitTermination()
     else:
-        house = Warehouse(args.warehouse)
+        house = Warehouse(args.warehouse, buckets=getattr(args, "buckets", ORDER_BUCKETS))
         if args.job in LOADS:
             jobs.load_tables(spark, house, args.ods, LOADS[args.job])
         elif args.job in DAYS:

@@ -16,6 +16,7 @@ DETAIL_COLUMNS = (
 
 _COURSE_KEYS = ["courseid", "dt", "dn"]
 _ORDER_KEYS = ["orderid", "dt", "dn"]
+_PAID = ["pay_discount", "paymoney", "pay_createtime"]
 
 
 def _cart(cart: DataFrame, dt: str) -> DataFrame:
@@ -83,9 +84,13 @@ def sell_detail_bucketed(
 
     Only orderid may be a join key, since a join on more keys than the bucket column would shuffle again. The day is
     fixed on both sides, and the site is compared as a range so that it stays a condition on matched orders. A bucket
-    cannot be split at run time, so orders with more than ``hot_share`` of the cart are taken out and joined apart.
+    cannot be split at run time, so orders with more than ``hot_share`` of the cart are taken out and joined apart. Cart
+    lines without an order, which share a bucket, have no payment: they go round the join, read in file splits.
     """
     cart, pay = _cart(cart, dt), _pay(pay, dt)
+    unnamed = F.col("orderid").isNull()
+    unpaid = cart.where(unnamed).withColumns({c: F.lit(None).cast(pay.schema[c].dataType) for c in _PAID})
+    cart = cart.where(~unnamed)
     hot = hot_keys(cart, ["orderid"], hot_share)
     if hot.isEmpty():
         paid = _order_join(cart, pay)
@@ -94,6 +99,7 @@ def sell_detail_bucketed(
         hot_pay = broadcast_within(pay.join(hot, "orderid", "left_semi"))
         hot_paid = cart.join(hot, "orderid", "left_semi").join(hot_pay, _ORDER_KEYS, "left")
         paid = _order_join(cart.join(hot, "orderid", "left_anti"), pay).unionByName(hot_paid)
+    paid = paid.unionByName(unpaid)
     return broadcast_within(_course(course, dt)).join(paid, _COURSE_KEYS, "right").select(*DETAIL_COLUMNS)
 
 
@@ -101,5 +107,5 @@ def _order_join(cart: DataFrame, pay: DataFrame) -> DataFrame:
     c, p = cart.alias("c"), pay.alias("p")
     same_site = (F.col("c.dn") <= F.col("p.dn")) & (F.col("c.dn") >= F.col("p.dn"))
     return c.join(p, (F.col("c.orderid") == F.col("p.orderid")) & same_site, "left").select(
-        "c.*", "p.pay_discount", "p.paymoney", "p.pay_createtime"
+        "c.*", *[f"p.{c}" for c in _PAID]
     )

@@ -403,9 +403,11 @@ def sell_detail_broadcast(spark, sf):
     return sellcourse.sell_detail_broadcast(*_sell_inputs(spark, sf), DT)
 
 
-def bucketed_sales(spark, sf):
-    """Cart and payments stored as bucketed tables, and the catalog."""
+def bucketed_sales(spark, sf, unnamed=None):
+    """Cart and payments stored as bucketed tables, and the catalog. Cart lines that are ``unnamed`` lose their order."""
     course, cart, pay = _sell_inputs(spark, sf)
+    if unnamed is not None:
+        cart = cart.withColumn("orderid", F.when(~unnamed, F.col("orderid")))
     root = workspace(spark, "sales")
     house = Warehouse(root, catalog_prefix=f"t{root.rsplit('-', 1)[1]}_")
     for name, df in (("dwd.course_shopping_cart_cluster", cart), ("dwd.course_pay_cluster", pay)):
@@ -422,6 +424,18 @@ def sell_detail_bucketed(spark, sf):
     return sellcourse.sell_detail_bucketed(*bucketed_sales(spark, sf), DT)
 
 
+@query(
+    "sell_detail_bucketed_unnamed",
+    _SELL_SQL.replace(
+        "from cart b",
+        "from (select * replace (case when courseid % 2 = 1 then orderid end as orderid) from cart) b",
+    ),
+)
+def sell_detail_bucketed_unnamed(spark, sf):
+    """Half of the cart without an order, which all lies in one bucket and goes round the join."""
+    return sellcourse.sell_detail_bucketed(*bucketed_sales(spark, sf, unnamed=F.col("courseid") % 2 == 0), DT)
+
+
 @query(
     "salted_null_keys",
     """select o_orderkey, o_totalprice, c_name, c_custkey

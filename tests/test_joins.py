@@ -176,3 +176,23 @@ def test_a_hot_order_is_joined_apart(spark, rows, sales, tmp_path):
         house.append_bucketed(df, name, "orderid", ("dt", "dn"))
     stored = [house.read_bucketed(spark, name) for name in ("cart", "pay")]
     assert rows(sellcourse.sell_detail_bucketed(course, *stored, "d1", hot_share=0.2)) == want
+
+
+def test_lines_without_an_order_go_round_the_bucketed_join(spark, rows, sales, tmp_path):
+    course, cart, pay = sales
+    cart = cart.withColumn("orderid", F.when(F.col("courseid") % 2 == 1, F.col("orderid")))
+    pay = pay.withColumn("orderid", F.when(F.col("paymoney") % 3 > 0, F.col("orderid")))  # payments without one match nothing
+    want = rows(sellcourse.sell_detail(course, cart, pay, "d1"))
+    house = Warehouse(str(tmp_path), catalog_prefix="unnamed_", buckets=6)
+    for name, df in (("cart", cart), ("pay", pay)):
+        house.append_bucketed(df, name, "orderid", ("dt", "dn"))
+    stored = [house.read_bucketed(spark, name) for name in ("cart", "pay")]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = sellcourse.sell_detail_bucketed(course, *stored, "d1", hot_share=0.1)
+        text = plan(got)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert rows(got) == want and sum(r[13] is None for r in want) == cart.where("dt = 'd1' and orderid is null").count() > 0
+    assert text.count("SortMergeJoin") == 1 and "isnotnull(orderid" in text and "hashpartitioning" not in text
