@@ -12,7 +12,7 @@ from coursemill.operators.joins import (
     range_lookup,
     salted_join,
 )
-from coursemill.plans import sellcourse
+from coursemill.plans import qz, sellcourse
 from coursemill.plans.warehouse import Warehouse
 from tests.conftest import plan
 
@@ -196,3 +196,29 @@ def test_lines_without_an_order_go_round_the_bucketed_join(spark, rows, sales, t
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert rows(got) == want and sum(r[13] is None for r in want) == cart.where("dt = 'd1' and orderid is null").count() > 0
     assert text.count("SortMergeJoin") == 1 and "isnotnull(orderid" in text and "hashpartitioning" not in text
+
+
+def test_answer_fact_shuffles_no_small_dimension(spark, rows):
+    """Courses and majors are broadcast and joined last; repeated and unset keys count as in plain inner joins."""
+    def frame(columns, key, ids):
+        names = [c.partition(":")[0] for c in columns.split()]
+        names += [] if "dt" in names else ["dt"]
+        data = [tuple(i if c == key else "d" if c == "dt" else "a" if c == "dn" else None for c in names) for i in ids]
+        kinds = ", ".join(f"{c} {'int' if c == key else 'string'}" for c in names)
+        return spark.createDataFrame(data, kinds)
+
+    dims = {n: frame(columns, key, [1, 2, 2, None, 5]) for n, (key, columns) in qz._FACT_DIMS.items()}
+    ids = [(1, 1, 1, 1, 1), (2, 1, 2, 1, 2), (2, 2, 2, 2, 2), (None, 1, 1, 1, 1), (1, 1, 1, 1, None), (1, 3, 1, 1, 1), (5, 5, 5, 5, 4)]
+    names = [key for key, _ in qz._FACT_DIMS.values()]
+    answers = spark.createDataFrame(ids, ", ".join(f"{c} int" for c in names))
+    others = {c.partition(":")[0] for c in qz._FACT.split()} - set(names) - {"dt", "dn"}
+    answers = answers.withColumns({c: F.lit(None).cast("string") for c in others}).withColumns({"dt": F.lit("d"), "dn": F.lit("a")})
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = qz.answer_fact(answers, dims, "d")
+        text = plan(fact)
+        assert "hashpartitioning(sitecourseid" not in text and "hashpartitioning(majorid" not in text
+        assert rows(fact, *names) == sorted([(1,) * 5, *[(2, 1, 2, 1, 2)] * 8, *[(2,) * 5] * 32])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
