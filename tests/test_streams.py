@@ -178,6 +178,42 @@ def test_learn_stream_equals_batch_batch_by_batch(spark, log, tmp_path):
     assert {u: r["play_interval"] for u, r in got.items()} == text
 
 
+def test_videos_of_a_user_are_worked_off_together(spark):
+    """One call per user and batch, over chunks, videos with and without a past, turned-round and empty intervals."""
+    import numpy as np
+    import pandas as pd
+
+    class State:
+        exists, get = False, None
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    rng = random.Random(5)
+    keys, state, got, parts = learning.VIDEO_KEYS, State(), {}, []
+    for n in range(3):
+        part = []
+        for _ in range(150):
+            video, ps, ts = rng.randrange(2 * n, 2 * n + 4), rng.randrange(-30, 60), rng.randrange(0, 40) * 500
+            part.append((7, -1 - video % 2, video, ps, ps + rng.randrange(-4, 15), ts, ts + rng.randrange(-9_000, 60_000)))
+        data = [np.array(r[1:], dtype=np.int64) for r in part]
+        chunks = iter([pd.DataFrame({"viewing": data[:70]}), pd.DataFrame({"viewing": data[70:]})])
+        (out,) = learning._update_user((7, 0), chunks, state)
+        assert sorted(zip(out["cwareid"], out["videoid"])) == sorted({r[1:3] for r in part})
+        for r in out.itertuples():
+            got[r.cwareid, r.videoid] = (r.totaltime, r.effecttime, r.completetime, r.play_interval)
+        parts.append(spark.createDataFrame(part, "userid int, cwareid int, videoid int, ps int, pe int, ts long, te long"))
+    want, before = {}, None
+    for part in parts:
+        history = None if before is None else interval_sets(islands(before, keys), keys)
+        for r in learning.watch_time(part, history).collect():
+            k = r["cwareid"], r["videoid"]
+            want[k] = tuple(a + b for a, b in zip(want.get(k, (0, 0, 0)), (r["totaltime"], r["effecttime"], r["completetime"])))
+        before = part if before is None else before.union(part)
+    text = {(r["cwareid"], r["videoid"]): r["play_interval"] for r in learning.play_intervals(before).collect()}
+    assert got == {k: (*v, text[k]) for k, v in want.items()}
+
+
 def test_archive_job_keeps_every_value(spark, log, tmp_path):
     put(log, "1.txt", ["a", "b"])
     out = tmp_path / "o"
