@@ -12,6 +12,7 @@ from coursemill.registry.views import ctes, table, view
 from coursemill.session import workspace
 from coursemill.sinks.tables import (
     additive_totals,
+    data_files,
     fold_changes,
     latest_rows,
     publish_changes,
@@ -26,11 +27,16 @@ from coursemill.streaming import answers, archive, learning, pages, register
 from coursemill.streaming.runner import start
 
 
-def _streamed(spark, name, lines, transform, publish, mode, per_trigger=4):
+def _log_stream(spark, log, batches=1):
+    """Stream of a written log folder in ``batches`` micro-batches, however many files it has."""
+    return line_stream(spark, "files", log, per_trigger=-(-data_files(spark, log) // batches))
+
+
+def _streamed(spark, name, lines, transform, publish, mode, batches=3):
     """Write ``lines`` as a log folder, stream it in several micro-batches, publish below a fresh folder."""
     root = workspace(spark, name)
     replay_lines(lines, "files", f"{root}/log")
-    stream = transform(line_stream(spark, "files", f"{root}/log", per_trigger=per_trigger))
+    stream = transform(_log_stream(spark, f"{root}/log", batches))
     start(stream, publish(f"{root}/out"), checkpoint=f"{root}/checkpoint", mode=mode).awaitTermination()
     return f"{root}/out"
 
@@ -396,7 +402,7 @@ def stream_watch_time(spark, sf):
     """The stateful form; all rows of a video arrive in one micro-batch, where it must equal the batch form."""
     out = _streamed(
         spark, "watch", learn_lines(spark, sf), lambda s: learning.watch_time_stream(learning.learn_events(s)),
-        learning.publish_videos, "update", per_trigger=1000,
+        learning.publish_videos, "update", batches=1,
     )
     return latest_rows(spark, out, learning.VIDEO_KEYS).drop("play_interval")
 
@@ -430,7 +436,7 @@ def stream_watch_time_batches(spark, sf):
         part = rows.where(F.col("edutypeid") % 3 == batch)
         part = part.withColumnRenamed("userid", "uid").withColumnRenamed("sourcetype", "sourceType")
         replay_lines(json_lines(part), "files", f"{root}/log")
-        lines = line_stream(spark, "files", f"{root}/log", per_trigger=1000)
+        lines = _log_stream(spark, f"{root}/log")
         videos = learning.watch_time_stream(learning.learn_events(lines))
         start(videos, learning.publish_videos(f"{root}/out"), checkpoint=f"{root}/checkpoint").awaitTermination()
     return latest_rows(spark, f"{root}/out", learning.VIDEO_KEYS)
@@ -458,7 +464,7 @@ def archive_roundtrip(spark, sf):
 def stream_archive(spark, sf):
     root = workspace(spark, "archive_stream")
     replay_lines(table(spark, sf, "events").select(F.col("props").alias("value")), "files", f"{root}/log")
-    lines = line_stream(spark, "files", f"{root}/log", per_trigger=4)
+    lines = _log_stream(spark, f"{root}/log", batches=3)
     rows = archive.archive_rows(lines, "page_topic")
     archive.start_archive(rows, f"{root}/base", f"{root}/checkpoint").awaitTermination()
     return spark.read.text(f"{root}/base").select("value", "topic")

@@ -215,13 +215,33 @@ def replace_table(df: DataFrame, root: str) -> None:
 
 
 def replay_lines(
-    lines: DataFrame, kind: str, where: str, *, servers: str | None = None, partitions: int = 10
+    lines: DataFrame,
+    kind: str,
+    where: str,
+    *,
+    servers: str | None = None,
+    partitions: int = 10,
+    per_file: int = 400_000,
 ) -> None:
-    """Send every line of a log to a topic (or, offline, to a folder) in ``partitions`` parallel writers."""
-    spread = lines.select("value").repartition(partitions)
+    """Send every line of a log to a topic, or, offline, to a folder.
+
+    A topic gets ``partitions`` parallel writers. A folder is written where the lines are read, without a shuffle, unless
+    they come in too few pieces to write in parallel. Its files are compressed and, as such files are read by one task
+    each, hold at most ``per_file`` lines: their number grows with the log, not their size.
+    """
+    lines = lines.select("value")
     if kind == "kafka":
+        spread = lines.repartition(partitions)
         spread.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", where).save()
     elif kind == "files":
-        spread.write.mode("append").text(where)
+        if lines.rdd.getNumPartitions() < min(partitions, lines.sparkSession.sparkContext.defaultParallelism):
+            lines = lines.repartition(partitions)
+        lines.write.mode("append").option("compression", "lz4").option("maxRecordsPerFile", per_file).text(where)
     else:
         raise ValueError(f"unknown sink kind: {kind}")
+
+
+def data_files(spark: SparkSession, path: str) -> int:
+    """Number of data files right below a path."""
+    files, where = _located(spark, path)
+    return sum(status.getPath().getName()[0] not in "._" for status in files.listStatus(where))

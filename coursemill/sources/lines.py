@@ -21,12 +21,14 @@ def json_fields(lines: DataFrame, fields: Sequence[str], keep: Sequence[str] = (
     a list with a mark of that line: whatever stands behind the object changes the lists' lengths, breaks them, or ends
     the parse before the mark. The parsed value goes through a one-element ``explode`` so that the validity filter cannot be
     pushed below it: pushed down, it would carry its own copies of ``from_json`` and each line would be parsed again per copy.
-    Only the asked-for fields are materialised by the parser.
+    Only the asked-for fields are materialised by the parser. Lines that do not end in a brace are no object either and never
+    reach it, as a failed parse costs an exception.
     """
     schema = "array<array<struct<" + ", ".join(f"`{name}`: string" for name in [*fields, _MARK]) + ">>>"
+    braced = F.ltrim("value", F.lit(" \t\r")).startswith("{") & F.rtrim("value", F.lit(" \t\r\n")).endswith("}")
     mark = F.xxhash64("value").cast("string")
     whole = F.concat(F.lit("[["), "value", F.lit('],[{"' + _MARK + '":"'), mark, F.lit('"}]]'))
-    parsed = lines.where(F.ltrim("value", F.lit(" \t\r")).startswith("{")).select(
+    parsed = lines.where(braced).select(
         *keep, mark.alias(_MARK), F.explode(F.array(F.from_json(whole, schema, {"allowUnquotedFieldNames": "true"}))).alias("j")
     )
     line = F.get(F.get("j", F.lit(0)), F.lit(0))

@@ -17,6 +17,12 @@ def test_nothing_may_follow_the_object(spark, rows):
     assert rows(json_fields(df, ["a"])) == [("7",)]
 
 
+def test_cut_lines_never_reach_the_parser(spark, rows):
+    df = json_fields(lines(spark, '{"a":"}"', '{"a":1', '{"a":1} xyz', '{"a":4}\r\n', ' {"a":5} \t'), ["a"])
+    assert "EndsWith(rtrim(value" in plan(df)
+    assert rows(df) == [("4",), ("5",)]
+
+
 def test_nested_values_come_as_text(spark, rows):
     df = lines(spark, '{"a":{"x":1},"b":[1,2]}')
     assert rows(json_fields(df, ["a", "b"])) == [('{"x":1}', "[1,2]")]

@@ -133,6 +133,22 @@ def test_sites_stay_text(spark, rows, tmp_path):
     assert rows(house.read(spark, "dws.t", "20190722"), "x", "dn") == [(1, "01")]
 
 
+def test_replayed_logs_are_written_where_they_are_read(spark, rows, tmp_path):
+    """No shuffle when there are pieces enough, compressed files, and none longer than told."""
+    log = str(tmp_path / "log")
+    lines = spark.range(0, 1200, numPartitions=12).select(F.concat(F.lit("line "), "id").alias("value"))
+    t.replay_lines(lines, "files", log, per_file=60)
+    files = spark.read.text(log).groupBy(F.input_file_name().alias("f")).agg(
+        F.collect_list(F.substring("value", 6, 9).cast("long")).alias("ids")
+    )
+    ids = sorted(sorted(r["ids"]) for r in files.collect())
+    assert ids == [list(range(a, b)) for p in range(0, 1200, 100) for a, b in ((p, p + 60), (p + 60, p + 100))]
+    assert t.data_files(spark, log) == 24 == len(list((tmp_path / "log").glob("part-*.lz4")))
+    t.replay_lines(lines.coalesce(1), "files", str(tmp_path / "one"))
+    assert t.data_files(spark, str(tmp_path / "one")) == 10
+    assert rows(spark.read.text(str(tmp_path / "one"))) == rows(lines)
+
+
 def test_unknown_kinds_are_refused(spark, tmp_path):
     with pytest.raises(ValueError):
         t.replay_lines(spark.createDataFrame([("a",)], "value string"), "fax", str(tmp_path))
