@@ -43,7 +43,7 @@ def domain_labels(labels: DataFrame) -> DataFrame:
 
 
 def _lowered(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct words of each document without regard to capitals and closing punctuation: row, hash; and words a row."""
+    """Words of each document without regard to capitals and closing punctuation, repeats included: row, hash; and words a row."""
     data, offsets = flat(batch.column("text"))
     data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
     begin, end, first = word_spans(data, offsets)
@@ -52,13 +52,21 @@ def _lowered(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     letter = (data >= 97) & (data <= 122) | (data >= 128) | (data >= 48) & (data <= 57)
     for _ in range(3):
         end = end - ((end - begin > 1) & ~letter[end - 1])
-    pair = np.unique(np.rec.fromarrays([row, span_hashes(data, begin, end, 9)], names="r,h"))
-    return np.ascontiguousarray(pair.r), np.ascontiguousarray(pair.h), n
+    return row, span_hashes(data, begin, end, 9), n
+
+
+def _distinct(row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each word of a document once, in order."""
+    order = np.lexsort((h, row))
+    row, h = row[order], h[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
+    return row[new], h[new]
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches):
-        row, h, _ = _lowered(batch)
+        row, h = _distinct(*_lowered(batch)[:2])
         x = statistics(batch)
         yield pa.RecordBatch.from_arrays(
             [batch.column("y"), lists(signed(h), np.bincount(row, minlength=batch.num_rows), pa.int64()), lists(x.reshape(-1), np.full(len(x), x.shape[1]), pa.float64())], names=["y", "words", "x"]
@@ -102,6 +110,7 @@ class Membership:
         return model
 
     def _design(self, row: np.ndarray, h: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """A word says that it is there, so words may repeat and come in any order."""
         out = np.zeros((len(x), len(self.words) + x.shape[1] + 1))
         if len(self.words):
             at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)

@@ -1,7 +1,14 @@
+import random
+import time
+
 import numpy as np
+import pyarrow as pa
 
-from coursemill.llm.mixing import DOMAINS, RIDGE, domain_labels, fit_mix, mix, select_by_rate, source_weights
-from tests.llm.helpers import edge_rows, frame
+from coursemill.llm.classifier import statistics
+from coursemill.llm.mixing import DOMAINS, RIDGE, Membership, domain_labels, fit_mix, mix, select_by_rate, source_weights
+from coursemill.llm.mixing import _features as features
+from coursemill.llm.mixing import _members as members
+from tests.llm.helpers import edge_rows, frame, words
 
 
 def corpus():
@@ -68,3 +75,45 @@ def test_without_labels_or_rows(spark):
     assert all(np.allclose(r.p, 1 / len(DOMAINS)) and abs(r.rate - 1) < 1e-9 for r in out)
     assert mix(docs.limit(0), known, weights={"clean": 1}).count() == 0
     assert {r.rate for r in mix(docs.filter("text is null"), known, weights={"clean": 1}).collect()} == {1.0}
+
+
+def lowered(text):
+    """Distinct words without capitals and up to three closing marks."""
+    out = set()
+    for word in words(text):
+        data = bytes(b + 32 if 65 <= b <= 90 else b for b in word.encode())
+        for _ in range(3):
+            if len(data) > 1 and not (data[-1:].isalnum() or data[-1] >= 128):
+                data = data[:-1]
+        out.add(data)
+    return out
+
+
+def labelled(texts):
+    n = len(texts)
+    columns = {"doc_id": pa.array(range(n)), "text": pa.array(texts), "source": pa.array(["s"] * n), "y": pa.array([i % 3 for i in range(n)], pa.int32())}
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def test_a_document_has_each_word_once():
+    texts = [t for _, t in edge_rows()] + ["Word word, WORD!!! word. other", "!", "a!!!! A"]
+    got = next(features(iter([labelled(texts)]))).column("words").to_pylist()
+    assert [len(w) for w in got] == [len(set(w)) for w in got] == [len(lowered(t)) for t in texts]
+    assert len(set().union(*got)) == len(set().union(*map(lowered, texts)))
+
+
+def test_posteriors_cost_little_more_than_the_statistics():
+    say = random.Random(3)
+    batch = labelled([" ".join(f"word{say.randint(0, 3000)}" for _ in range(400)) for _ in range(500)])
+    known = next(features(iter([batch])))
+    model = Membership.fit(np.array(known.column("y")), known.column("words").to_pylist(), np.array(known.column("x").to_pylist()))
+
+    def least(run):
+        took = []
+        for _ in range(3):
+            began = time.process_time()
+            run()
+            took.append(time.process_time() - began)
+        return min(took)
+
+    assert least(lambda: list(members(model)(iter([batch])))) < 2.5 * least(lambda: statistics(batch))
