@@ -2,7 +2,7 @@
 
 Words are counted over the whole corpus; the ``OWN`` most frequent have ids of their own, all others share ``RARE`` hashed ids in the network. A
 rare word's probability is that of its id times the word's share of all words with this id; the counts of all words stay a Spark table, joined on
-the word. Texts are written once as ids of two bytes a word, which training and scoring read. The ``2 * SIDE`` words around a place are embedded and
+the word, but for those of the next most frequent words, which tasks hold. Texts are written once as ids of two bytes a word, which training and scoring read. The ``2 * SIDE`` words around a place are embedded and
 feed one hidden layer; the softmax goes over a word's class first, then over the words of that class, so a place costs two short sums. Each round,
 every task trains a copy of the network, in numpy, on masked places of its own documents, and Spark averages the copies by the number of places. A
 hash deals the places to the rounds, so that each is a target once. Then each document's score is the sum of the log-probabilities of all its words,
@@ -31,12 +31,16 @@ EMBEDDED, HIDDEN = 16, 32
 ROUNDS = 2
 BATCH, STEP = 4096, 0.01
 _HELD = 2_000_000
+_BITS = 18
+KNOWN = 1 << 16  # at most so many of the most frequent words have their counts brought to the tasks; all others are joined
+_BLOCK = 256
 _RUN = 1 << 18  # ids worked on at once, beyond the last whole document
 _ONES = np.ones(EACH, np.float32)  # of a class or of the classes: there are as many
 _SHAPES = {
     "embed": (CLASSES * EACH + 1, EMBEDDED), "w": (2 * SIDE * EMBEDDED, HIDDEN), "b": (HIDDEN,),
-    "wc": (HIDDEN, CLASSES), "bc": (CLASSES,), "ww": (CLASSES, HIDDEN, EACH), "bw": (CLASSES, EACH),
+    "kinds": (HIDDEN + 1, CLASSES), "members": (CLASSES, HIDDEN + 1, EACH),  # the last row of each matrix has its biases
 }
+_PLAIN = 60.0  # logits within this bound go into exp as they are: no sum of 64 such values leaves single precision
 
 
 class Network:
@@ -47,83 +51,87 @@ class Network:
             size = int(np.prod(shape))
             setattr(self, name, self.flat[at : at + size].reshape(shape))
             at += size
+        self.wc, self.bc, self.ww, self.bw = self.kinds[:HIDDEN], self.kinds[HIDDEN], self.members[:, :HIDDEN], self.members[:, HIDDEN]
 
     @classmethod
     def first(cls, counts: np.ndarray) -> Network:
         """Small random weights; the output starts at the words' own frequencies."""
         random = np.random.default_rng(11)
-        parts = {k: random.normal(0, 0.1, s) for k, s in _SHAPES.items()}
+        sizes = {k: _SHAPES[k] for k in ("embed", "w", "b")} | {"wc": (HIDDEN, CLASSES), "bc": (CLASSES,), "ww": (CLASSES, HIDDEN, EACH)}
+        parts = {k: random.normal(0, 0.1, size) for k, size in sizes.items()}
         share = (counts + 1.0).reshape(CLASSES, EACH)
-        parts["b"] = np.zeros(HIDDEN)
-        parts["bc"] = np.log(share.sum(1) / share.sum())
-        parts["bw"] = np.log(share / share.sum(1, keepdims=True))
-        return cls(np.concatenate([parts[k].reshape(-1) for k in _SHAPES]))
+        out = cls(np.zeros(sum(int(np.prod(size)) for size in _SHAPES.values())))
+        out.embed[:], out.w[:], out.wc[:], out.ww[:] = parts["embed"], parts["w"], parts["wc"], parts["ww"]
+        out.bc[:] = np.log(share.sum(1) / share.sum())
+        out.bw[:] = np.log(share / share.sum(1, keepdims=True))
+        return out
 
     def __reduce__(self):
         return Network, (self.flat,)
 
     def _hidden(self, context: np.ndarray, room: Room) -> tuple[np.ndarray, np.ndarray]:
+        """The embedded neighbours and the hidden layer, whose last column is 1, for the biases of what it feeds."""
         x = room("x", context.size, EMBEDDED)
         x = self.embed.take(context.reshape(-1), 0, out=x, mode="clip").reshape(len(context), -1)
-        h = np.matmul(x, self.w, out=room("h", len(x), HIDDEN))
-        h += self.b
-        return x, np.tanh(h, out=h)
-
-    def _kinds(self, h: np.ndarray, room: Room) -> np.ndarray:
-        out = np.matmul(h, self.wc, out=room("kinds", len(h), CLASSES))
-        out += self.bc
-        return out
-
-    def _members(self, h: np.ndarray, cuts: np.ndarray, room: Room) -> np.ndarray:
-        """Logits of each row's word within its class; the rows come by class, class ``c`` from ``cuts[c]`` on."""
+        sums = np.matmul(x, self.w, out=room("sums", len(x), HIDDEN))
+        sums += self.b
+        h = room("h", len(x), HIDDEN + 1)
+        np.tanh(sums, out=h[:, :HIDDEN])
+        h[:, HIDDEN] = 1
+        return x, h
+
+    def _logits(self, h: np.ndarray, room: Room) -> tuple[np.ndarray, bool]:
+        """Logits of the classes, and whether all of them are within ``_PLAIN``, as far as the weights tell."""
+        return np.matmul(h, self.kinds, out=room("kinds", len(h), CLASSES)), _within(self.kinds)
+
+    def _own_logits(self, h: np.ndarray, cuts: np.ndarray, room: Room) -> tuple[np.ndarray, bool]:
+        """The same of each row's word within its class; the rows come by class, class ``c`` from ``cuts[c]`` on."""
         out = room("members", len(h), EACH)
         for c in np.nonzero(np.diff(cuts))[0]:
             rows = slice(cuts[c], cuts[c + 1])
-            np.matmul(h[rows], self.ww[c], out=out[rows])
-            out[rows] += self.bw[c]
-        return out
+            np.matmul(h[rows], self.members[c], out=out[rows])
+        return out, _within(self.members)
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray, room: Room | None = None) -> np.ndarray:
         room = room or Room()
         order, kind, member, cuts = _by_class(target)
         h = self._hidden(context[order], room)[1]
         out = np.empty(len(target))
-        out[order] = _log_share(self._kinds(h, room), kind) + _log_share(self._members(h, cuts, room), member)
+        out[order] = _log_share(*self._logits(h, room), kind) + _log_share(*self._own_logits(h, cuts, room), member)
         return out
 
     def gradient(self, context: np.ndarray, target: np.ndarray, room: Room | None = None) -> np.ndarray:
         """Of the mean negative log-probability, in an array of ``room``. Rows are put in order of their classes, so a class is a slice."""
         n, room = len(target), room or Room()
         out = Network(room("gradient", len(self.flat)))
-        out.flat[:] = 0
         order, kind, member, cuts = _by_class(target)
         context, every, ones = context[order], np.arange(n), np.ones(n, np.float32)
         x, h = self._hidden(context, room)
-        d = _softmax(self._kinds(h, room))
-        d[every, kind] -= 1
-        np.matmul(h.T, d, out=out.wc)
-        np.matmul(ones, d, out=out.bc)
-        dh = np.matmul(d, self.wc.T, out=room("dh", n, HIDDEN))
-        own = _softmax(self._members(h, cuts, room))
-        own[every, member] -= 1
-        for c in np.nonzero(np.diff(cuts))[0]:
-            rows = slice(cuts[c], cuts[c + 1])
-            np.matmul(h[rows].T, own[rows], out=out.ww[c])
-            np.matmul(ones[rows], own[rows], out=out.bw[c])
-            dh[rows] += own[rows] @ self.ww[c].T
-        h *= h
-        np.subtract(1, h, out=h)
-        dh *= h
-        np.matmul(x.T, dh, out=out.w)
+        d = _softmax(*self._logits(h, room), 1 / n)
+        d[every, kind] -= np.float32(1 / n)
+        own = _softmax(*self._own_logits(h, cuts, room), 1 / n)
+        own[every, member] -= np.float32(1 / n)
+        back, turned = room("back", n, HIDDEN), np.ascontiguousarray(self.ww.transpose(0, 2, 1))
+        cuts = cuts.tolist()
+        for c, (begin, end) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            if begin == end:
+                out.members[c] = 0
+                continue
+            part = own[begin:end]
+            np.matmul(h[begin:end].T, part, out=out.members[c])
+            np.matmul(part, turned[c], out=back[begin:end])
+        out.kinds[:] = _across(h, d)
+        dh = np.matmul(d, np.ascontiguousarray(self.wc.T), out=room("dh", n, HIDDEN))
+        dh += back
+        slope = np.square(h[:, :HIDDEN], out=back)
+        np.subtract(1, slope, out=slope)
+        dh *= slope
+        out.w[:] = _across(x, dh)
         np.matmul(ones, dh, out=out.b)
-        dx = np.matmul(dh, self.w.T, out=x).reshape(-1, EMBEDDED)
-        ids = context.reshape(-1).astype(np.uint16)  # sorted by digits
-        order = np.argsort(ids, kind="stable")
-        ids = ids[order]
-        begin = np.nonzero(np.r_[True, ids[1:] != ids[:-1]])[0]
-        dx = dx.take(order, 0, out=room("dx", len(ids), EMBEDDED), mode="clip")
-        out.embed[ids[begin]] = np.add.reduceat(dx, begin, axis=0)
-        out.flat /= n
+        dx = np.matmul(self.w, dh.T, out=room("dx", 2 * SIDE * EMBEDDED, n))
+        ids = context.T.reshape(-1).astype(np.intp)
+        for k in range(EMBEDDED):
+            out.embed[:, k] = np.bincount(ids, dx[k::EMBEDDED].reshape(-1), len(self.embed))
         return out.flat
 
 
@@ -151,16 +159,17 @@ class Descent:
         g = self.net.gradient(context, target, self.room)
         by = self.room("by", len(g))
         self.steps += 1
+        # the running values are kept without their constant factors 0.1 and 0.001, which come in at the end
         self.one *= 0.9
-        self.one += np.multiply(g, 0.1, out=by)
+        self.one += g
         g *= g
         self.two *= 0.999
-        self.two += np.multiply(g, 0.001, out=by)
-        np.divide(self.two, 1 - 0.999**self.steps, out=by)
-        np.sqrt(by, out=by)
-        by += 1e-8
+        self.two += g
+        square = np.sqrt(0.001 / (1 - 0.999**self.steps))
+        np.sqrt(self.two, out=by)
+        by += np.float32(1e-8 / square)
         np.divide(self.one, by, out=by)
-        by *= STEP / (1 - 0.9**self.steps)
+        by *= np.float32(STEP * 0.1 / (1 - 0.9**self.steps) / square)
         self.net.flat -= by
 
 
@@ -171,19 +180,33 @@ def _by_class(target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return order, kind, member, np.searchsorted(kind, np.arange(CLASSES + 1))
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(1, keepdims=True)
+def _across(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a.T @ b`` by blocks of rows, which is faster than one product over so many rows of so few columns."""
+    n = len(a) // _BLOCK * _BLOCK
+    parts = [x[:n].reshape(-1, _BLOCK, x.shape[1]) for x in (a, b)]
+    return np.matmul(parts[0].transpose(0, 2, 1), parts[1]).sum(0) + a[n:].T @ b[n:]
+
+
+def _within(weights: np.ndarray) -> bool:
+    """No sum of these weights, each times a number of -1 to 1, is beyond ``_PLAIN``."""
+    return bool(np.abs(weights).sum(-2).max() <= _PLAIN)
+
+
+def _softmax(logits: np.ndarray, plain: bool, whole: float = 1.0) -> np.ndarray:
+    """In place; each row comes to ``whole``. Without ``plain``, a row's largest value is taken off first."""
+    if not plain:
+        logits -= logits.max(1, keepdims=True)
     np.exp(logits, out=logits)
-    logits *= (1 / (logits @ _ONES))[:, None]
+    logits *= (np.float32(whole) / (logits @ _ONES))[:, None]
     return logits
 
 
-def _log_share(logits: np.ndarray, pick: np.ndarray) -> np.ndarray:
-    taken = logits[np.arange(len(pick)), pick]
-    top = logits.max(1)
-    logits -= top[:, None]
+def _log_share(logits: np.ndarray, plain: bool, pick: np.ndarray) -> np.ndarray:
+    if not plain:
+        logits -= logits.max(1, keepdims=True)
+    taken = logits[np.arange(len(pick)), pick].astype(np.float64)
     np.exp(logits, out=logits)
-    return (taken - top - np.log(logits @ _ONES)).astype(np.float64)
+    return taken - np.log((logits @ _ONES).astype(np.float64))
 
 
 def _hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -209,26 +232,57 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows()
 
 
+class Lookup:
+    """Places of words in a list of them."""
+
+    def __init__(self, words: np.ndarray) -> None:
+        order = np.argsort(words)
+        self.words, self.places = words[order], order
+        # where words with the same leading bits begin, and how many there are at most
+        self.begin = np.searchsorted(self.words, np.arange(-1 << _BITS - 1, 1 << _BITS - 1) << 64 - _BITS).astype(np.int32)
+        self.most = int(np.diff(self.begin, append=len(words)).max())
+
+    def __reduce__(self):
+        listed = np.empty_like(self.words)
+        listed[self.places] = self.words
+        return Lookup, (listed,)  # the words alone go to the tasks
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        """-1 for words that are not in the list."""
+        out = np.full(len(h), -1)
+        at = self.begin[(h >> 64 - _BITS) + (1 << _BITS - 1)]
+        for k in range(self.most):
+            here = np.minimum(at + k, len(self.words) - 1)
+            hit = np.nonzero(self.words[here] == h)[0]
+            out[hit] = self.places[here[hit]]
+        return out
+
+
 class Vocabulary:
-    """Ids of the most frequent words; a fixed number of entries. ``counted`` is the table of all words, where there is one."""
+    """Ids of the most frequent words; a fixed number of entries. ``counted`` is the table of all words, where there is one.
+
+    ``known`` are the most frequent rare words, ``shares`` the logs of their counts by the counts of their ids.
+    """
 
     counted: DataFrame | None = None
 
     def __init__(self, words: np.ndarray, counts: np.ndarray) -> None:
-        order = np.argsort(words)
-        self.words, self.ids = words[order], np.arange(len(words))[order]
+        self.own = Lookup(words)
         self.counts = np.concatenate([counts, np.zeros(OWN - len(counts)), np.zeros(RARE)])
+        self.known, self.shares = Lookup(np.zeros(0, np.int64)), np.zeros(0)
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "counted"}
 
+    def know(self, words: np.ndarray, counts: np.ndarray) -> None:
+        """``words`` that have no ids of their own; the counts of all ids are there."""
+        self.known, self.shares = Lookup(words), np.log(counts / self.counts[self.look(words.view(np.uint64))])
+
     def look(self, hashes: np.ndarray) -> np.ndarray:
-        rare = OWN + (mix(hashes) % np.uint64(RARE)).astype(np.int64)
-        if not len(self.words):
-            return rare
-        h = signed(hashes)
-        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-        return np.where(self.words[at] == h, self.ids[at], rare)
+        ids = self.own(signed(hashes))
+        rare = np.nonzero(ids < 0)[0]
+        ids[rare] = OWN + (mix(hashes[rare]) % np.uint64(RARE)).astype(np.int64)
+        return ids
 
 
 def vocabulary(docs: DataFrame, scratch: Scratch) -> Vocabulary:
@@ -238,10 +292,22 @@ def vocabulary(docs: DataFrame, scratch: Scratch) -> Vocabulary:
     out = Vocabulary(top["word"].to_numpy(np.int64), top["n"].to_numpy(np.int64))
     rest = counted.mapInArrow(_rare_sums(out), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     out.counts[rest["id"].to_numpy(np.int64)] = rest["n"].to_numpy(np.int64)
+    known = frequent(counted, KNOWN).toPandas()
+    word, n = known["word"].to_numpy(np.int64), known["n"].to_numpy(np.int64)
+    rare = out.own(word) < 0
+    out.know(word[rare], n[rare])
     out.counted = counted
     return out
 
 
+def frequent(counted: DataFrame, most: int) -> DataFrame:
+    """The words above the least of a row of steps in ``n`` that no more than ``most`` words reach; unlike a sort's, its tasks hand on no rows but these."""
+    step = F.floor(16 * F.log2("n"))
+    sizes = sorted(counted.groupBy(step.alias("step")).count().collect(), reverse=True)  # a thousand steps go to 2**63
+    reach = np.cumsum([r["count"] for r in sizes]) <= most
+    return counted.filter(step >= sizes[reach.sum() - 1].step) if reach.any() else counted.limit(0)
+
+
 def _rare_sums(words: Vocabulary):
     """Counts of the shared ids."""
 
@@ -256,13 +322,13 @@ def _rare_sums(words: Vocabulary):
 
 
 def _rare_shares(words: Vocabulary):
-    """``share``: log of a rare word's count by the count of its id."""
+    """``share``: log of a rare word's count by the count of its id, for words whose tasks do not know it."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             word, n = np.array(batch.column("word")), np.array(batch.column("n"))
             ids = words.look(word.view(np.uint64))
-            rare = ids >= OWN
+            rare = (ids >= OWN) & (words.known(word) < 0)
             share = np.log(n[rare] / words.counts[ids[rare]])
             yield pa.RecordBatch.from_arrays([pa.array(word[rare]), pa.array(share)], names=["word", "share"])
 
@@ -270,20 +336,29 @@ def _rare_shares(words: Vocabulary):
 
 
 def _rare_words(words: Vocabulary):
-    """Each text's rare words with their numbers; equal texts of a batch come once."""
+    """Each text's rare words with their numbers, and one row, with its key as the word, for the ``part`` of those whose shares are known here.
+
+    Equal texts of a batch come once.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             key, at = np.unique(np.array(batch.column("key")), return_index=True)
             hashes, first = _hashes(batch.take(pa.array(at)))
-            doc = np.repeat(np.arange(len(at)), np.diff(first))
-            rare = words.look(hashes) >= OWN
-            doc, word = doc[rare], signed(hashes[rare])
+            doc, word = np.repeat(np.arange(len(at)), np.diff(first)), signed(hashes)
+            rare = np.nonzero(words.own(word) < 0)[0]
+            doc, word = doc[rare], word[rare]
+            place = words.known(word)
+            here = place >= 0
+            part, some = np.bincount(doc[here], words.shares[place[here]], len(at)), np.bincount(doc[here], minlength=len(at)) > 0
+            doc, word = doc[~here], word[~here]
             order = np.lexsort((word, doc))
             doc, word = doc[order], word[order]
             begin = np.nonzero(np.r_[True, (doc[1:] != doc[:-1]) | (word[1:] != word[:-1])][: len(doc)])[0]
-            n = np.diff(np.r_[begin, len(doc)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(key[doc[begin]]), pa.array(word[begin]), pa.array(n)], names=["key", "word", "n"])
+            n = np.diff(np.r_[begin, len(doc)])
+            columns = [np.r_[key[doc[begin]], key[some]], np.r_[word[begin], key[some]], np.r_[n, np.zeros(some.sum(), np.int64)].astype(np.int32)]
+            part = pa.array(np.r_[np.zeros(len(n)), part[some]], mask=np.r_[np.ones(len(n), bool), np.zeros(some.sum(), bool)])
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), part], names=["key", "word", "n", "part"])
 
     return rows
 
@@ -382,8 +457,9 @@ def _scored(words: Vocabulary, net: Network):
 def rare_scores(texts: DataFrame, words: Vocabulary, scratch: Scratch) -> DataFrame:
     """``key, rare``: what the rare words of the texts with this key add to the score of their ids."""
     shares = words.counted.mapInArrow(_rare_shares(words), "word long, share double")
-    found = texts.select("key", "text").mapInArrow(_rare_words(words), "key long, word long, n int")
-    each = found.join(shares, "word").groupBy("key", "word").agg(F.first(F.col("n") * F.col("share")).alias("part"))  # equal texts of other batches
+    found = texts.select("key", "text").mapInArrow(_rare_words(words), "key long, word long, n int, part double")
+    part = F.coalesce("part", F.col("n") * F.col("share"))
+    each = found.join(shares, "word", "left").groupBy("key", "word").agg(F.first(part).alias("part"))  # equal texts of other batches
     return scratch.keep(each.groupBy("key").agg(F.sum("part").alias("rare")), "rare")
 
 

@@ -6,8 +6,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from coursemill.llm import likelihood
 from coursemill.llm.common import Scratch, span_hashes
-from coursemill.llm.likelihood import CLASSES, EACH, OWN, RARE, SIDE, Network, Vocabulary, pseudo_likelihood, rare_scores, train, vocabulary
+from coursemill.llm.likelihood import CLASSES, EACH, OWN, RARE, SIDE, Network, Vocabulary, frequent, pseudo_likelihood, rare_scores, train, vocabulary
 from coursemill.llm.likelihood import _scored as scored
 from coursemill.llm.likelihood import _trained as trained
 from tests.llm.helpers import edge_rows, frame, words
@@ -118,3 +119,51 @@ def test_scores_equal_a_full_softmax_in_plain_loops(spark):
 def span(word):
     data = np.frombuffer(word.encode(), np.uint8)
     return span_hashes(data, np.array([0]), np.array([len(data)]), 5)
+
+
+@pytest.mark.parametrize("known", [0, OWN + 200])
+def test_rare_words_score_the_same_joined_or_known(spark, monkeypatch, known):
+    often = " ".join(f"common{i}" for i in range(OWN) for _ in range(40))
+    rows = [(0, often), (1, " ".join(f"r{i} " * (i % 9 + 1) for i in range(900))), (2, "r8 r8 r1 common1 r0"), (3, "r8 r8 r1 common1 r0"), (4, "common2"), (5, None)]
+    monkeypatch.setattr(likelihood, "KNOWN", known)
+    docs = frame(spark, rows)
+    own = vocabulary(docs, Scratch(spark, "t"))
+    assert (len(own.known.words) > 0) == (known > 0) and len(own.known.words) < 900
+    counts = collections.Counter(w for _, t in rows for w in words(t))
+    number = {w: int(own.look(span(w))[0]) for w in counts}
+    of_id = collections.Counter()
+    for w, n in counts.items():
+        of_id[number[w]] += n
+    texts = docs.selectExpr("doc_id as key", "text")
+    got = {r.key: r.rare for r in rare_scores(texts, own, Scratch(spark, "t")).collect()}
+    want = {i: sum(math.log(counts[w] / of_id[number[w]]) for w in words(t) if number[w] >= OWN) for i, t in rows if i in (1, 2, 3)}
+    assert got == pytest.approx(want)
+
+
+def test_frequent_words_are_no_more_than_asked_for(spark):
+    counted = spark.range(1000).selectExpr("id as word", "1 + id % 100 as n")
+    for most in (0, 5, 10, 300, 999, 1000, 5000):
+        got = [(r.n, r.word) for r in frequent(counted, most).collect()]
+        assert len(got) <= most and all(n > 100 - most / 10 for n, _ in got)
+    assert frequent(counted, 1000).count() == 1000 and frequent(counted, 300).count() > 200
+    assert frequent(counted.limit(0), 10).count() == 0
+
+
+def test_logits_beyond_the_plain_bound_are_scored_alike():
+    random = np.random.default_rng(2)
+    net = Network.first(random.integers(0, 50, CLASSES * EACH).astype(float))
+    around, target = random.integers(0, CLASSES * EACH + 1, (700, 4)), random.integers(0, CLASSES * EACH, 700)
+    plain, slope = net.log_probabilities(around, target), net.gradient(around, target).copy()
+    net.bc += 200
+    net.bw -= 300
+    assert np.allclose(net.log_probabilities(around, target), plain, atol=2e-3)
+    assert np.allclose(net.gradient(around, target), slope, atol=1e-5)
+
+
+def test_frequent_rare_words_are_not_shuffled_one_by_one(spark):
+    rows = [(k, " ".join(f"w{i}" for i in range(OWN + 900))) for k in range(3)]
+    docs = frame(spark, rows).coalesce(1)
+    own = vocabulary(docs, Scratch(spark, "t"))
+    batch = pa.RecordBatch.from_arrays([pa.array([7, 8]), pa.array([rows[0][1], "w1 w1 other"])], names=["key", "text"])
+    out = pa.Table.from_batches(list(likelihood._rare_words(own)(iter([batch]))))
+    assert out.num_rows <= 3  # one for each text, and the word that is not in the table
