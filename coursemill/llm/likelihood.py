@@ -336,7 +336,7 @@ def _rare_shares(words: Vocabulary):
 
 
 def _rare_words(words: Vocabulary):
-    """Each text's rare words with their numbers, and one row, with its key as the word, for the ``part`` of those whose shares are known here.
+    """Each text's rare words with their numbers, and one row, with its key as the word and 1 in ``copies``, for the ``part`` of those whose shares are known here.
 
     Equal texts of a batch come once.
     """
@@ -350,15 +350,16 @@ def _rare_words(words: Vocabulary):
             doc, word = doc[rare], word[rare]
             place = words.known(word)
             here = place >= 0
-            part, some = np.bincount(doc[here], words.shares[place[here]], len(at)), np.bincount(doc[here], minlength=len(at)) > 0
+            part, some = np.bincount(doc[here], words.shares[place[here]], len(at)), np.bincount(doc, minlength=len(at)) > 0
             doc, word = doc[~here], word[~here]
             order = np.lexsort((word, doc))
             doc, word = doc[order], word[order]
             begin = np.nonzero(np.r_[True, (doc[1:] != doc[:-1]) | (word[1:] != word[:-1])][: len(doc)])[0]
             n = np.diff(np.r_[begin, len(doc)])
             columns = [np.r_[key[doc[begin]], key[some]], np.r_[word[begin], key[some]], np.r_[n, np.zeros(some.sum(), np.int64)].astype(np.int32)]
-            part = pa.array(np.r_[np.zeros(len(n)), part[some]], mask=np.r_[np.ones(len(n), bool), np.zeros(some.sum(), bool)])
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), part], names=["key", "word", "n", "part"])
+            own = np.r_[np.zeros(len(n), bool), np.ones(some.sum(), bool)]
+            part = pa.array(np.r_[np.zeros(len(n)), part[some]], mask=~own)
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), part, pa.array(own.astype(np.int32))], names=["key", "word", "n", "part", "copies"])
 
     return rows
 
@@ -456,11 +457,15 @@ def _scored(words: Vocabulary, net: Network):
 
 def rare_scores(texts: DataFrame, words: Vocabulary, scratch: Scratch) -> DataFrame:
     """``key, rare``: what the rare words of the texts with this key add to the score of their ids."""
+    return scratch.keep(_rare_totals(texts, words), "rare")
+
+
+def _rare_totals(texts: DataFrame, words: Vocabulary) -> DataFrame:
     shares = words.counted.mapInArrow(_rare_shares(words), "word long, share double")
-    found = texts.select("key", "text").mapInArrow(_rare_words(words), "key long, word long, n int, part double")
+    found = texts.select("key", "text").mapInArrow(_rare_words(words), "key long, word long, n int, part double, copies int")
     part = F.coalesce("part", F.col("n") * F.col("share"))
-    each = found.join(shares, "word", "left").groupBy("key", "word").agg(F.first(part).alias("part"))  # equal texts of other batches
-    return scratch.keep(each.groupBy("key").agg(F.sum("part").alias("rare")), "rare")
+    # equal texts of other batches have equal sums: all are added up, without telling their words apart, and shared out
+    return found.join(shares, "word", "left").groupBy("key").agg((F.sum(part) / F.sum("copies")).alias("rare"))
 
 
 def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:

@@ -1,6 +1,7 @@
 import collections
 import math
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ from coursemill.llm.common import Scratch, span_hashes
 from coursemill.llm.likelihood import CLASSES, EACH, OWN, RARE, SIDE, Network, Vocabulary, frequent, pseudo_likelihood, rare_scores, train, vocabulary
 from coursemill.llm.likelihood import _scored as scored
 from coursemill.llm.likelihood import _trained as trained
+from tests.conftest import plan
 from tests.llm.helpers import edge_rows, frame, words
 
 SF = "/root/testdata/sf0.01"
@@ -167,3 +169,20 @@ def test_frequent_rare_words_are_not_shuffled_one_by_one(spark):
     batch = pa.RecordBatch.from_arrays([pa.array([7, 8]), pa.array([rows[0][1], "w1 w1 other"])], names=["key", "text"])
     out = pa.Table.from_batches(list(likelihood._rare_words(own)(iter([batch]))))
     assert out.num_rows <= 3  # one for each text, and the word that is not in the table
+
+
+def test_rare_words_are_summed_without_a_shuffle_by_word_and_text(spark, monkeypatch):
+    rows = [(0, " ".join(f"common{i}" for i in range(OWN) for _ in range(40)))] + [(k, "odd odd rare1 common3 rare2") for k in range(1, 9)] + [(9, "common1"), (10, None), (11, "odd rare2")]
+    for known in (0, 1 << 16):
+        monkeypatch.setattr(likelihood, "KNOWN", known)
+        docs = frame(spark, rows)
+        own = vocabulary(docs, Scratch(spark, "t"))
+        counts = collections.Counter(w for _, t in rows for w in words(t))
+        number = {w: int(own.look(span(w))[0]) for w in counts}
+        of_id = collections.Counter()
+        for w, n in counts.items():
+            of_id[number[w]] += n
+        totals = likelihood._rare_totals(docs.selectExpr("xxhash64(text) as key", "doc_id", "text").repartition(8, "doc_id"), own)
+        assert len(re.findall(r"hashpartitioning\(key[^,]*, word", plan(totals))) == 0
+        want = sorted(sum(math.log(counts[w] / of_id[number[w]]) for w in words(t) if number[w] >= OWN) for t in {t for _, t in rows[1:]} if any(number[w] >= OWN for w in words(t)))
+        assert sorted(r.rare for r in totals.collect()) == pytest.approx(want)
