@@ -6,7 +6,7 @@ no merge across their border would have come before the merges that made the two
 merging gives, so ids equal the library's for both kinds. Characters that no piece holds become the bytes of the byte-fallback pieces.
 
 No piece has a word mark inside, so a text is cut before each run of word marks and at unknown characters, which changes no result,
-and cuts are remembered in a table of at most ``REMEMBERED`` entries per worker.
+and cuts are remembered in a table of at most ``REMEMBERED`` entries per worker, until another operator's task begins in it.
 
 Defined results: a null text is empty and has no ids; equal scores prefer the longer last piece; repeated rows each get a result;
 a text that holds the word mark itself decodes to a space there, as with the library; an empty table gives none.
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursemill.llm.common import chunks, lists
+from coursemill.llm.common import begins, chunks, lists
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 REMEMBERED = 400_000
@@ -102,9 +102,10 @@ class Pieces:
             if self.model == UNIGRAM or self.spines[i] is not None:
                 self.automaton.add_word(self.text[i], (i, len(self.text[i])))
         self.automaton.make_automaton()
-        self.joined: dict[tuple[int, int], bool] = {}
-        self.recent: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        # plain numbers as keys and tuples as values: smaller than tuples and lists, and not walked by the garbage collector
+        self.joined: dict[int, bool] = {}
+        self.recent: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.plain = [self._plain(i) for i in range(len(self.text))]
 
     def _spines(self, text: str) -> tuple[list, list] | None:
@@ -125,11 +126,11 @@ class Pieces:
 
     def joins(self, a: int, b: int) -> bool:
         """Whether merging leaves pieces ``a`` and ``b`` side by side."""
-        found = self.joined.get((a, b))
+        found = self.joined.get(a << 32 | b)
         if found is None:
             if len(self.joined) > REMEMBERED:
                 self.joined.clear()
-            self.joined[a, b] = found = self._joins(a, b)
+            self.joined[a << 32 | b] = found = self._joins(a, b)
         return found
 
     def _joins(self, a: int, b: int) -> bool:
@@ -162,7 +163,7 @@ class Pieces:
             if have is not None and gain <= have:
                 continue
             if merges and begin and (before := last[begin]) != unknown:
-                fits = joined.get((before, piece))
+                fits = joined.get(before << 32 | piece)
                 if not (self.joins(before, piece) if fits is None else fits):
                     continue
             score[end], last[end], came[end] = gain, piece, begin
@@ -192,7 +193,7 @@ class Pieces:
             if ids is None:
                 ids = self.older.get(cut)
                 if ids is None:
-                    ids = self.best(cut)
+                    ids = tuple(self.best(cut))
                 if len(recent) >= REMEMBERED // 2:  # what was not asked for since the last turn is forgotten
                     self.older, self.recent = recent, {}
                     recent = self.recent
@@ -221,8 +222,9 @@ def pieces(path: str) -> Pieces:
 
 def _encoded(path: str, carry: list[str]):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begins("pieces", pieces.cache_clear)
         model = pieces(path)
-        for batch in chunks(batches):
+        for batch in chunks(batches, operator="pieces"):
             texts = batch.column("text").to_pylist()
             ids = [model.encode(t or "") for t in texts]
             size = np.array([len(x) for x in ids], np.int64)
@@ -247,6 +249,7 @@ def decode(encoded: DataFrame, model: str = MODEL, column: str = "ids") -> DataF
     keep = [c for c in encoded.columns if c not in (column, "text")]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begins("pieces", pieces.cache_clear)
         for batch in batches:
             texts = [pieces(model).decode(x or []) for x in batch.column(column).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(texts, pa.string())], names=[*keep, "text"])

@@ -1,10 +1,13 @@
+import gc
 import itertools
 import random
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 
-from coursemill.llm.pieces import MARK, MODEL, UNIGRAM, Pieces, decode, encode, pieces
+from coursemill.llm.pieces import MARK, MODEL, UNIGRAM, Pieces, _encoded, decode, encode, pieces
+from coursemill.llm.simhash import _prints
 from tests.llm.helpers import edge_rows, frame
 
 library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
@@ -67,3 +70,22 @@ def test_over_a_table(spark):
     back = sorted(((r.doc_id, r.text) for r in decode(out).collect()), key=str)
     assert back == sorted(((i, library.decode(library.encode(t or ""))) for i, t in rows), key=str)
     assert encode(frame(spark, rows).limit(0), ["doc_id"]).count() == 0
+
+
+def test_a_worker_forgets_the_model_when_another_operator_begins():
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some words here", None]})
+    encoded = lambda: [r.to_pylist() for r in _encoded(MODEL, ["doc_id"])(iter([batch]))]
+    first = encoded()
+    model = pieces(MODEL)
+    assert encoded() == first and pieces(MODEL) is model  # the same operator's tasks share it
+    list(_prints(iter([batch])))
+    assert pieces.cache_info().currsize == 0
+    assert encoded() == first
+
+
+def test_what_is_remembered_is_not_walked_by_the_garbage_collector():
+    model = pieces(MODEL)
+    model.encode("words that are remembered for later texts, as they come again")
+    gc.collect()
+    assert model.recent and model.joined
+    assert not any(gc.is_tracked(x) for t in (model.recent, model.joined) for pair in t.items() for x in pair)
