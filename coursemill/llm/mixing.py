@@ -81,19 +81,12 @@ class Membership:
     weights: np.ndarray
 
     @classmethod
-    def fit(cls, y: np.ndarray, words: list[np.ndarray], x: np.ndarray) -> Membership:
+    def fit(cls, y: np.ndarray, words: list[np.ndarray], x: np.ndarray, own: np.ndarray | None = None) -> Membership:
+        """``own``: the telling words in order, if ``words`` holds no others; else they are found here."""
         k = len(DOMAINS)
         words = [np.asarray(w, np.int64) for w in words]  # an empty list would turn all hashes into floats
-        every, where = np.unique(np.concatenate(words) if len(words) else np.zeros(0, np.int64), return_inverse=True)
         doc = np.repeat(np.arange(len(y)), [len(w) for w in words])
-        n, telling = np.bincount(y, minlength=k), set()
-        for c in range(k):
-            inside = np.bincount(where, y[doc] == c, len(every))
-            total = np.bincount(where, minlength=len(every))
-            expected = total * n[c] / max(len(y), 1)
-            gain = np.where(inside > expected, (inside - expected) ** 2 / (expected + 1), 0)
-            telling |= set(every[np.argsort(-gain, kind="stable")[:TELLING]].tolist())
-        own = np.array(sorted(telling), np.int64)
+        own = cls._telling(y, words, doc) if own is None else own
         centre, scale = (x.mean(0), x.std(0) + 1e-3) if len(x) else (0.0, 1.0)
         model = cls(own, centre, scale, np.zeros((len(own) + x.shape[1] + 1, k)))
         if not len(y):
@@ -109,6 +102,18 @@ class Membership:
             model.weights = new
         return model
 
+    @staticmethod
+    def _telling(y: np.ndarray, words: list[np.ndarray], doc: np.ndarray) -> np.ndarray:
+        every, where = np.unique(np.concatenate(words) if len(words) else np.zeros(0, np.int64), return_inverse=True)
+        n, telling = np.bincount(y, minlength=len(DOMAINS)), set()
+        for c in range(len(DOMAINS)):
+            inside = np.bincount(where, y[doc] == c, len(every))
+            total = np.bincount(where, minlength=len(every))
+            expected = total * n[c] / max(len(y), 1)
+            gain = np.where(inside > expected, (inside - expected) ** 2 / (expected + 1), 0)
+            telling |= set(every[np.argsort(-gain, kind="stable")[:TELLING]].tolist())
+        return np.array(sorted(telling), np.int64)
+
     def _design(self, row: np.ndarray, h: np.ndarray, x: np.ndarray) -> np.ndarray:
         """A word says that it is there, so words may repeat and come in any order."""
         out = np.zeros((len(x), len(self.words) + x.shape[1] + 1))
@@ -129,13 +134,50 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def fit_membership(docs: DataFrame, labels: DataFrame) -> Membership:
-    """``labels``: ``doc_id, y``. At most ``SAMPLE`` rows reach the driver, which bounds what is broadcast, too."""
+def telling_words(known: DataFrame, scratch: Scratch) -> np.ndarray:
+    """The ``TELLING`` words of each domain (``known``: ``y, words``) that are there most beyond expectation, in order of their hash.
+
+    Words are counted and ranked by Spark: only the telling ones reach the driver.
+    """
+    own = lambda c: F.count(F.when(F.col("y") == c, 1)).alias(f"n{c}")
+    every = [own(c) for c in range(len(DOMAINS))]
+    n = known.agg(*every, F.count("*")).collect()[0]
+    seen = known.select("y", F.explode("words").alias("word")).groupBy("word").agg(*every, F.count("*").alias("total"))
+    seen, found = scratch.keep(seen, "words"), None
+    for c in range(len(DOMAINS)):
+        expected = F.col("total") * F.lit(float(n[c])) / F.lit(float(max(n[-1], 1)))
+        beyond = F.col(f"n{c}") - expected
+        gain = F.when(beyond > 0, beyond * beyond / (expected + 1)).otherwise(F.lit(0.0))
+        first = seen.select("word", gain.alias("gain")).orderBy(F.desc("gain"), "word").limit(TELLING).select("word")
+        found = first if found is None else found.unionByName(first)
+    return np.array(sorted({r.word for r in found.collect()}), np.int64)
+
+
+def _told(own: np.ndarray):
+    """Rows with their telling words only."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column("words")
+            row = np.repeat(np.arange(batch.num_rows), np.diff(words.offsets.to_numpy()))
+            values = words.flatten().to_numpy(zero_copy_only=False)
+            hit = np.isin(values, own)
+            few = lists(values[hit], np.bincount(row[hit], minlength=batch.num_rows), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("y"), few, batch.column("x")], names=["y", "words", "x"])
+
+    return rows
+
+
+def fit_membership(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> Membership:
+    """``labels``: ``doc_id, y``. At most ``SAMPLE`` rows reach the driver, with their telling words only, which bounds what is broadcast, too."""
+    kinds = "y int, words array<long>, x array<double>"
     picked = labels.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(SAMPLE)
     known = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y")
-    rows = known.mapInArrow(_features, "y int, words array<long>, x array<double>").orderBy("y", "x", "words").toPandas()
+    known = scratch.keep(known.mapInArrow(_features, kinds), "known")
+    own = telling_words(known, scratch)
+    rows = known.orderBy("y", "x", "words").mapInArrow(_told(own), kinds).toPandas()
     width = len(statistics(pa.RecordBatch.from_pydict({"text": pa.array([""])}))[0])
-    return Membership.fit(rows["y"].to_numpy(np.int64), list(rows["words"]), np.stack(rows["x"]) if len(rows) else np.zeros((0, width)))
+    return Membership.fit(rows["y"].to_numpy(np.int64), list(rows["words"]), np.stack(rows["x"]) if len(rows) else np.zeros((0, width)), own)
 
 
 def _members(model: Membership):
@@ -172,16 +214,15 @@ def _totals(rates: Rates):
         for batch in batches:
             p = _read(batch)
             total += (rates.replay(p) * np.array(batch.column("n_words"))) @ p
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["k", "v"])
+        yield pa.RecordBatch.from_arrays([pa.array([v]) for v in total], names=[*DOMAINS])
 
     return rows
 
 
 def domain_totals(members: DataFrame, rates: Rates) -> np.ndarray:
-    out = np.zeros(len(DOMAINS))
-    for k, v in members.mapInArrow(_totals(rates), "k long, v double").groupBy("k").agg(F.sum("v")).collect():  # one row for each domain
-        out[k] = v
-    return out
+    """Rounds have one row for each task and no key, so one small task adds them up, however many partitions a shuffle has."""
+    totals = members.mapInArrow(_totals(rates), ", ".join(f"{d} double" for d in DOMAINS))
+    return np.array([v or 0.0 for v in totals.agg(*[F.sum(d) for d in DOMAINS]).collect()[0]])
 
 
 def fit_rates(members: DataFrame, targets: np.ndarray, now: np.ndarray) -> Rates:
@@ -218,7 +259,7 @@ def fit_mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), "text")
-    model = fit_membership(texts, domain_labels(labels))
+    model = fit_membership(texts, domain_labels(labels), scratch)
     members = scratch.keep(texts.mapInArrow(_members(model), MEMBER), "members")
     now = domain_totals(members, Rates([], np.zeros(len(DOMAINS))))
     if weights is not None:

@@ -40,6 +40,11 @@ def _runs(h: Column, length: int) -> Column:
     return F.slice(each, 1, F.greatest(F.size(h) - (length - 1), F.lit(0)))
 
 
+def _grams(h: Column, e: Column) -> Column:
+    """Hashes of all n-grams: words, then pairs of words, then pairs of endings."""
+    return F.concat(h, _runs(h, 2), _runs(e, 2))
+
+
 def counts(docs: DataFrame, carry: list[str]) -> DataFrame:
     """The base counts of each text beside the columns ``carry``; ``_h`` and ``_e`` are the hashes of its words and their endings."""
     text = F.coalesce("text", F.lit(""))
@@ -74,7 +79,7 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, scratch: Scratch) -> DataFra
     sure = trusted.select(F.col("doc_id").alias("_id")).filter("_id is not null").distinct().withColumn("_t", F.lit(1)).hint("merge")  # ids grow with the corpus: the same plan at every size
     flagged = docs.select("doc_id", "text").join(sure, F.col("doc_id") == F.col("_id"), "left")
     hashed = flagged.select("_t", words(F.col("text")).alias("_w")).select("_t", *_hashes(F.col("_w")))
-    grams = hashed.select("_t", F.explode(F.concat("_h", _runs(F.col("_h"), 2), _runs(F.col("_e"), 2))).alias("h"))
+    grams = hashed.select("_t", F.explode(_grams(F.col("_h"), F.col("_e"))).alias("h"))
     seen = scratch.keep(grams.groupBy(_bucket(F.col("h")).alias("bucket")).agg(F.count("*").alias("raw"), F.count("_t").alias("good")), "buckets")
     raw, good = seen.agg(F.sum("raw"), F.sum("good")).first()
     part = (good or 0) / (raw or 1)
@@ -96,10 +101,12 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESH
     carry = ["doc_id"] if carry is None else carry
     plain = docs.select(*[c for c in docs.columns if c in {*carry, "text"}])
     step, n = counts(plain, [c for c in carry if c != "text"]), F.col("n_words")
-    h, e = F.col("_h"), F.col("_e")
-    ratio = lambda x: F.get(ratios, _bucket(x))
-    pairs = lambda x, i: ratio(F.xxhash64(x, F.get(h, i + 1))) + ratio(F.xxhash64(F.get(e, i), F.get(e, i + 1)))
-    each = F.transform(h, lambda x, i: ratio(x) + F.when(i + 1 < n, pairs(x, i)).otherwise(F.lit(0.0)))
+    # the constant stands in the plan's text, which the driver keeps for each query that ran: it is named once only
+    grams = F.transform(_grams(F.col("_h"), F.col("_e")), lambda x: F.get(ratios, _bucket(x)))
+    step, v = step.withColumn("_v", grams), F.col("_v")
+    w = F.size("_h")
+    pairs = lambda i: F.get(v, w + i) + F.get(v, 2 * w - 1 + i)
+    each = F.transform(F.col("_h"), lambda _, i: F.get(v, i) + F.when(i + 1 < w, pairs(i)).otherwise(F.lit(0.0)))
     total = F.aggregate(each, F.lit(0.0), lambda a, b: a + b)
     step = step.withColumn("score", F.when(n > 0, total / (3 * n - 2)).otherwise(F.lit(0.0)))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words"))

@@ -5,7 +5,8 @@ import numpy as np
 import pyarrow as pa
 
 from coursemill.llm.classifier import statistics
-from coursemill.llm.mixing import DOMAINS, RIDGE, Membership, domain_labels, fit_mix, mix, select_by_rate, source_weights
+from coursemill.llm.common import Scratch
+from coursemill.llm.mixing import DOMAINS, RIDGE, TELLING, Membership, Rates, domain_labels, domain_totals, fit_mix, mix, select_by_rate, source_weights, telling_words
 from coursemill.llm.mixing import _features as features
 from coursemill.llm.mixing import _members as members
 from tests.llm.helpers import edge_rows, frame, words
@@ -117,3 +118,46 @@ def test_posteriors_cost_little_more_than_the_statistics():
         return min(took)
 
     assert least(lambda: list(members(model)(iter([batch])))) < 2.5 * least(lambda: statistics(batch))
+
+
+def test_only_telling_words_reach_the_driver(spark, monkeypatch):
+    rows, labels = corpus()
+    say = random.Random(9)
+    docs, known = frames(spark, [(i, t + " " + " ".join(f"word{say.randint(0, 5000)}" for _ in range(60))) for i, t in rows], labels)
+    came, fit = [], Membership.fit
+    monkeypatch.setattr(Membership, "fit", lambda y, words, *more: came.append(np.unique(np.concatenate(words))) or fit(y, words, *more))
+    model, _, _ = fit_mix(docs, known, factors={})
+    assert len(came) == 1 and TELLING <= len(came[0]) <= TELLING * len(DOMAINS)
+    assert set(came[0]) <= set(model.words)
+
+
+def test_telling_words_are_those_of_a_plain_count(spark):
+    say = random.Random(11)
+    y = [say.choice([0, 0, 1, 2]) for _ in range(200)]
+    words_ = [sorted({say.randint(0, 900) * 7919 - 3_000_000 + (k if say.random() < 0.3 else 0) for _ in range(40)}) for k in y]
+    known = spark.createDataFrame([*zip(y, words_)], "y int, words array<long>").repartition(3)
+    plain = Membership._telling(np.array(y), [np.array(w) for w in words_], np.repeat(np.arange(len(y)), [len(w) for w in words_]))
+    assert telling_words(known, Scratch(spark, "test")).tolist() == plain.tolist()
+    assert telling_words(known.limit(0), Scratch(spark, "test")).tolist() == []
+
+
+def test_a_round_has_one_task_that_adds_up(spark):
+    rows = [(k, "s", 10 + k, [0.5, 0.25, 0.25]) for k in range(30)]
+    members_ = spark.createDataFrame(rows, "doc_id long, source string, n_words long, p array<double>").repartition(3)
+    members_ = Scratch(spark, "test").keep(members_, "members")
+    names = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in names}
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        context.setJobGroup("a-round", "")
+        totals = domain_totals(members_, Rates([], np.zeros(len(DOMAINS))))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    whole = sum(r[2] for r in rows)
+    assert totals.tolist() == [whole / 2, whole / 4, whole / 4]
+    stages = {x for j in tracker.getJobIdsForGroup("a-round") for x in tracker.getJobInfo(j).stageIds}
+    assert sum(info.numTasks for x in stages if (info := tracker.getStageInfo(x))) <= 10

@@ -79,3 +79,9 @@ def test_queries_tell_stems_apart(spark, tmp_path):
     spark.createDataFrame([(k, 1, 0) for k in range(40)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     scores = {r.doc_id: r.score for r in op5_quality_rules(spark, str(tmp_path)).collect()}
     assert max(scores[100 + k] for k in range(40)) < -0.2 < 0 < min(scores[k] for k in range(40))
+
+
+def test_the_table_of_ratios_stands_in_the_plan_once(spark):
+    labels = spark.createDataFrame([(i,) for i in range(0, 60, 2)], "doc_id long")
+    text = quality_rules(frame(spark, edge_rows()), labels)._jdf.queryExecution().executedPlan().toString()
+    assert text.count(",") < 1.5 * BUCKETS
