@@ -175,7 +175,7 @@ def fit_membership(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> Memb
     known = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y")
     known = scratch.keep(known.mapInArrow(_features, kinds), "known")
     own = telling_words(known, scratch)
-    rows = known.orderBy("y", "x", "words").mapInArrow(_told(own), kinds).toPandas()
+    rows = known.mapInArrow(_told(own), kinds).orderBy("y", "x", "words").toPandas()  # sorting sends the driver samples of its keys
     width = len(statistics(pa.RecordBatch.from_pydict({"text": pa.array([""])}))[0])
     return Membership.fit(rows["y"].to_numpy(np.int64), list(rows["words"]), np.stack(rows["x"]) if len(rows) else np.zeros((0, width)), own)
 
