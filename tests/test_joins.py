@@ -14,7 +14,10 @@ from coursemill.operators.joins import (
 )
 from coursemill.plans import qz, sellcourse
 from coursemill.plans.warehouse import Warehouse
+from coursemill.registry import reports  # noqa: F401  (importing fills the book)
+from coursemill.registry.book import CHECKS, QUERIES
 from tests.conftest import plan
+from tools.check_queries import bag
 
 
 @pytest.fixture(scope="module")
@@ -222,3 +225,34 @@ def test_answer_fact_shuffles_no_small_dimension(spark, rows):
         assert rows(fact, *names) == sorted([(1,) * 5, *[(2, 1, 2, 1, 2)] * 8, *[(2,) * 5] * 32])
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_fact_star_plans_stored_dimensions_and_broadcasts_only_measured_ones(spark, tmp_path):
+    """The fact's plan has no joins of stored dimensions, and no broadcast that goes by the size of small files."""
+    duckdb = pytest.importorskip("duckdb")
+    n = F.col("id")
+    key = n.cast("int")
+    tables = {
+        "region": spark.range(5).select(key.alias("r_regionkey"), F.lit("r").alias("r_name")),
+        "nation": spark.range(25).select(key.alias("n_nationkey"), F.lit("n").alias("n_name"), (key % 5).alias("n_regionkey")),
+        "supplier": spark.range(6).select(n.alias("s_suppkey")).union(spark.sql("values (2L), (null)")),
+        "part": spark.range(12).select(n.alias("p_partkey"), (key * 3).alias("p_size")).union(spark.sql("values (4L, 4), (null, 1)")),
+        "customer": spark.range(5).select(n.alias("c_custkey"), key.alias("c_nationkey")).union(spark.sql("values (3L, 3), (1L, null)")),
+        "orders": spark.range(8).select(n.alias("o_orderkey")).union(spark.sql("values (1L), (null)")),
+        "lineitem": spark.range(200).select(
+            F.when(n % 41 > 0, n % 10).alias("l_orderkey"), F.when(n % 43 > 0, n % 13).alias("l_partkey"), (n % 7).alias("l_suppkey"),
+            (key % 7 + 1).alias("l_linenumber"), F.element_at(F.array(*map(F.lit, "ANR")), key % 3 + 1).alias("l_returnflag"),
+        ),
+    }
+    con = duckdb.connect()
+    for name, df in tables.items():
+        df.write.parquet(path := f"{tmp_path}/{name}.parquet")
+        con.execute(f"create view {name} as select * from '{path}/*.parquet'")
+    fact = QUERIES["fact_star"](spark, str(tmp_path))
+    text = plan(fact)
+    assert all(column not in text for column in ("p_partkey", "s_suppkey", "c_custkey", "n_nationkey"))
+    assert text.count("SortMergeJoin") == 4 and "HashJoin [questionid" not in text
+    want = con.execute(CHECKS["fact_star"])
+    columns = [d[0] for d in want.description]
+    want = bag(want.fetchall(), columns)
+    assert bag([tuple(r) for r in fact.collect()], fact.columns) == want and sum(want.values()) > 50
